@@ -1 +1,10 @@
-"""functions"""
+"""Column functions (all built from Spark expressions, no Python per row)."""
+
+from .arrays import explode_with_index, explodeWithIndex, named_struct, namedStruct, replace_array_element, replaceArrayElement
+from .urls import host_of, referer, search_url, url_extension, without_query
+
+__all__ = [
+    "explode_with_index", "explodeWithIndex", "named_struct", "namedStruct",
+    "replace_array_element", "replaceArrayElement",
+    "host_of", "referer", "search_url", "url_extension", "without_query",
+]
