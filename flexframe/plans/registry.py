@@ -277,7 +277,7 @@ def mapping_errors(spark, sf_dir):
     good = f.toDF().select(F.lit("good").alias("kind"), F.lit(1).alias("one"))
     bad = f.errorsAsDynamicFrame().toDF().select(F.lit("error").alias("kind"), F.lit(1).alias("one"))
     counts = good.unionByName(bad).groupBy("kind").agg(F.count("one").alias("n"))
-    kinds = spark.createDataFrame([("good",), ("error",)], "kind string")
+    kinds = spark.sql("SELECT * FROM VALUES ('good'), ('error') AS t(kind)")
     return kinds.join(counts, "kind", "left").select("kind", F.coalesce("n", F.lit(0)).alias("n"))
 
 
@@ -582,7 +582,7 @@ def map_errors(spark, sf_dir):
     good = m.toDF().select(F.lit("good").alias("kind"), F.lit(1).alias("one"))
     bad = m.errorsAsDynamicFrame().toDF().select(F.lit("error").alias("kind"), F.lit(1).alias("one"))
     counts = good.unionByName(bad).groupBy("kind").agg(F.count("one").alias("n"))
-    kinds = spark.createDataFrame([("good",), ("error",)], "kind string")
+    kinds = spark.sql("SELECT * FROM VALUES ('good'), ('error') AS t(kind)")
     return kinds.join(counts, "kind", "left").select("kind", F.coalesce("n", F.lit(0)).alias("n"))
 
 
