@@ -128,7 +128,10 @@ def from_options(
             reader = reader.schema(s).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
         df = reader.options(**opts).csv(paths)
         if schema is not None:
-            bad = df.where(F.col(CORRUPT).isNotNull()).select(
+            # Spark will not scan a csv file for the corrupt column alone, so the
+            # error filter also touches the first data column (always true)
+            first = F.col("`" + s.fields[0].name + "`")
+            bad = df.where(F.col(CORRUPT).isNotNull() & (first.isNull() | first.isNotNull())).select(
                 F.lit("read_csv").alias("op"), F.lit(transformation_ctx).alias("transformation_ctx"),
                 F.lit("").alias("info"), F.lit("malformed csv line").alias("message"), F.col(CORRUPT).alias("record"))
             errors.append(ErrorStage("read_csv", transformation_ctx, "", bad))
