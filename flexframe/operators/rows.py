@@ -41,7 +41,7 @@ _OPS = {
 }
 
 
-def comparison_predicate(df: DataFrame, comparison_dict: dict) -> Column:
+def comparison_predicate(df: DataFrame, comparison_dict: dict, null_as_false: bool = True) -> Column:
     preds = []
     for path, comps in comparison_dict.items():
         r = resolve(df.schema, split_path(path))
@@ -55,13 +55,17 @@ def comparison_predicate(df: DataFrame, comparison_dict: dict) -> Column:
             preds.append(_OPS[op](col, F.lit(value)))
     if not preds:
         return F.lit(True)
-    return F.coalesce(reduce(lambda a, b: a & b, preds), F.lit(False))
+    p = reduce(lambda a, b: a & b, preds)
+    return F.coalesce(p, F.lit(False)) if null_as_false else p
 
 
 def split_rows(frame: Frame, comparison_dict, name1, name2, ctx="", info="", stage=0, total=0) -> FrameSet:
     """Rows meeting every comparison, and the rest (nulls compare false)."""
+    # ``where`` drops null predicates, so the hit side uses the bare comparison
+    # (parquet can take it as a pushed filter); the rest is its exact complement
     p = comparison_predicate(frame.df, comparison_dict)
-    hit = frame._next(frame.df.where(p), ErrorStage("split_rows", ctx, info, None, stage, total), name=name1)
+    raw = comparison_predicate(frame.df, comparison_dict, null_as_false=False)
+    hit = frame._next(frame.df.where(raw), ErrorStage("split_rows", ctx, info, None, stage, total), name=name1)
     rest = frame._next(frame.df.where(~p), ErrorStage("split_rows", ctx, info, None, stage, total), name=name2)
     return FrameSet({name1: hit, name2: rest}, frame.spark)
 

@@ -111,9 +111,9 @@ class Coalesce(Transform):
         return frame.coalesce(num_partitions, shuffle)
 
 
-class ErrorsAsDynamicFrame(Transform):
+class ErrorsAsFrame(Transform):
     def __call__(self, frame: Frame):
-        return frame.errorsAsDynamicFrame()
+        return frame.errorsAsFrame()
 
 
 class SelectFromCollection(Transform):

@@ -275,7 +275,7 @@ def mapping_cast(spark, sf_dir):
 def mapping_errors(spark, sf_dir):
     f = table(spark, sf_dir, "orders").apply_mapping([("o_orderkey", "key"), ("o_orderpriority", "prio", "int")])
     good = f.toDF().select(F.lit("good").alias("kind"), F.lit(1).alias("one"))
-    bad = f.errorsAsDynamicFrame().toDF().select(F.lit("error").alias("kind"), F.lit(1).alias("one"))
+    bad = f.errorsAsFrame().toDF().select(F.lit("error").alias("kind"), F.lit(1).alias("one"))
     counts = good.unionByName(bad).groupBy("kind").agg(F.count("one").alias("n"))
     kinds = spark.sql("SELECT * FROM VALUES ('good'), ('error') AS t(kind)")
     return kinds.join(counts, "kind", "left").select("kind", F.coalesce("n", F.lit(0)).alias("n"))
@@ -524,7 +524,7 @@ def json_drift_errors(spark, sf_dir):
     out = scratch_dir(spark, "drift-json-bad")
     e.select(line.alias("value")).write.mode("overwrite").text(out)
     f = from_options(spark, "file", {"paths": [out]}, format="json")
-    return f.errorsAsDynamicFrame().toDF().agg(F.count(F.lit(1)).alias("n_errors"))
+    return f.errorsAsFrame().toDF().agg(F.count(F.lit(1)).alias("n_errors"))
 
 
 # ---------------------------------------------------------------------------
@@ -580,7 +580,7 @@ def map_errors(spark, sf_dir):
 
     m = f.map(ratio, schema="event_id bigint, ratio double")
     good = m.toDF().select(F.lit("good").alias("kind"), F.lit(1).alias("one"))
-    bad = m.errorsAsDynamicFrame().toDF().select(F.lit("error").alias("kind"), F.lit(1).alias("one"))
+    bad = m.errorsAsFrame().toDF().select(F.lit("error").alias("kind"), F.lit(1).alias("one"))
     counts = good.unionByName(bad).groupBy("kind").agg(F.count("one").alias("n"))
     kinds = spark.sql("SELECT * FROM VALUES ('good'), ('error') AS t(kind)")
     return kinds.join(counts, "kind", "left").select("kind", F.coalesce("n", F.lit(0)).alias("n"))

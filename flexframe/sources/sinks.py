@@ -26,7 +26,7 @@ def _writer(df: DataFrame, fmt: str, format_options: dict, connection_options: d
 
 
 def _errors_of(frame: Frame) -> Frame:
-    errs = frame.errorsAsDynamicFrame()
+    errs = frame.errorsAsFrame()
     errs.name = f"{frame.name}_errors"
     return errs
 

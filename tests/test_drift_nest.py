@@ -34,7 +34,7 @@ def test_drift_choices_and_error_record(spark, tmp_path):
     assert f.choices["a"] == ["long", "string", "double"]
     assert "b.y" in f.choices and sorted(f.choices["b.y"]) == ["long", "string", "struct"]
     assert f.df.count() == 3
-    errs = f.errorsAsDynamicFrame().df.collect()
+    errs = f.errorsAsFrame().df.collect()
     assert len(errs) == 1 and errs[0].record == "{bad"
     rows = {json.dumps(r.a.asDict()) for r in f.df.collect()}
     assert rows == {json.dumps({"long": 1, "string": None, "double": None}),

@@ -39,7 +39,7 @@ def test_filter_exceptions(functions_frame):
 
     out = functions_frame.filter(pred)
     assert [r.id for r in out.df.collect()] == [2]
-    errs = out.errorsAsDynamicFrame().df.collect()
+    errs = out.errorsAsFrame().df.collect()
     assert len(errs) == 1 and errs[0].message == "zero" and '"id":1' in errs[0].record
     assert out.errorsCount() == 1 and out.stageErrorsCount() == 1
 
@@ -52,7 +52,7 @@ def test_map_errors_and_none(functions_frame):
 
     out = functions_frame.map(f)
     assert sorted((r.id, r.v) for r in out.df.collect()) == [(2, 10), (4, 5)]
-    msgs = sorted(r.message for r in out.errorsAsDynamicFrame().df.collect())
+    msgs = sorted(r.message for r in out.errorsAsFrame().df.collect())
     assert msgs == ["function returned no record", "integer division or modulo by zero"]
     # good + error rows = input rows
     assert out.df.count() + out.errorsCount() == functions_frame.df.count()

@@ -125,3 +125,33 @@ def test_bookmarks(spark, tmp_path):
         job.init("j", {"job-bookmark-option": "job-bookmark-enable", "job-bookmark-to": "1"})
     job.init("j", {"job-bookmark-option": "continuation-ignore"})
     assert job.mode == "job-bookmark-disable"
+
+
+def test_context_facades(spark, tmp_path):
+    from flexframe import FlexContext
+
+    ctx = FlexContext(spark)
+    f = ctx.read.from_options("parquet", {"paths": [f"{SF}/region.parquet"]})
+    out = str(tmp_path / "ctx")
+    errs = ctx.write.from_options(f, "file", {"path": out}, format="json")
+    assert errs.name.endswith("_errors") and errs.df.count() == 0
+    back = ctx.read.from_options("file", {"paths": [out]}, format="json")
+    assert back.df.count() == 5
+
+
+def test_streaming_incremental(spark, tmp_path):
+    from flexframe.streaming import run_incremental
+
+    landing, out, ckpt = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "ck")
+    seen = []
+
+    def process(frame, batch_id):
+        seen.append(frame.df.count())
+        frame.df.write.mode("append").parquet(out)
+
+    spark.range(0, 10).write.mode("append").parquet(landing)
+    run_incremental(spark, landing, "parquet", "id long", "ctx1", process, ckpt)
+    spark.range(10, 17).write.mode("append").parquet(landing)
+    run_incremental(spark, landing, "parquet", "id long", "ctx1", process, ckpt)
+    run_incremental(spark, landing, "parquet", "id long", "ctx1", process, ckpt)
+    assert sum(seen) == 17 and spark.read.parquet(out).count() == 17
