@@ -33,6 +33,7 @@ from pyspark.sql.types import (
 )
 
 from ..errors import ErrorStage
+from ..functions.casts import safe_cast
 from ..frame import Frame
 from ..paths import quote, resolve, split_path, top
 from ..schema import (
@@ -257,9 +258,9 @@ def _cast(expr: Column, dtype: StructType, target: DataType) -> Column:
     for f in dtype.fields:
         child = expr.getField(f.name)
         if f.name == tname:
-            parts.append(child if f.dataType == target else child.try_cast(target))
+            parts.append(child if f.dataType == target else safe_cast(child, target, f.dataType))
         elif not isinstance(f.dataType, (StructType, ArrayType, MapType)):
-            parts.append(child.try_cast(target))
+            parts.append(safe_cast(child, target, f.dataType))
     return F.coalesce(*parts) if parts else F.lit(None).cast(target)
 
 

@@ -19,6 +19,7 @@ from pyspark.sql.types import StructType
 from ..errors import ErrorStage, error_rows
 from ..frame import Frame
 from ..paths import get_path, quote, resolve, split_path, top
+from ..functions.casts import safe_cast
 from ..schema import parse_type
 
 _ERR = "__ff_err"
@@ -76,7 +77,7 @@ def mapping_columns(schema: StructType, mappings, case_sensitive=False):
         if tgt_type is not None:
             target = parse_type(tgt_type)
             if target != dtype:
-                casted = value.try_cast(target)
+                casted = safe_cast(value, target, dtype)
                 failed = value.isNotNull() & casted.isNull()
                 msg = f"cannot cast {src} from {dtype.simpleString()} to {target.simpleString()}"
                 value = casted
@@ -121,7 +122,7 @@ def conform_to_schema(frame: Frame, schema) -> Frame:
         elif src.dataType == f.dataType:
             cols.append(top(src.name).alias(f.name))
         else:
-            cols.append(top(src.name).try_cast(f.dataType).alias(f.name))
+            cols.append(safe_cast(top(src.name), f.dataType, src.dataType).alias(f.name))
     return frame._next(frame.df.select(*cols))
 
 

@@ -25,15 +25,20 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # Spec type names and the Spark type each casts to (others: string).
 CASTS = {"Int": "int", "Float": "double"}
 
 
-def _cast(col: Column, data_type) -> Column:
+def _cast(col: Column, data_type, source=None) -> Column:
     if data_type is None:
         return col
-    return col.try_cast(CASTS.get(data_type, "string"))
+    from pyspark.sql.types import _parse_datatype_string
+
+    from ..functions.casts import safe_cast
+
+    return safe_cast(col, _parse_datatype_string(CASTS.get(data_type, "string")), source)
 
 
 def _parse_ts(value) -> Column:
@@ -61,7 +66,7 @@ def column_expr(spec: dict, seed: int) -> Column:
         if spec.get("values") is not None:
             items = F.split(F.lit(str(spec["values"])), ",")
             pick = F.element_at(items, (F.floor(r * F.size(items)) + 1).cast("int"))
-            return _cast(pick, data_type)
+            return _cast(pick, data_type, StringType())
         places = int(spec.get("decimal_places", spec.get("decimalPlaces", 0)) or 0)
         lo, hi = float(spec["min"]), float(spec["max"])
         return _cast(F.round(r * F.lit(hi - lo) + F.lit(lo), places), data_type)

@@ -769,7 +769,22 @@ def page_metadata_query(spark, sf_dir):
     return page_metadata(_imgpt_pages(spark, sf_dir))
 
 
-@register("page_tabs")
+@register("page_tabs", """
+    WITH w AS (
+      SELECT page_id, generate_subscripts(ws, 1) - 1 AS pos, unnest(ws) AS word
+      FROM (SELECT page_id, regexp_extract_all(html, 'href="/([^"]*)"', 1) AS ws FROM pages)),
+    t AS (
+      SELECT page_id, pos, replace('/search?q=' || word || ',g_1:' || word || '&amp;usg=z', '&amp;', '&') AS href FROM w),
+    n AS (
+      SELECT page_id, pos, href, replace(regexp_extract(href, ',g_1:([^:&]*)', 1), '+', ' ') AS name FROM t),
+    stop AS (
+      SELECT page_id, min(pos) AS first_stop FROM n
+      WHERE length(name) > 100 OR name = 'background-color' GROUP BY page_id)
+    SELECT n.page_id, name, min(pos) AS pos, arg_max('https://search.example' || href, pos) AS link
+    FROM n LEFT JOIN stop ON n.page_id = stop.page_id
+    WHERE stop.first_stop IS NULL OR pos < stop.first_stop
+    GROUP BY n.page_id, name
+""")
 def page_tabs_query(spark, sf_dir):
     from .pages import page_tabs
 
@@ -870,3 +885,18 @@ def sql_after_frame(spark, sf_dir):
                CAST(sum(CAST(l_extendedprice AS DECIMAL(15,2))) AS DECIMAL(38,2)) AS revenue
         FROM ff_joined WHERE l_quantity > 25 GROUP BY o_orderpriority
     """)
+
+
+@register("gen_random_bounds", """
+    SELECT count(*) AS n, true AS cost_in_range, true AS qty_in_range, true AS date_in_range, true AS cd_in_set
+    FROM lineitem
+""")
+def gen_random_bounds(spark, sf_dir):
+    g = gen_random(spark, sf_dir)
+    return g.agg(
+        F.count(F.lit(1)).alias("n"),
+        ((F.min("item_cost") >= 1) & (F.max("item_cost") <= 5)
+         & (F.max(F.abs(F.col("item_cost") - F.round("item_cost", 2))) == 0)).alias("cost_in_range"),
+        ((F.min("item_qty") >= 0) & (F.max("item_qty") <= 10)).alias("qty_in_range"),
+        ((F.min("date_id") >= "2017-01-01 21:16:30.924") & (F.max("date_id") < "2018-01-01 20:10:10.924")).alias("date_in_range"),
+        F.coalesce(F.bool_and(F.col("item_cd").isin(0, 1, 2)), F.lit(True)).alias("cd_in_set"))

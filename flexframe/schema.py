@@ -236,9 +236,8 @@ def choice_paths(t, prefix: str = "") -> dict[str, list[str]]:
     if isinstance(t, ChoiceType):
         out[prefix] = t.names()
         for name, alt in t.alternatives.items():
-            for p, names in choice_paths(alt, prefix).items():
-                if p != prefix:
-                    out[p] = names
+            # physically a choice is a struct with one field per alternative
+            out.update(choice_paths(alt, f"{prefix}.{name}" if prefix else name))
         return out
     if isinstance(t, StructType):
         from .paths import quote
