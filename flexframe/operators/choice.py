@@ -214,10 +214,6 @@ def frame_from_json_text(raw: DataFrame, column: str, ctx: str = "", op: str = "
 # resolving choices
 
 
-def _path_parts(path: str) -> list[str]:
-    return split_path(path)
-
-
 def _rewrite(df: DataFrame, parts: list[str], fn) -> DataFrame:
     """Replace the node at ``parts`` (through structs / arrays) by ``fn(col, dtype)``."""
 

@@ -46,11 +46,6 @@ def _flatten(expr: Column, dtype, name: str, key: Column, arrays: list) -> list[
     return [expr.alias(name)]
 
 
-def _flat_name(name: str) -> str:
-    """Column names keep dots literally; backtick quoting is only for paths."""
-    return name
-
-
 def unnest(frame: Frame, ctx="", info="", stage=0, total=0) -> Frame:
     """Struct fields to top-level dotted columns; arrays replaced by a row key."""
     arrays: list = []
@@ -58,13 +53,12 @@ def unnest(frame: Frame, ctx="", info="", stage=0, total=0) -> Frame:
     cols = []
     for f in frame.df.schema.fields:
         cols.extend(_flatten(top(f.name), f.dataType, quote(f.name), key, arrays))
-    df = frame.df.select(*[c for c in cols])
+    df = frame.df.select(*cols)
     df = df.toDF(*[_unquote(n) for n in _names(cols, frame.df.schema)])
     return frame._next(df, ErrorStage("unnest", ctx, info, None, stage, total), choices={})
 
 
 def _names(cols, schema):
-    arrays: list = []
     names = []
     for f in schema.fields:
         names.extend(_leaf_names(f.dataType, quote(f.name)))

@@ -150,3 +150,12 @@ def test_to_df_options(spark):
         m.resolveChoice(specs=[("k", "make_struct")], choice="make_struct")
     kept = m.toDF([ResolveOption("k", "KeepAsStruct")])
     assert kept.schema["k"].dataType.names == ["long", "string"]
+
+
+def test_nondeterministic_map_is_checkpointed(functions_frame):
+    import random
+
+    out = functions_frame.map(lambda r: {"id": r.id, "v": random.randint(0, 10**9)}, deterministic=False)
+    first = sorted(tuple(r) for r in out.df.collect())
+    assert first == sorted(tuple(r) for r in out.df.collect())
+    assert out.df.count() + out.errorsCount() == 4
