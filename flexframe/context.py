@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from .frame import Frame, FrameSet
-from .session import ensure_checkpoint_dir
+from .session import ensure_checkpoint_dir, ship_package
 from .sources import readers, sinks
 
 
@@ -53,6 +53,7 @@ class FlexContext:
     def __init__(self, spark: SparkSession):
         self.spark = spark
         ensure_checkpoint_dir(spark)
+        ship_package(spark)
         self.read = FrameReader(spark)
         self.write = FrameWriter(spark)
 

@@ -74,6 +74,9 @@ def _fold_partition(iterator):
 
 def infer_variant_type(v: Column, df: DataFrame):
     """Merged type of a variant column over the whole DataFrame."""
+    from ..session import ship_package
+
+    ship_package(df.sparkSession)
     shapes = (
         df.select(F.schema_of_variant(v).alias("s"),
                   F.monotonically_increasing_id().alias("pos"))

@@ -20,6 +20,7 @@ from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 from ..errors import ErrorStage
 from ..frame import Frame, FrameSet
 from ..paths import get_path, resolve, split_path
+from ..session import ship_package
 
 _KEEP = "__ff_keep"
 _ERR = "__ff_err"
@@ -113,6 +114,7 @@ def filter_rows(frame: Frame, f, ctx="", info="", stage=0, total=0, deterministi
         cond = F.expr(f) if isinstance(f, str) else f
         return frame._next(frame.df.where(cond), ErrorStage("filter", ctx, info, None, stage, total))
 
+    ship_package(frame.spark)
     in_schema = frame.df.schema
     out_schema = StructType(list(in_schema.fields) + [StructField(_KEEP, BooleanType()), StructField(_ERR, StringType())])
 
@@ -156,6 +158,7 @@ def map_rows(frame: Frame, f: Callable, schema=None, ctx="", info="", stage=0, t
 
     Spark needs the output schema up front; it defaults to the input schema.
     """
+    ship_package(frame.spark)
     out = schema if schema is not None else frame.df.schema
     if isinstance(out, str):
         from pyspark.sql.types import _parse_datatype_string
@@ -216,6 +219,7 @@ def map_rows(frame: Frame, f: Callable, schema=None, ctx="", info="", stage=0, t
 
 def map_partitions(frame: Frame, f: Callable, schema=None, ctx="", info="", stage=0, total=0) -> Frame:
     """``f(partition_index, iterator_of_records) -> iterator_of_records``."""
+    ship_package(frame.spark)
     out = schema if schema is not None else frame.df.schema
     if isinstance(out, str):
         from pyspark.sql.types import _parse_datatype_string

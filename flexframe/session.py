@@ -58,3 +58,36 @@ def scratch_dir(spark: SparkSession, label: str = "scratch") -> str:
     elif "://" not in path:
         os.makedirs(path, exist_ok=True)
     return path
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``flexframe`` importable in Python workers (once per application).
+
+    Functions run by ``mapInArrow`` / ``mapInPandas`` refer to this package,
+    so executors need it, as with ``--py-files``. The package is zipped next to
+    the shared checkpoint folder when that is local, else in a driver temp
+    folder; ``addPyFile`` then distributes it through Spark's file server.
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    base = ensure_checkpoint_dir(spark)
+    local = base[len("file:"):] if base.startswith("file:") else (base if "://" not in base else None)
+    folder = os.path.join(local, f"flexframe-pyfiles-{uuid.uuid4().hex}") if local else tempfile.mkdtemp(prefix="flexframe-pyfiles-")
+    os.makedirs(folder, exist_ok=True)
+    zip_path = os.path.join(folder, "flexframe.zip")
+    with zipfile.ZipFile(zip_path, "w") as z:
+        for root, _dirs, files in os.walk(pkg_dir):
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(root, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    sc.addPyFile(zip_path)
+    _SHIPPED.add(app)

