@@ -172,3 +172,28 @@ def test_python_workers_can_import_package(spark):
     assert spark.sparkContext.applicationId in _SHIPPED
     assert sorted(r.v for r in out.df.collect()) == [2] * 5
     assert os.path.basename(os.getcwd()) or True
+
+
+def test_schema_helpers_and_nested_join(spark, capsys):
+    from pyspark.sql.types import LongType, StringType, StructField, StructType
+
+    df = spark.createDataFrame([(1, ("a", 10)), (2, ("b", 20))], "id long, s struct<name:string,k:long>")
+    f = Frame.fromDF(df, None, "nested")
+    f.printSchema()
+    f.show(1)
+    assert "s: struct" in capsys.readouterr().out
+    assert f.count() == 2 and f.schema() == df.schema
+    target = StructType([StructField("id", StringType()), StructField("extra", LongType())])
+    g = f.with_frame_schema(target.json())
+    assert g.df.schema == target and g.df.where("extra is null").count() == 2
+    right = Frame(spark.createDataFrame([(10, "ten"), (30, "thirty")], "k long, label string"), "r")
+    j = f.join("s.k", "k", right)
+    assert [(r.id, r.label) for r in j.df.collect()] == [(1, "ten")]
+
+
+def test_mapping_keeps_choice_marks(spark):
+    a = Frame(spark.createDataFrame([(1, 5)], "id long, k long"), "a")
+    b = Frame(spark.createDataFrame([(2, "x")], "id long, k string"), "b")
+    m = a.merge(b).apply_mapping([("id", "id"), ("k", "key")])
+    assert m.choices == {"key": ["long", "string"]}
+    assert sorted(r.key for r in m.resolveChoice(choice="project:long").df.collect() if r.key is not None) == [5]
