@@ -110,7 +110,7 @@ def _roundtrip(spark, sf_dir, fmt, fmt_opts=None):
 _CUSTOMER = "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer"
 
 
-@register("format_roundtrip_json", _CUSTOMER)
+@register("format_roundtrip_json", "SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal, c_mktsegment FROM customer")
 def format_roundtrip_json(spark, sf_dir):
     f = _roundtrip(spark, sf_dir, "json")
     return f.toDF().select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
@@ -369,7 +369,7 @@ def _nested_part(spark, sf_dir):
 
 
 @register("relationalize_child", """
-    SELECT p_partkey, generate_subscripts(string_split(p_name, ' '), 1) - 1 AS index,
+    SELECT p_partkey, CAST(generate_subscripts(string_split(p_name, ' '), 1) - 1 AS INTEGER) AS index,
            unnest(string_split(p_name, ' ')) AS word
     FROM part
 """)
@@ -382,7 +382,7 @@ def relationalize_child(spark, sf_dir):
 
 
 @register("relationalize_rejoin", """
-    SELECT p_partkey, p_size AS size, generate_subscripts(string_split(p_type, ' '), 1) - 1 AS kind_index,
+    SELECT p_partkey, p_size AS size, CAST(generate_subscripts(string_split(p_type, ' '), 1) - 1 AS INTEGER) AS kind_index,
            unnest(string_split(p_type, ' ')) AS kind
     FROM part
 """)
@@ -414,7 +414,7 @@ def unbox_csv(spark, sf_dir):
 
 
 @register("explode_index", """
-    SELECT p_partkey, generate_subscripts(string_split(p_name, ' '), 1) - 1 AS index,
+    SELECT p_partkey, CAST(generate_subscripts(string_split(p_name, ' '), 1) - 1 AS INTEGER) AS index,
            unnest(string_split(p_name, ' ')) AS val
     FROM part
 """)
@@ -737,7 +737,7 @@ def page_links_query(spark, sf_dir):
     chosen AS (
       SELECT page_id, list_slice(list_filter(list_slice(items, 2, greatest(len(items), 1)), lambda x: NOT contains(x, ',')), 1, 3) AS c
       FROM items)
-    SELECT page_id, generate_subscripts(c, 1) - 1 AS rank, unnest(c) AS link FROM chosen
+    SELECT page_id, CAST(generate_subscripts(c, 1) - 1 AS INTEGER) AS rank, unnest(c) AS link FROM chosen
 """)
 def page_top_links(spark, sf_dir):
     from .pages import top_links
@@ -780,7 +780,7 @@ def page_metadata_query(spark, sf_dir):
     stop AS (
       SELECT page_id, min(pos) AS first_stop FROM n
       WHERE length(name) > 100 OR name = 'background-color' GROUP BY page_id)
-    SELECT n.page_id, name, min(pos) AS pos, arg_max('https://search.example' || href, pos) AS link
+    SELECT n.page_id, name, CAST(min(pos) AS INTEGER) AS pos, arg_max('https://search.example' || href, pos) AS link
     FROM n LEFT JOIN stop ON n.page_id = stop.page_id
     WHERE stop.first_stop IS NULL OR pos < stop.first_stop
     GROUP BY n.page_id, name
