@@ -36,15 +36,31 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+_LOCAL_CKPT: dict[int, str] = {}
+
+
+def _context(spark: SparkSession):
+    """The SparkContext, or None for a Spark Connect session."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
+        return None
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, creating a local one only if unset."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    sc = _context(spark)
+    if sc is not None:
+        current = sc.getCheckpointDir()
+        if current:
+            return current
+    conf = spark.conf.get("spark.checkpoint.dir", None)
+    if not conf and sc is not None:
+        conf = sc.getConf().get("spark.checkpoint.dir", None)
     if not conf:
-        conf = tempfile.mkdtemp(prefix="flexframe-ckpt-")
+        conf = _LOCAL_CKPT.setdefault(id(spark), tempfile.mkdtemp(prefix="flexframe-ckpt-"))
+    if sc is None:
+        return conf
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf
 
@@ -73,8 +89,8 @@ def ship_package(spark: SparkSession) -> None:
     """
     import zipfile
 
-    sc = spark.sparkContext
-    app = sc.applicationId
+    sc = _context(spark)
+    app = sc.applicationId if sc is not None else f"connect-{id(spark)}"
     if app in _SHIPPED:
         return
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
@@ -89,5 +105,8 @@ def ship_package(spark: SparkSession) -> None:
                 if name.endswith(".py"):
                     full = os.path.join(root, name)
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
-    sc.addPyFile(zip_path)
+    if sc is not None:
+        sc.addPyFile(zip_path)
+    else:
+        spark.addArtifacts(zip_path, pyfile=True)
     _SHIPPED.add(app)
