@@ -150,17 +150,22 @@ def unbox(frame: Frame, path: str, format: str, options: dict, ctx="", info="",
     if with_schema:
         schema = StructType.fromJson(json.loads(with_schema)) if isinstance(with_schema, str) and with_schema.strip().startswith("{") else parse_type(with_schema)
 
+    source = frame.df
     if fmt == "json":
-        v = F.try_parse_json(node)
+        # parse once into a column: inside CASE branches Spark would not share
+        # repeated parse expressions, and every _fill step reads the variant
+        source = frame.df.withColumn("__ff_v", F.try_parse_json(node))
+        v = F.col("__ff_v")
         failed = node.isNotNull() & v.isNull()
         if schema is not None:
             value = F.from_json(node, schema)
             new_choices = {}
         else:
-            t = infer_variant_type(v, frame.df.where(v.isNotNull()))
+            parsed = source.where(v.isNotNull())
+            t = infer_variant_type(v, parsed)
             if t is None:
                 t = StringType()
-            t = _resolve_mixed(t, frame.df.where(v.isNotNull()), v, [])
+            t = _resolve_mixed(t, parsed, v, [])
             value = _fill(v, t)
             new_choices = {(f"{path}.{p}" if p else path): n for p, n in choice_paths(t).items()}
     elif fmt == "csv":
@@ -192,9 +197,11 @@ def unbox(frame: Frame, path: str, format: str, options: dict, ctx="", info="",
         raise ValueError(f"unbox: unknown format {format!r}")
 
     msg = F.when(failed, F.lit(f"cannot unbox {path} as {fmt}"))
-    staged = frame.df.withColumn("__ff_err", msg)
-    bad = error_rows(staged, F.col("__ff_err"), "unbox", ctx, info, exclude=("__ff_err",))
+    staged = source.withColumn("__ff_err", msg)
+    bad = error_rows(staged, F.col("__ff_err"), "unbox", ctx, info, exclude=("__ff_err", "__ff_v"))
     good = _rewrite(staged.where(F.col("__ff_err").isNull()).drop("__ff_err"), parts, lambda e, d: value)
+    if "__ff_v" in good.columns:
+        good = good.drop("__ff_v")
     choices = dict(frame.choices)
     choices.update(new_choices)
     return frame._next(good, ErrorStage("unbox", ctx, info, bad, stage, total), choices)
