@@ -47,3 +47,24 @@ def test_dotted_names(spark):
     out = select_paths(df, ["s.`a.b`"])
     assert out.collect()[0].s["a.b"] == 5
     assert drop_paths(df, ["s.`a.b`"]).schema["s"].dataType.names == ["c"]
+
+
+def test_select_and_drop_partition_the_leaves(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    from flexframe.paths import join_path, leaf_paths
+
+    df = spark.createDataFrame([], "id long, s struct<x:int,y:string,arr:array<struct<p:int,q:int>>>, t struct<u:int,v:int>, w string")
+    leaves = [join_path(p) for p in leaf_paths(df.schema)]
+    assert leaves == ["id", "s.x", "s.y", "s.arr.p", "s.arr.q", "t.u", "t.v", "w"]
+
+    @settings(max_examples=40, deadline=None)
+    @given(st.sets(st.sampled_from(leaves), min_size=1, max_size=len(leaves) - 1))
+    def check(chosen):
+        kept = {join_path(p) for p in leaf_paths(select_paths(df, sorted(chosen)).schema)}
+        rest = {join_path(p) for p in leaf_paths(drop_paths(df, sorted(chosen)).schema)}
+        assert kept == set(chosen)
+        assert kept | rest == set(leaves) and not kept & rest
+
+    check()
