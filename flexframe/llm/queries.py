@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality, secrets, sharding, simhash, topk
+from . import packing, quality, secret_scan, sentencepiece_codec, sharding, simhash, token_counts, topk, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -24,6 +24,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@register("op1_packing")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(spark, table(spark, sf_dir, "documents"), capacity=2048)
+
+
+@register("op2_token_counts")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count(spark, table(spark, sf_dir, "documents"), limit=512)
+
+
 @register("op3_quality_rules")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.apply(table(spark, sf_dir, "documents"))
@@ -34,14 +44,25 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(table(spark, sf_dir, "documents"), shards=40)
 
 
+@register("op5_toxicity")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return toxicity.score(spark, documents, toxicity.fit(documents, table(spark, sf_dir, "labels")))
+
+
 @register("op6_exact_topk")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.self_search(table(spark, sf_dir, "embeddings"), every=100, k=10)
 
 
+@register("op7_sentencepiece")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_codec.digest(table(spark, sf_dir, "documents"))
+
+
 @register("op8_secret_scan")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.scan(table(spark, sf_dir, "documents"))
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
 
 
 @register("op10_simhash")

@@ -6,7 +6,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from flexframe.llm import secrets
+from flexframe.llm import secret_scan
 
 from .conftest import EDGES, SF
 
@@ -31,8 +31,8 @@ def brute_added(text):
     out = []
     for m in re.finditer(r"[A-Za-z0-9+/=_-]{20,}", text or ""):
         s = m[0]
-        cls = secrets.CLASSES[0] if re.fullmatch("[0-9A-Fa-f]{20,}", s) else secrets.CLASSES[1]
-        if any(re.search(r, s) for r in secrets.ALLOW):
+        cls = secret_scan.CLASSES[0] if re.fullmatch("[0-9A-Fa-f]{20,}", s) else secret_scan.CLASSES[1]
+        if any(re.search(r, s) for r in secret_scan.ALLOW):
             continue
         s = s.lower() if cls.fold else s
         best = max(-sum(c / 20 * math.log2(c / 20) for c in Counter(s[i:i + 20]).values()) for i in range(len(s) - 19))
@@ -56,7 +56,7 @@ MADE = [
 
 def test_scan_against_brute_force(spark, docs):
     rows = docs + list(EDGES) + [(100000 + i, t) for i, t in enumerate(MADE)]
-    got = secrets.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    got = secret_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     want = Counter()
     for i, t in rows:
         base = brute_base(t)
@@ -69,13 +69,13 @@ def test_scan_against_brute_force(spark, docs):
 
 def test_many_matches_keep_their_places(spark):
     text = "é " + " ".join(f"token=abcdef{i:06d}" for i in range(3000))
-    row = secrets.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    row = secret_scan.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
     assert row.n_assign == 3000 and row.spans.startswith(listed(brute_base(text))[:200])
 
 
 def test_redact_replaces_merged_spans(spark):
     rows = [(i, t, "keep") for i, t in enumerate(MADE + [None, "", "clean text"])]
-    out = secrets.redact(spark.createDataFrame(rows, "doc_id long, text string, _all string"))
+    out = secret_scan.redact(spark.createDataFrame(rows, "doc_id long, text string, _all string"))
     assert out.columns == ["doc_id", "text", "_all"]
     for r in out.collect():
         text = rows[r.doc_id][1]
@@ -91,19 +91,19 @@ def test_redact_replaces_merged_spans(spark):
 
 
 def test_empty_and_clashing(spark, empty, edges):
-    assert secrets.scan(empty).count() == 0
-    assert secrets.redact(edges).count() == len(EDGES)
+    assert secret_scan.scan(empty).count() == 0
+    assert secret_scan.redact(edges).count() == len(EDGES)
 
 
 def test_no_python_in_the_plan(spark):
-    df = secrets.scan(spark.read.parquet(f"{SF}/documents.parquet"))
+    df = secret_scan.scan(spark.read.parquet(f"{SF}/documents.parquet"))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
 
 
 @pytest.mark.parametrize("value", ["0" * 20, "0123456789" * 4, "abababababababababab1234"])
 def test_window_entropy_is_the_least_sum(spark, value):
-    cls = secrets.CLASSES[0]
-    got = spark.range(1).select(secrets.window_entropy(F.lit(value), cls)).first()[0]
-    sums = [sum(secrets._clogc(c) for c in Counter(value[i:i + 20]).values()) for i in range(len(value) - 19)]
+    cls = secret_scan.CLASSES[0]
+    got = spark.range(1).select(secret_scan.window_entropy(F.lit(value), cls)).first()[0]
+    sums = [sum(secret_scan._clogc(c) for c in Counter(value[i:i + 20]).values()) for i in range(len(value) - 19)]
     assert got == min(sums)
