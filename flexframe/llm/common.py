@@ -9,6 +9,8 @@ from ..session import scratch_dir
 
 #: One character of a word: anything but space, tab, \\n, \\v, \\f, \\r.
 WORD = r"[^\x20\x09-\x0D]+"
+#: Removes the shuffle files of a query as it ends.
+CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 BLANKS = " \t\n\x0b\x0c\r"
 
 
@@ -28,5 +30,11 @@ def staged(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     This cuts lineage: a lost executor costs a re-read of the table, not a rerun.
     """
     path = scratch_dir(spark, label)
-    df.write.mode("overwrite").parquet(path)
+    # the shuffle files behind the table aren't needed once it is written
+    held = spark.conf.get(CLEAN, "false")
+    spark.conf.set(CLEAN, "true")
+    try:
+        df.write.mode("overwrite").parquet(path)
+    finally:
+        spark.conf.set(CLEAN, held)
     return spark.read.schema(df.schema).parquet(path)

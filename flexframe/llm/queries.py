@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, quality, secret_scan, sentencepiece_codec, sharding, simhash, token_counts, topk, toxicity
+from . import packing, quality, secret_scan, sentencepiece_codec, sharding, simhash, suffix_dedup, token_counts, topk, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -65,6 +65,11 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents"))
 
 
+@register("op9_suffix_dedup")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup(spark, table(spark, sf_dir, "documents"), length=100)
+
+
 @register("op10_simhash")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.cluster(spark, table(spark, sf_dir, "documents"))
