@@ -20,10 +20,13 @@ from array import array
 from functools import lru_cache
 
 import public_tokenizers
+import tiktoken
 from tokenizers import Tokenizer
 
-#: Remembered chunks a worker holds at most; the table is emptied when full.
-REMEMBERED = 400_000
+from .common import Memo
+
+#: Remembered chunks that a worker holds at most, in each of two generations.
+REMEMBERED = 250_000
 #: Longer chunks are not remembered.
 CHUNK_CHARS = 64
 
@@ -42,20 +45,6 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in set(plain) else chr(next(rest)) for b in range(256)]
 
 
-class _Memo(dict):
-    def __init__(self, make):
-        super().__init__()
-        self.make = make
-
-    def __missing__(self, key):
-        value = self.make(key)
-        if len(key) <= CHUNK_CHARS:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[key] = value
-        return value
-
-
 class ByteBPE:
     """Ids of texts as the library gives them, without added special tokens at the ends.
 
@@ -70,24 +59,41 @@ class ByteBPE:
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
         self.whole = {k: array("I", [v]).tobytes() for k, v in whole.items()}
         letters = byte_letters()
-        self.letters = {i: c for i, c in enumerate(letters)}
-        self.first = _Memo(self._chunk)
-        self.rest = _Memo(lambda part: self._chunk(" " + part))
-        self.tokens = _Memo(self._merge)
-        self.lettered = _Memo(self._piece)
+        self.letters = dict(enumerate(letters))
+        self.bytes_of = {c: b for b, c in enumerate(letters)}
+        # merges by the same ranks, faster than through the library's token objects
+        core = _ranked(path)
+        self.single = core._core_bpe.encode_single_piece if core else None
+        back = {ord(c): b for b, c in enumerate(letters)}
+        self.known = {}
+        for k, v in whole.items():
+            try:
+                self.known[k.translate(back).encode("latin-1").decode("utf-8")] = self.whole[k]
+            except UnicodeDecodeError:
+                pass  # part of a character: never a pre-token
+        self.first = Memo(self._chunk, REMEMBERED, CHUNK_CHARS)
+        self.rest = Memo(lambda part: self._chunk(" " + part), REMEMBERED, CHUNK_CHARS)
+        self.lettered = Memo(self._piece, REMEMBERED // 4, CHUNK_CHARS)
 
     def _piece(self, letters: str) -> bytes:
         """Ids of one pre-token, given as byte letters: a whole token, or merged."""
         known = self.whole.get(letters)
         if known is not None:
             return known
+        if self.single:
+            return array("I", self.single(bytes(map(self.bytes_of.__getitem__, letters)))).tobytes()
         return array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
 
     def _merge(self, pre_token: str) -> bytes:
+        known = self.known.get(pre_token)
+        if known is not None:
+            return known
+        if self.single:
+            return array("I", self.single(pre_token.encode("utf-8"))).tobytes()
         return self._piece(pre_token.encode("utf-8").decode("latin-1").translate(self.letters))
 
     def _chunk(self, chunk: str) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, LATIN.findall(chunk)))
+        return b"".join(map(self._merge, LATIN.findall(chunk)))
 
     def _plain(self, text: str) -> bytes:
         try:
@@ -128,6 +134,21 @@ def prove_whole(path: str) -> dict[str, int]:
     return {s: i for s, i in model["vocab"].items() if s not in special and bpe_merge(s, ranks) == [s]}
 
 
+@lru_cache(maxsize=4)
+def _ranked(path: str) -> tiktoken.Encoding | None:
+    """The vocabulary as ranks, if ids rise in the order of the merges (then both ways merge alike)."""
+    with open(path, encoding="utf-8") as f:
+        model = json.load(f)["model"]
+    merged = ["".join(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
+    numbers = [model["vocab"][m] for m in merged]
+    back = {c: b for b, c in enumerate(byte_letters())}
+    singles = [c for c in model["vocab"] if len(c) == 1]
+    if numbers != sorted(set(numbers)) or len(singles) != 256 or max(model["vocab"][c] for c in singles) > numbers[0]:
+        return None
+    ranks = {bytes(map(back.__getitem__, s)): model["vocab"][s] for s in [*singles, *merged]}
+    return tiktoken.Encoding("own", pat_str=r".+", mergeable_ranks=ranks, special_tokens={})
+
+
 def default_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 

@@ -38,3 +38,28 @@ def staged(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     finally:
         spark.conf.set(CLEAN, held)
     return spark.read.schema(df.schema).parquet(path)
+
+
+class Memo(dict):
+    """Values by key, made when they are first asked for; holds two generations of ``most`` entries.
+
+    When the young generation is full it becomes the old one, and the old one
+    goes; what is asked for again moves back to the young one. Long keys are
+    not remembered.
+    """
+
+    def __init__(self, make, most: int, longest: int):
+        super().__init__()
+        self.make, self.most, self.longest, self.old = make, most, longest, {}
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+            if len(key) > self.longest:
+                return value
+        if len(self) >= self.most:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+        return value

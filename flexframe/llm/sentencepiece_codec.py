@@ -32,6 +32,7 @@ import zlib
 from array import array
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import public_tokenizers
 import pyarrow as pa
@@ -39,11 +40,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2
 
-from .common import id_text
+from .common import Memo, id_text
 
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
-REMEMBERED = 600_000
+#: Words and pairs of pieces that a worker remembers, at most so many in each of two generations.
+REMEMBERED = 400_000
 WORD_CHARS = 64
 
 
@@ -83,7 +85,11 @@ class Codec:
         self.unknown_score = min(s for _, s in self.pieces.values()) - UNKNOWN_PENALTY
         # whether a mark after another character is always a boundary
         self.words_part = not any(re.search(f"[^{MARK}]{MARK}", p) for p in self.pieces)
-        self.memo: dict[str, bytes] = {}
+        # pieces that are text by themselves; bytes beyond ASCII are not
+        self.alone = [chr(self.bytes_of[i]) if i in self.bytes_of else "" if i in self.silent else p.replace(MARK, " ")
+                      for i, p in enumerate(self.text_of)]
+        self.high = np.array([i for i, b in self.bytes_of.items() if b >= 0x80], dtype=np.int64)
+        self.words = Memo(lambda word: self._stretch(MARK + word), REMEMBERED, WORD_CHARS)
         self.neighbours: dict[int, bool] = {}
         if self.merges:  # a piece that its own merges don't make is never met
             self.pieces = {p: v for p, v in self.pieces.items() if self.merged(p) == [p]}
@@ -181,10 +187,14 @@ class Codec:
         return [i for a, b, number in reversed(steps) for i in self._ids(text[a:b], number)]
 
     def _word(self, text: str) -> bytes:
-        """``stream`` over a short stretch of a BPE model, in one go: no commits are needed."""
+        """``stream`` over a short stretch of a BPE model: back pointers are made where the path asks for them.
+
+        Each position has one best last piece, the longest that fits what comes before it.
+        """
         pieces, known, fits, longest = self.pieces, self.neighbours, self._fits, self.longest
-        start, piece = [-1], [-1]
-        for end in range(1, len(text) + 1):
+        back: dict[int, tuple[int, int]] = {0: (-1, -1)}
+
+        def last(end: int) -> tuple[int, int]:
             for at in range(end - longest if end > longest else 0, end):
                 b = text[at:end]
                 entry = pieces.get(b)
@@ -195,14 +205,29 @@ class Codec:
                 else:
                     number = entry[0]
                 if at:
-                    before = piece[at]
+                    start, before = back.get(at) or last(at)
                     fit = known.get(before << 32 | number)
-                    if not (fits(before, text[start[at]:at], number, b) if fit is None else fit):
+                    if not (fits(before, text[start:at], number, b) if fit is None else fit):
                         continue
-                break
-            start.append(at)
-            piece.append(number)
-        return array("i", self._path(text, 0, len(text), start, piece, 0)).tobytes()
+                back[end] = at, number
+                return at, number
+            raise AssertionError("a single character always ends a path")
+
+        end, ids = len(text), []
+        while end:
+            start, number = back.get(end) or last(end)
+            ids.append(number if number >= 0 else text[start:end])
+            end = start
+        out = array("i")
+        for x in reversed(ids):
+            if isinstance(x, int):
+                out.append(x)
+            else:
+                out.extend(self._ids(x, -1))
+        return out.tobytes()
+
+    def _stretch(self, text: str) -> bytes:
+        return self._word(text) if self.merges and len(text) <= WORD_CHARS else self._encoded(text)
 
     def encode(self, text: str) -> bytes:
         """The ids of ``text`` as native 32-bit numbers."""
@@ -210,22 +235,10 @@ class Codec:
         if not self.words_part:
             return self._encoded(whole)
         # a boundary before every mark that follows another character
-        out, memo = [], self.memo
-        words = whole.split(MARK)
-        if "" in words[1:]:  # runs of marks: keep them together
-            words = re.findall(f"{MARK}*[^{MARK}]+|{MARK}+$", whole)
-        else:
-            words = [MARK + w for w in words[1:]]
-        for w in words:
-            ids = memo.get(w)
-            if ids is None:
-                ids = self._word(w) if self.merges and len(w) <= WORD_CHARS else self._encoded(w)
-                if len(w) <= WORD_CHARS:
-                    if len(memo) >= REMEMBERED:
-                        memo.clear()
-                    memo[w] = ids
-            out.append(ids)
-        return b"".join(out)
+        words = whole.split(MARK)[1:]
+        if "" in words:  # runs of marks stay together
+            return b"".join(map(self._stretch, re.findall(f"{MARK}*[^{MARK}]+|{MARK}+$", whole)))
+        return b"".join(map(self.words.__getitem__, words))
 
     def _encoded(self, text: str) -> bytes:
         ids = array("i")
@@ -234,21 +247,22 @@ class Codec:
         return ids.tobytes()
 
     def decode(self, ids) -> str:
-        """The text of ``ids``: bytes joined, marks to spaces, one leading space taken off."""
-        out, raw = [], bytearray()
-        for i in ids:
-            byte = self.bytes_of.get(i)
-            if byte is not None:
-                raw.append(byte)
-                continue
-            if raw:
-                out.append(raw.decode("utf-8", "replace"))
-                raw.clear()
-            if i not in self.silent:
-                out.append(self.text_of[i])
-        if raw:
-            out.append(raw.decode("utf-8", "replace"))
-        text = "".join(out).replace(MARK, " ")
+        """The text of ``ids`` (an array): bytes joined, marks to spaces, one leading space taken off."""
+        numbers = ids.tolist()
+        if not len(self.high) or not ((ids >= self.high.min()) & (ids <= self.high.max())).any():
+            text = "".join(map(self.alone.__getitem__, numbers))
+        else:
+            out, raw = [], bytearray()
+            for i in numbers:
+                byte = self.bytes_of.get(i)
+                if byte is not None:
+                    raw.append(byte)
+                    continue
+                if raw:
+                    out.append(raw.decode("utf-8", "replace"))
+                    raw.clear()
+                out.append(self.alone[i])
+            text = "".join(out) + raw.decode("utf-8", "replace")
         return text[1:] if text.startswith(" ") else text
 
 
@@ -292,7 +306,7 @@ def decode(df: DataFrame, path: str | None = None, ids_col: str = "ids", out_col
 
     def texts(ids: pd.Series) -> pd.Series:
         codec = loaded(path)
-        return pd.Series([None if x is None else codec.decode(x.tolist()) for x in ids], dtype=object)
+        return pd.Series([None if x is None else codec.decode(x) for x in ids], dtype=object)
 
     return df.withColumn(out_col, F.pandas_udf(texts, "string")(df[ids_col]))
 
