@@ -93,6 +93,9 @@ class Codec:
         self.neighbours: dict[int, bool] = {}
         if self.merges:  # a piece that its own merges don't make is never met
             self.pieces = {p: v for p, v in self.pieces.items() if self.merged(p) == [p]}
+        # the ends of pieces: the id of a piece, -2 for what is only the end of one
+        self.tails = {p[-n:]: -2 for p in self.pieces for n in range(1, len(p))}
+        self.tails.update((p, v[0]) for p, v in self.pieces.items())
 
     def normalise(self, text: str) -> str:
         return MARK + text.replace(" ", MARK) if text else ""
@@ -191,23 +194,23 @@ class Codec:
 
         Each position has one best last piece, the longest that fits what comes before it.
         """
-        pieces, known, fits, longest = self.pieces, self.neighbours, self._fits, self.longest
+        tails, known, fits = self.tails, self.neighbours, self._fits
         back: dict[int, tuple[int, int]] = {0: (-1, -1)}
 
         def last(end: int) -> tuple[int, int]:
-            for at in range(end - longest if end > longest else 0, end):
-                b = text[at:end]
-                entry = pieces.get(b)
-                if entry is None:
-                    if at < end - 1:
-                        continue
-                    number = -1
-                else:
-                    number = entry[0]
+            at = end - 1
+            number = tails.get(text[at:end], -1)
+            ending = [(at, number if number >= 0 else -1)]  # pieces that end here, longer and longer
+            while at and number != -1:
+                at -= 1
+                number = tails.get(text[at:end], -1)
+                if number >= 0:
+                    ending.append((at, number))
+            for at, number in reversed(ending):
                 if at:
                     start, before = back.get(at) or last(at)
                     fit = known.get(before << 32 | number)
-                    if not (fits(before, text[start:at], number, b) if fit is None else fit):
+                    if not (fits(before, text[start:at], number, text[at:end]) if fit is None else fit):
                         continue
                 back[end] = at, number
                 return at, number
