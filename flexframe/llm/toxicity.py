@@ -99,21 +99,35 @@ def _distinct(keys: np.ndarray) -> np.ndarray:
     return keys[np.flatnonzero(np.diff(keys, prepend=-1))]
 
 
-def _sample_features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (document, feature) pairs, sorted by document."""
-    keys = [_distinct(d.astype(np.int64) << BITS | c) for d, c in grams(texts)]
-    every = _distinct(np.concatenate(keys)) if keys else np.empty(0, np.int64)
-    return every >> BITS, every & ((1 << BITS) - 1)
+def _chunks(texts: list[bytes], size: int = 1 << 20) -> Iterator[tuple[int, list[bytes]]]:
+    """(number of the first text, texts) in lists of about ``size`` bytes."""
+    at, total = 0, 0
+    for k, text in enumerate(texts):
+        total += len(text)
+        if total >= size:
+            yield at, texts[at:k + 1]
+            at, total = k + 1, 0
+    if at < len(texts):
+        yield at, texts[at:]
+
+
+def _present(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Distinct (document, feature) pairs, a chunk of documents at a time."""
+    for first, some in _chunks(texts):
+        keys = [np.empty(0, np.int64)] + [d.astype(np.int64) << BITS | c for d, c in grams(some)]
+        every = _distinct(np.concatenate(keys))
+        yield first + (every >> BITS), every & ((1 << BITS) - 1)
 
 
 def train(texts: list[bytes], labels: np.ndarray, features: int = FEATURES, smooth: float = 1.0, decay: float = 0.01,
           steps: int = 150, rate: float = 0.1) -> Model:
-    """The model of labelled texts (both classes present)."""
-    doc, code = _sample_features(texts)
-    toxic = labels[doc].astype(bool)
+    """The model of labelled texts (both classes present). Two passes, so that only chosen features are held."""
     size = 1 << BITS
-    p = np.bincount(code[toxic], minlength=size) + smooth
-    q = np.bincount(code[~toxic], minlength=size) + smooth
+    p, q = np.full(size, smooth), np.full(size, smooth)
+    for doc, code in _present(texts):
+        toxic = labels[doc].astype(bool)
+        p += np.bincount(code[toxic], minlength=size)
+        q += np.bincount(code[~toxic], minlength=size)
     ratio = np.log(p / p.sum()) - np.log(q / q.sum())
     # what tells the classes apart: the log likelihood that a ratio other than 0 gains
     own, other = p - smooth, q - smooth
@@ -124,10 +138,10 @@ def train(texts: list[bytes], labels: np.ndarray, features: int = FEATURES, smoo
     gain[(gain < LEAST_GAIN) | (np.abs(ratio) < LEAST_RATIO)] = 0
     chosen = np.sort(np.argsort(-gain, kind="stable")[:features])
     chosen = chosen[gain[chosen] > 0]
-    place = np.full(size, -1, np.int64)
+    place = np.full(size, -1, np.int32)
     place[chosen] = np.arange(len(chosen))
-    col = place[code]
-    row, col = doc[col >= 0], col[col >= 0]
+    held = [(doc[place[code] >= 0], place[code[place[code] >= 0]]) for doc, code in _present(texts)]
+    row, col = (np.concatenate([x[i] for x in held]) for i in (0, 1))
     scale = ratio[chosen] / max(1e-9, np.abs(ratio[chosen]).max(initial=0))
     value, n = scale[col], len(labels)
     w, b = np.zeros(len(chosen)), 0.0
