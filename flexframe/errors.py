@@ -20,7 +20,7 @@ class ErrorThresholdExceeded(RuntimeError):
     pass
 
 
-@dataclass(frozen=True)
+@dataclass(frozen=True, eq=False)
 class ErrorStage:
     op: str
     ctx: str
@@ -50,6 +50,11 @@ def empty_errors(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], ERROR_SCHEMA)
 
 
+def unique_stages(stages: list[ErrorStage]) -> list[ErrorStage]:
+    """Each stage once, in order: frames that were split and joined again share their earlier stages."""
+    return list({id(s): s for s in stages}.values())
+
+
 def stage_counts(stages: list[ErrorStage]) -> list[int]:
     """Error count of every stage in one job (a union and one small aggregate)."""
     indexed = [(i, s.df) for i, s in enumerate(stages) if s.df is not None]

@@ -33,7 +33,15 @@ def url_extension(url) -> Column:
     return F.when(F.instr(last, ".") > 0, F.lower(F.substring_index(last, ".", -1))).otherwise(F.lit(""))
 
 
+def percent_encoded(text) -> Column:
+    """Percent-encoded UTF-8; letters, digits and ``_.-~/`` stay as they are, blanks are ``%20``."""
+    out = F.url_encode(_col(text))
+    # the form encoding differs in these: fixed values
+    for form, plain in (("+", "%20"), ("*", "%2A"), ("%2F", "/"), ("%7E", "~")):
+        out = F.replace(out, F.lit(form), F.lit(plain))
+    return out
+
+
 def search_url(term, template_head: str, template_tail: str = "") -> Column:
-    """Search URL: percent-encoded term (space as ``%20``) inside a fixed template."""
-    enc = F.replace(F.url_encode(_col(term)), F.lit("+"), F.lit("%20"))
-    return F.concat(F.lit(template_head), enc, F.lit(template_tail))
+    """Search URL: percent-encoded term inside a fixed template."""
+    return F.concat(F.lit(template_head), percent_encoded(term), F.lit(template_tail))

@@ -13,7 +13,7 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
-from ..errors import ErrorStage
+from ..errors import ErrorStage, unique_stages
 from ..frame import Frame
 from ..paths import resolve, split_path, top
 
@@ -68,5 +68,5 @@ def join(frame1: Frame, paths1, paths2, frame2: Frame, ctx="", info="", stage=0,
         parts = split_path(p)
         parts[0] = renames.get(parts[0], parts[0])
         choices[".".join(parts)] = names
-    errors = frame1.errors + frame2.errors + [ErrorStage("join", ctx, info, None, stage, total)]
+    errors = unique_stages(frame1.errors + frame2.errors) + [ErrorStage("join", ctx, info, None, stage, total)]
     return Frame(out, frame1.name + frame2.name, errors, choices)

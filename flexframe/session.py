@@ -9,6 +9,7 @@ tests) do we create one ourselves.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -36,9 +37,6 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
-_LOCAL_CKPT: dict[int, str] = {}
-
-
 def _context(spark: SparkSession):
     """The SparkContext, or None for a Spark Connect session."""
     try:
@@ -48,21 +46,29 @@ def _context(spark: SparkSession):
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, creating a local one only if unset."""
+    """The shared folder for checkpoints and staged tables; the same one in every application.
+
+    It is ``spark.checkpoint.dir`` itself, not the folder below it that Spark
+    makes anew for each application. Where the setting is missing, a folder
+    given to ``setCheckpointDir`` serves, and in local mode a temporary one;
+    on a cluster without either this raises, since no other folder is shared.
+    """
     sc = _context(spark)
-    if sc is not None:
-        current = sc.getCheckpointDir()
-        if current:
-            return current
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if not conf and sc is not None:
         conf = sc.getConf().get("spark.checkpoint.dir", None)
-    if not conf:
-        conf = _LOCAL_CKPT.setdefault(id(spark), tempfile.mkdtemp(prefix="flexframe-ckpt-"))
-    if sc is None:
+    current = sc.getCheckpointDir() if sc is not None else None
+    if conf:
+        if sc is not None and not current:
+            sc.setCheckpointDir(conf)
         return conf
-    sc.setCheckpointDir(conf)
-    return sc.getCheckpointDir() or conf
+    if current:
+        return current.rstrip("/").rsplit("/", 1)[0]  # without the application's own folder
+    if sc is None or not re.match(r"local($|\[)", sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    made = tempfile.mkdtemp(prefix="flexframe-ckpt-")
+    sc.setCheckpointDir(made)
+    return made
 
 
 def scratch_dir(spark: SparkSession, label: str = "scratch") -> str:

@@ -1,24 +1,35 @@
 """Incremental reads ("bookmarks"): each transformation_ctx sees only new files.
 
 The ledger is a parquet table ``(job, ctx, run_id, file_path, modified_at)``
-in a shared folder (``<spark.checkpoint.dir>/flexframe-bookmarks`` unless one
-is given). Listing the input uses Spark's ``binaryFile`` source with only the
-``path`` / ``modificationTime`` columns, so no file content is read; new files
-are the listing ``left_anti`` the ledger. ``Job.commit()`` appends what each
-ctx read during this run; without a commit nothing is remembered.
-
-Modes (``job-bookmark-option``): ``job-bookmark-enable`` reads new files and
-records them; ``job-bookmark-pause`` reads new files without recording, or with
-``job-bookmark-from`` / ``job-bookmark-to`` re-reads the files recorded by runs
-after *from* up to *to*; ``job-bookmark-disable`` (default) reads everything.
+in a folder that stays the same between applications
+(``<spark.checkpoint.dir>/flexframe-bookmarks`` unless one is given). The input
+is listed with Spark's ``binaryFile`` source, of which only the file metadata
+columns are read; a file is new if the ledger doesn't hold it with its present
+modification time, so files that were overwritten are read again.
+
+What a ctx has to read is a staged table, never a list on the driver. The
+input itself is loaded by its folders (partition columns stay) and narrowed by
+modification time, which Spark applies to its listing, and then to the exact
+files by a semi join on the file metadata.
+
+``Job.commit()`` appends what each ctx read during this run; without a commit
+nothing is remembered. Modes (``job-bookmark-option``): ``job-bookmark-enable``
+reads new files and records them; ``job-bookmark-pause`` reads new files
+without recording, or with ``job-bookmark-from`` / ``job-bookmark-to`` re-reads
+the files recorded by runs after *from* up to *to*; ``job-bookmark-disable``
+(default) reads everything.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from dataclasses import dataclass
+from datetime import datetime, timedelta
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, scratch_dir
 
 # Option values, and the older names that map onto them in order.
 ENABLE, PAUSE, DISABLE = "job-bookmark-enable", "job-bookmark-pause", "job-bookmark-disable"
@@ -28,33 +39,67 @@ LEDGER_SCHEMA = "job string, ctx string, run_id long, file_path string, modified
 _ACTIVE: "Job | None" = None
 
 
+def _option(args: dict, name: str):
+    """An option by its name, with or without leading dashes, with dashes or underscores."""
+    for key in (name, f"--{name}", name.replace("-", "_")):
+        if args.get(key) is not None:
+            return args[key]
+    return None
+
+
+@dataclass(frozen=True)
+class Selection:
+    """The files one ctx has to read: a staged table, and the time range they lie in (None: no file)."""
+
+    files: DataFrame
+    since: datetime | None
+    until: datetime | None
+
+    def narrow(self, reader):
+        """A reader that lists only files of the time range."""
+        stamp = lambda t: t.strftime("%Y-%m-%dT%H:%M:%S")
+        return (reader.option("modifiedAfter", stamp(self.since - timedelta(seconds=1)))
+                .option("modifiedBefore", stamp(self.until + timedelta(seconds=2))))
+
+    def only(self, df: DataFrame) -> DataFrame:
+        """The rows of ``df`` that come from the chosen files; ``df`` must be a file scan."""
+        chosen = self.files.select(F.col("file_path").alias("__ff_path"))
+        tagged = df.withColumn("__ff_file", F.col("_metadata.file_path"))
+        return tagged.join(chosen, F.col("__ff_file") == F.col("__ff_path"), "left_semi").drop("__ff_file")
+
+    def load(self, spark: SparkSession, make):
+        """``make(reader)`` over the chosen files; without any, its columns and no row."""
+        if self.since is None:
+            return make(spark.read).where(F.lit(False))
+        return self.only(make(self.narrow(spark.read)))
+
+
 class Job:
     def __init__(self, spark: SparkSession, bookmark_dir: str | None = None):
         self.spark = spark
-        base = bookmark_dir or f"{ensure_checkpoint_dir(spark).rstrip('/')}/flexframe-bookmarks"
-        self.ledger_path = base
+        self.ledger_path = bookmark_dir or f"{ensure_checkpoint_dir(spark).rstrip('/')}/flexframe-bookmarks"
         self.name = None
         self.mode = DISABLE
         self.range = None
         self.run_id = None
-        self._pending: list = []
+        self._pending: list[tuple[str, DataFrame]] = []
 
     def init(self, job_name: str, args: dict | None = None) -> "Job":
         global _ACTIVE
         args = dict(args or {})
-        mode = args.get("job-bookmark-option", args.get("--job-bookmark-option", DISABLE))
+        mode = _option(args, "job-bookmark-option") or _option(args, "continuation-option") or DISABLE
         mode = OLD_NAMES.get(mode, mode)
         if mode not in (ENABLE, PAUSE, DISABLE):
             raise ValueError(f"unknown bookmark option {mode!r}")
-        frm = args.get("job-bookmark-from", args.get("--job-bookmark-from"))
-        to = args.get("job-bookmark-to", args.get("--job-bookmark-to"))
-        if mode == PAUSE and (frm is None) != (to is None):
+        ends = [_option(args, "job-bookmark-from"), _option(args, "job-bookmark-to")]
+        given = sum(x is not None for x in ends)
+        if mode == PAUSE and given == 1:
             raise ValueError("job-bookmark-from and job-bookmark-to go together")
-        if mode != PAUSE and (frm is not None or to is not None):
-            raise ValueError("job-bookmark-from / -to are only allowed with job-bookmark-pause")
+        if mode != PAUSE and given == 2:
+            raise ValueError("a bookmark range is only allowed with job-bookmark-pause")
         self.name = job_name
         self.mode = mode
-        self.range = (int(frm), int(to)) if frm is not None else None
+        self.range = (int(ends[0]), int(ends[1])) if mode == PAUSE and given == 2 else None
         self.run_id = self._last_run() + 1
         self._pending = []
         _ACTIVE = self
@@ -63,46 +108,64 @@ class Job:
     def isInitialized(self) -> bool:
         return self.name is not None
 
-    def _ledger(self):
+    def _ledger(self) -> DataFrame:
         try:
             return self.spark.read.schema(LEDGER_SCHEMA).parquet(self.ledger_path)
-        except Exception:  # noqa: BLE001 - no ledger yet
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise  # a ledger that can't be read is not an empty one
             return self.spark.createDataFrame([], LEDGER_SCHEMA)
 
     def _last_run(self) -> int:
         row = self._ledger().where(F.col("job") == self.name).agg(F.max("run_id").alias("m")).collect()[0]
         return row["m"] or 0
 
-    def files_for(self, ctx: str, paths: list[str]) -> list[str]:
-        """Input files this ctx should read in this run."""
-        listing = (self.spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
-                   .select(F.col("path").alias("file_path"), F.col("modificationTime").alias("modified_at")))
-        if self.mode == DISABLE:
-            return [r["file_path"] for r in listing.select("file_path").collect()]
+    def _listing(self, paths: list[str]) -> DataFrame:
+        return (self.spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
+                .select(F.col("_metadata.file_path").alias("file_path"),
+                        F.col("_metadata.file_modification_time").alias("modified_at")))
+
+    def select(self, ctx: str, listing: DataFrame) -> Selection:
+        """What of ``listing`` (file_path, modified_at) this ctx should read in this run."""
         seen = self._ledger().where((F.col("job") == self.name) & (F.col("ctx") == ctx))
-        if self.mode == PAUSE and self.range is not None:
+        if self.range is not None:
             lo, hi = self.range
-            chosen = listing.join(seen.where((F.col("run_id") > lo) & (F.col("run_id") <= hi)).select("file_path"),
-                                  "file_path", "left_semi")
+            recorded = seen.where((F.col("run_id") > lo) & (F.col("run_id") <= hi)).select("file_path")
+            chosen = listing.join(recorded, "file_path", "left_semi")
         else:
-            chosen = listing.join(seen.select("file_path"), "file_path", "left_anti")
-        rows = chosen.collect()
-        if self.mode == ENABLE:
-            self._pending.extend((self.name, ctx, self.run_id, r["file_path"], r["modified_at"]) for r in rows)
-        return [r["file_path"] for r in rows]
+            chosen = listing.join(seen.select("file_path", "modified_at"), ["file_path", "modified_at"], "left_anti")
+        path = scratch_dir(self.spark, "bookmark-files")
+        chosen.write.mode("overwrite").parquet(path)
+        files = self.spark.read.schema("file_path string, modified_at timestamp").parquet(path)
+        # wall-clock times of the session's zone, as the listing options read them
+        clock = lambda x: F.to_timestamp_ntz(F.date_format(x, "yyyy-MM-dd HH:mm:ss"))
+        ends = files.agg(clock(F.min("modified_at")).alias("since"), clock(F.max("modified_at")).alias("until")).collect()[0]
+        if self.mode == ENABLE and ends["since"] is not None:
+            self._pending.append((ctx, files))
+        return Selection(files, ends["since"], ends["until"])
+
+    def select_paths(self, ctx: str, paths: list[str]) -> Selection:
+        return self.select(ctx, self._listing(paths))
 
     def commit(self) -> None:
-        if self.mode == ENABLE and self._pending:
-            self.spark.createDataFrame(self._pending, LEDGER_SCHEMA).write.mode("append").parquet(self.ledger_path)
+        """Records what was read, and ends the run: later reads are whole again."""
+        global _ACTIVE
+        for ctx, files in self._pending:
+            rows = files.select(F.lit(self.name).alias("job"), F.lit(ctx).alias("ctx"),
+                                F.lit(self.run_id).cast("long").alias("run_id"), "file_path", "modified_at")
+            rows.write.mode("append").parquet(self.ledger_path)
         self._pending = []
+        if _ACTIVE is self:
+            _ACTIVE = None
 
 
 def active_job() -> "Job | None":
     return _ACTIVE
 
 
-def bookmarked_paths(spark: SparkSession, ctx: str, paths: list[str], fmt: str) -> list[str]:
+def selecting_job(ctx: str) -> "Job | None":
+    """The job that decides what ``ctx`` reads, if any does."""
     job = _ACTIVE
-    if job is None or not job.isInitialized() or job.mode == DISABLE:
-        return paths
-    return job.files_for(ctx, paths)
+    if not ctx or job is None or not job.isInitialized() or job.mode == DISABLE:
+        return None
+    return job

@@ -17,6 +17,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from ..errors import ErrorStage, error_rows
 from ..frame import Frame, new_name
+from .bookmark import selecting_job
 
 # File-like connection types, and the options renamed for csv.
 FILE_CONNECTIONS = ("s3", "file", "hdfs", "local", "gs", "abfs", "adl", "wasb")
@@ -70,6 +71,27 @@ def _csv_options(format_options: dict) -> dict:
     return out
 
 
+def _read_csv(load, paths: list[str], options: dict, schema, ctx: str) -> tuple[DataFrame, ErrorStage]:
+    """Rows that fit the columns (given, or those of the header and the inferred types), and the others as errors."""
+    if schema is None:
+        found = load(lambda r: r.options(**options).csv(paths)).schema
+    else:
+        found = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    wide = StructType([*found.fields, StructField(CORRUPT, StringType())])
+    rest = {k: v for k, v in options.items() if k.lower() not in ("mode", "columnnameofcorruptrecord", "inferschema")}
+    df = load(lambda r: r.schema(wide).options(**rest).option("mode", "PERMISSIVE")
+              .option("columnNameOfCorruptRecord", CORRUPT).csv(paths))
+    # the corrupt column can't be read alone, so the filter also touches the first column (always true)
+    touch = F.lit(True)
+    if found.fields:
+        first = F.col("`" + found.fields[0].name + "`")
+        touch = first.isNull() | first.isNotNull()
+    bad = df.where(F.col(CORRUPT).isNotNull() & touch).select(
+        F.lit("read_csv").alias("op"), F.lit(ctx).alias("transformation_ctx"),
+        F.lit("").alias("info"), F.lit("malformed csv line").alias("message"), F.col(CORRUPT).alias("record"))
+    return df.where(F.col(CORRUPT).isNull()).drop(CORRUPT), ErrorStage("read_csv", ctx, "", bad)
+
+
 def from_options(
     spark: SparkSession,
     connection_type: str,
@@ -98,54 +120,46 @@ def from_options(
     paths = _paths(connection_options)
     name = frame_name(paths)
 
-    if transformation_ctx:
-        from .bookmark import bookmarked_paths
-
-        paths = bookmarked_paths(spark, transformation_ctx, paths, fmt)
-        if not paths:
-            from ..schema import parse_type
+    job = selecting_job(transformation_ctx)
+    chosen = job.select_paths(transformation_ctx, paths) if job else None
 
-            empty_schema = parse_type(schema) if isinstance(schema, str) else (schema or StructType([]))
-            return Frame(spark.createDataFrame([], empty_schema), name)
+    def load(make) -> DataFrame:
+        """``make(reader)``, over the files a bookmark leaves if there is one."""
+        return make(spark.read) if chosen is None else chosen.load(spark, make)
 
     if fmt == "json":
         from ..operators.choice import read_json_frame
 
-        frame = read_json_frame(spark, paths, schema=schema, ctx=transformation_ctx, **format_options)
+        frame = read_json_frame(spark, paths, schema=schema, ctx=transformation_ctx, load=load, **format_options)
         frame.name = name
         if push_down_predicate:
             frame.df = frame.df.where(push_down_predicate)
         frame.df = apply_partition_hints(frame.df, {**connection_options, **hints})
         return frame
 
-    reader = spark.read
     errors = []
     if fmt == "csv":
-        opts = _csv_options(format_options)
-        if schema is not None:
-            s = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
-            s = StructType(list(s.fields) + [StructField(CORRUPT, StringType())])
-            reader = reader.schema(s).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-        df = reader.options(**opts).csv(paths)
-        if schema is not None:
-            # Spark will not scan a csv file for the corrupt column alone, so the
-            # error filter also touches the first data column (always true)
-            first = F.col("`" + s.fields[0].name + "`")
-            bad = df.where(F.col(CORRUPT).isNotNull() & (first.isNull() | first.isNotNull())).select(
-                F.lit("read_csv").alias("op"), F.lit(transformation_ctx).alias("transformation_ctx"),
-                F.lit("").alias("info"), F.lit("malformed csv line").alias("message"), F.col(CORRUPT).alias("record"))
-            errors.append(ErrorStage("read_csv", transformation_ctx, "", bad))
-            df = df.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+        df, stage = _read_csv(load, paths, _csv_options(format_options), schema, transformation_ctx)
+        errors.append(stage)
     else:
-        if schema is not None:
-            reader = reader.schema(schema)
-        df = reader.format(fmt or "parquet").options(**format_options).load(paths)
+        with_schema = lambda r: r if schema is None else r.schema(schema)
+        df = load(lambda r: with_schema(r).format(fmt or "parquet").options(**format_options).load(paths))
     if push_down_predicate:
         df = df.where(push_down_predicate)
     df = apply_partition_hints(df, {**connection_options, **hints})
     return Frame(df, name, errors)
 
 
+def table_in(database: str | None, name_space: str | None, table_name: str | None) -> str:
+    """The full name of a catalog table; the database goes by either of two argument names."""
+    given = [x for x in (database, name_space) if x is not None]
+    if len(given) > 1:
+        raise ValueError(f"the database is named twice: {database!r} and {name_space!r}")
+    if not table_name:
+        raise ValueError("no table_name was given")
+    return ".".join([*filter(None, given), table_name])
+
+
 def from_catalog(
     spark: SparkSession,
     database: str | None = None,
@@ -156,14 +170,16 @@ def from_catalog(
     name_space: str | None = None,
     **kwargs,
 ) -> Frame:
-    """Read a catalog table (``database.table`` or a temp view when no database)."""
-    if database is not None and name_space is not None:
-        raise ValueError("Parameter name_space and database are both specified, choose one.")
-    db = database if database is not None else name_space
-    if not table_name:
-        raise ValueError("Parameter table_name is missing.")
-    full = f"{db}.{table_name}" if db else table_name
-    df = spark.table(full)
+    """Read a catalog table (``database.table`` or a temp view when no database).
+
+    Under a bookmark job only the table's new files are read; the table must be one of files then.
+    """
+    df = spark.table(table_in(database, name_space, table_name))
+    job = selecting_job(transformation_ctx)
+    if job:
+        files = df.select(F.col("_metadata.file_path").alias("file_path"),
+                          F.col("_metadata.file_modification_time").alias("modified_at")).distinct()
+        df = job.select(transformation_ctx, files).only(df)
     if push_down_predicate:
         df = df.where(push_down_predicate)
     df = apply_partition_hints(df, dict(additional_options or {}))

@@ -8,10 +8,11 @@ thresholds recorded on the frame.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..errors import check_thresholds
 from ..frame import Frame, FrameSet
-from .readers import CSV_OPTION_NAMES
+from .readers import CSV_OPTION_NAMES, table_in
 
 
 def _writer(df: DataFrame, fmt: str, format_options: dict, connection_options: dict):
@@ -64,22 +65,25 @@ def write_from_options(frame_or_set, connection_type, connection_options=None, f
             opts = dict(connection_options, path=f"{base}/{name}")
             out[f"{name}_errors"] = write_frame(frame, connection_type, opts, format, format_options)
         return FrameSet(out)
-    raise TypeError("frame_or_dfc must be a Frame or FrameSet.")
+    raise TypeError(f"can write a Frame or a FrameSet, not {type(frame_or_set).__name__}")
 
 
 def write_to_catalog(frame: Frame, database: str | None = None, table_name: str | None = None, name_space: str | None = None,
                      mode: str = "append", format: str = "parquet", partition_keys=None) -> Frame:
-    """Write to a catalog table: insert when it exists, else create it."""
-    if database is not None and name_space is not None:
-        raise ValueError("Parameter name_space and database are both specified, choose one.")
-    if not table_name:
-        raise ValueError("Parameter table_name is missing.")
+    """Write to a catalog table: insert by column name when it exists, else create it.
+
+    A column that the frame or the table lacks raises; names match without regard to case.
+    """
+    full = table_in(database, name_space, table_name)
     check_thresholds(frame.errors)
-    db = database if database is not None else name_space
-    full = f"{db}.{table_name}" if db else table_name
     spark = frame.spark
     if spark.catalog.tableExists(full):
-        frame.df.write.mode(mode).insertInto(full)
+        have = {c.lower(): c for c in frame.df.columns}
+        want = spark.table(full).columns
+        missing, extra = [c for c in want if c.lower() not in have], set(have) - {c.lower() for c in want}
+        if missing or extra:
+            raise ValueError(f"columns don't match table {full}: missing {missing}, not in the table {sorted(extra)}")
+        frame.df.select(*[F.col(f"`{have[c.lower()]}`").alias(c) for c in want]).write.mode(mode).insertInto(full)
     else:
         w = frame.df.write.mode(mode).format(format)
         if partition_keys:

@@ -122,7 +122,9 @@ def test_bookmarks(spark, tmp_path):
     with pytest.raises(ValueError):
         job.init("j", {"job-bookmark-option": "job-bookmark-pause", "job-bookmark-from": "1"})
     with pytest.raises(ValueError):
-        job.init("j", {"job-bookmark-option": "job-bookmark-enable", "job-bookmark-to": "1"})
+        job.init("j", {"job-bookmark-option": "job-bookmark-enable", "job-bookmark-from": "1", "job-bookmark-to": "1"})
+    job.init("j", {"job-bookmark-option": "job-bookmark-enable", "job-bookmark-to": "1"})  # one end alone is ignored
+    assert job.range is None
     job.init("j", {"job-bookmark-option": "continuation-ignore"})
     assert job.mode == "job-bookmark-disable"
 
