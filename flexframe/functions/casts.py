@@ -24,7 +24,8 @@ from pyspark.sql.types import (
     StringType,
 )
 
-_WS = r"[\x00-\x20]*"
+# what Spark trims before it parses: blanks and control characters
+_WS = r"[\x00-\x20\x7F-\x9F]*"
 # Screens for the string forms Spark can cast to numbers / booleans.
 INTEGRAL = rf"^{_WS}[+-]?[0-9]+(\.[0-9]*)?{_WS}$"
 DECIMAL = rf"^{_WS}[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?[dDfF]?{_WS}$"

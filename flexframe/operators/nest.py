@@ -13,7 +13,8 @@ So ids are stamped once and the stamped rows are written to a staging folder
 (under the cluster's checkpoint dir by default); every table is derived from
 the read-back. That write also cuts the lineage, so a lost executor only
 re-reads staged files. With ``options={"key": [...]}`` the caller's columns
-form the key and nothing is staged. Child tables are ``posexplode`` over the
+form the key (several as a JSON array of texts; it must tell rows apart) and nothing is
+staged. Maps are kept as they are, in every table. Child tables are ``posexplode`` over the
 staged rows: narrow, no shuffle.
 """
 
@@ -85,7 +86,9 @@ def relationalize(frame: Frame, root_table_name: str, staging_path=None, options
     key_cols = options.get("key")
     if key_cols:
         key_cols = [key_cols] if isinstance(key_cols, str) else list(key_cols)
-        base = frame.df.withColumn(_ID, F.concat_ws("|", *[top(c).cast("string") for c in key_cols]))
+        # one column: its text; several: their texts as JSON, nulls kept, so that different keys never meet
+        values = [top(c).cast("string") for c in key_cols]
+        base = frame.df.withColumn(_ID, values[0] if len(values) == 1 else F.to_json(F.array(*values)))
     else:
         path = staging_path or scratch_dir(spark, "relationalize")
         target = f"{path.rstrip('/')}/{root_table_name}-{__import__('uuid').uuid4().hex}"
@@ -170,12 +173,15 @@ def unbox(frame: Frame, path: str, format: str, options: dict, ctx="", info="",
             new_choices = {(f"{path}.{p}" if p else path): n for p, n in choice_paths(t).items()}
     elif fmt == "csv":
         sep = options.get("separator", ",")
-        text = node
+        whole = F.rtrim(node, F.lit("\r\n"))
+        text = F.when(F.instr(whole, "\n") == 0, whole)
         csv_opts = {"sep": sep, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
         if options.get("escaper"):
             csv_opts["escape"] = options["escaper"]
         if options.get("skipFirst") or options.get("withHeader"):
-            text = F.when(F.instr(node, "\n") > 0, F.substring_index(node, "\n", -1)).otherwise(F.lit(None))
+            # the header line, then one data line; more of them do not fit one record
+            lines = F.split(F.rtrim(node, F.lit("\r\n")), "\r?\n")
+            text = F.when(F.size(lines) == 2, F.get(lines, F.lit(1)))
         if schema is None:
             if options.get("withHeader"):
                 first = frame.df.where(node.isNotNull()).select(F.substring_index(node, "\n", 1).alias("h")).head(1)

@@ -153,12 +153,17 @@ def filter_rows(frame: Frame, f, ctx="", info="", stage=0, total=0, deterministi
 NO_RECORD = "function returned no record"
 
 
-def map_rows(frame: Frame, f: Callable, schema=None, ctx="", info="", stage=0, total=0, deterministic=True) -> Frame:
-    """Apply ``f`` to every record; failures and empty results become error records.
+def map_rows(frame: Frame, f: Callable, schema=None, ctx="", info="", stage=0, total=0, deterministic=True, infer=False) -> Frame:
+    """Apply ``f`` to every record; failures, empty results and fields outside the schema become error records.
 
     Spark needs the output schema up front; it defaults to the input schema.
+    With ``infer`` it is found from the results: they are staged as JSON text
+    and read as drifting JSON, so any record may come back and conflicting
+    types become choices.
     """
     ship_package(frame.spark)
+    if infer:
+        return _map_inferred(frame, f, ctx, info, stage, total)
     out = schema if schema is not None else frame.df.schema
     if isinstance(out, str):
         from pyspark.sql.types import _parse_datatype_string
@@ -178,6 +183,9 @@ def map_rows(frame: Frame, f: Callable, schema=None, ctx="", info="", stage=0, t
                     res = f(Record(rec))
                     if res:
                         d = dict(res)
+                        unknown = [n for n in d if n not in names]
+                        if unknown:
+                            raise KeyError(f"fields not in the output schema: {unknown}")
                         row = {n: d.get(n) for n in names}
                         row[_ERR] = None
                         row[_REC] = None
@@ -217,6 +225,39 @@ def map_rows(frame: Frame, f: Callable, schema=None, ctx="", info="", stage=0, t
     return frame._next(good, ErrorStage("map", ctx, info, bad, stage, total), choices={})
 
 
+def _map_inferred(frame: Frame, f: Callable, ctx, info, stage, total) -> Frame:
+    from ..session import scratch_dir
+    from .choice import frame_from_json_text
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            out, err, record = [], [], []
+            for rec in batch.to_pylist():
+                try:
+                    res = f(Record(rec))
+                    if not res:
+                        raise ValueError(NO_RECORD)
+                    out.append(_dump(dict(res)))
+                    err.append(None)
+                    record.append(None)
+                except Exception as e:  # noqa: BLE001 - failure becomes an error record
+                    out.append(None)
+                    err.append(str(e))
+                    record.append(_dump(rec))
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.string()) for x in (out, err, record)], names=["value", _ERR, _REC])
+
+    path = scratch_dir(frame.spark, "map")
+    frame.df.mapInArrow(run, f"value string, {_ERR} string, {_REC} string").write.mode("overwrite").parquet(path)
+    done = frame.spark.read.parquet(path)
+    bad = done.where(F.col(_ERR).isNotNull()).select(
+        F.lit("map").alias("op"), F.lit(ctx).alias("transformation_ctx"), F.lit(info).alias("info"),
+        F.col(_ERR).alias("message"), F.col(_REC).alias("record"))
+    found = frame_from_json_text(done.where(F.col(_ERR).isNull()), "value", ctx, "map")
+    return Frame(found.df, frame.name, [*frame.errors, *found.errors, ErrorStage("map", ctx, info, bad, stage, total)], found.choices)
+
+
 def map_partitions(frame: Frame, f: Callable, schema=None, ctx="", info="", stage=0, total=0) -> Frame:
     """``f(partition_index, iterator_of_records) -> iterator_of_records``."""
     ship_package(frame.spark)

@@ -4,8 +4,8 @@ Each page is one row, so everything that is "per page" (all links of a page,
 the first N after an offset, the related tabs up to a stop marker) is an
 array expression on that row: ``regexp_extract_all`` then ``filter`` /
 ``slice`` / ``posexplode``. No window, no shuffle, and a page is never split
-across tasks. Only the cross-page dedupe and the totals shuffle, on their keys,
-with map-side partial aggregation.
+across tasks. Only the totals shuffle, on their key, with map-side partial
+aggregation.
 """
 
 from __future__ import annotations
@@ -23,21 +23,54 @@ TAB_PATTERN = r'(?s)class="dtviD".*?href="([^"]*)"'
 TAB_NAME_PATTERN = r",g_1:([^:&]*)"
 TAB_STOP_NAME = "background-color"
 TAB_NAME_LIMIT = 100
-# HTML entities undone before parsing embedded JSON.
-ENTITIES = [("&quot;", '"'), ("&#39;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")]
+# Names of HTML entities with their characters (the ampersand goes last, see ``unescape``).
+ENTITIES = [
+    ("quot", '"'), ("apos", "'"), ("lt", "<"), ("gt", ">"), ("nbsp", "\u00a0"), ("iexcl", "¡"), ("cent", "¢"), ("pound", "£"),
+    ("yen", "¥"), ("sect", "§"), ("copy", "©"), ("laquo", "«"), ("reg", "®"), ("deg", "°"), ("plusmn", "±"), ("para", "¶"),
+    ("middot", "·"), ("raquo", "»"), ("frac14", "¼"), ("frac12", "½"), ("frac34", "¾"), ("iquest", "¿"), ("Agrave", "À"),
+    ("Aacute", "Á"), ("Acirc", "Â"), ("Atilde", "Ã"), ("Auml", "Ä"), ("Aring", "Å"), ("AElig", "Æ"), ("Ccedil", "Ç"),
+    ("Egrave", "È"), ("Eacute", "É"), ("Ecirc", "Ê"), ("Euml", "Ë"), ("Igrave", "Ì"), ("Iacute", "Í"), ("Icirc", "Î"),
+    ("Iuml", "Ï"), ("Ntilde", "Ñ"), ("Ograve", "Ò"), ("Oacute", "Ó"), ("Ocirc", "Ô"), ("Otilde", "Õ"), ("Ouml", "Ö"),
+    ("times", "×"), ("Oslash", "Ø"), ("Ugrave", "Ù"), ("Uacute", "Ú"), ("Ucirc", "Û"), ("Uuml", "Ü"), ("szlig", "ß"),
+    ("agrave", "à"), ("aacute", "á"), ("acirc", "â"), ("atilde", "ã"), ("auml", "ä"), ("aring", "å"), ("aelig", "æ"),
+    ("ccedil", "ç"), ("egrave", "è"), ("eacute", "é"), ("ecirc", "ê"), ("euml", "ë"), ("igrave", "ì"), ("iacute", "í"),
+    ("icirc", "î"), ("iuml", "ï"), ("ntilde", "ñ"), ("ograve", "ò"), ("oacute", "ó"), ("ocirc", "ô"), ("otilde", "õ"),
+    ("ouml", "ö"), ("divide", "÷"), ("oslash", "ø"), ("ugrave", "ù"), ("uacute", "ú"), ("ucirc", "û"), ("uuml", "ü"),
+    ("yuml", "ÿ"), ("OElig", "Œ"), ("oelig", "œ"), ("ndash", "–"), ("mdash", "—"), ("lsquo", "‘"), ("rsquo", "’"),
+    ("sbquo", "‚"), ("ldquo", "“"), ("rdquo", "”"), ("bdquo", "„"), ("bull", "•"), ("hellip", "…"), ("euro", "€"),
+    ("trade", "™"), ("amp", "&"),
+]
+REFERENCE = r"&(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);"
 METADATA_SCHEMA = StructType([StructField(n, StringType()) for n in ("murl", "desc", "purl", "turl")])
 
 
-def _unescape(c: Column) -> Column:
-    for ent, ch in ENTITIES:
-        c = F.replace(c, F.lit(ent), F.lit(ch))
-    return c
+def unescape(c: Column) -> Column:
+    """HTML character references undone: decimal, hexadecimal and the named ones of ``ENTITIES``; others stay.
+
+    The text is cut at its references once, so what a reference gives is not read again.
+    """
+    names = F.create_map(*[F.lit(x) for pair in ENTITIES for x in pair])
+
+    def char(code: Column) -> Column:
+        # a code point through its UTF-32 bytes; what is no character becomes the replacement mark
+        ok = (code > 0) & (code <= 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+        return F.decode(F.unhex(F.lpad(F.hex(F.when(ok, code).otherwise(0xFFFD)), 8, "0")), "UTF-32")
+
+    def one(ref: Column) -> Column:
+        decimal = F.substring(ref, 2, 20).try_cast("long")
+        hexadecimal = F.conv(F.substring(ref, 3, 20), 16, 10).try_cast("long")
+        return (F.when(ref.rlike("^#[xX]"), char(hexadecimal)).when(ref.startswith("#"), char(decimal))
+                .otherwise(F.coalesce(F.try_element_at(names, ref), F.concat(F.lit("&"), ref, F.lit(";")))))
+
+    refs = F.regexp_extract_all(c, F.lit(REFERENCE), 1)
+    gaps = F.split(c, REFERENCE, -1)
+    joined = F.array_join(F.zip_with(gaps, F.transform(refs, one), lambda g, r: F.concat(g, F.coalesce(r, F.lit("")))), "")
+    return F.when(F.instr(c, "&") > 0, joined).otherwise(c)
 
 
 def page_links(pages: DataFrame, pattern: str = HREF_PATTERN) -> DataFrame:
-    """Distinct links of every page: ``(page_id, link)``."""
-    links = pages.select("page_id", F.explode(F.regexp_extract_all("html", F.lit(pattern), 1)).alias("link"))
-    return links.dropDuplicates(["page_id", "link"])
+    """Distinct links of every page: ``(page_id, link)``; a page is one row, so nothing is shuffled."""
+    return pages.select("page_id", F.explode(F.array_distinct(F.regexp_extract_all("html", F.lit(pattern), 1))).alias("link"))
 
 
 def link_filter(link: Column, thumbnail_host: str | None = None) -> Column:
@@ -75,7 +108,7 @@ def top_links(pages: DataFrame, limit: int, offset: int = 0, ok: callable = None
 def page_metadata(pages: DataFrame, html_col: str = "html") -> DataFrame:
     """Embedded ``imgpt`` metadata blocks, unescaped and parsed; unparsable blocks skipped."""
     blocks = pages.select("page_id", F.posexplode(F.regexp_extract_all(html_col, F.lit(IMGPT_PATTERN), 1)).alias("pos", "raw"))
-    parsed = blocks.select("page_id", "pos", F.from_json(_unescape(F.col("raw")), METADATA_SCHEMA).alias("m"))
+    parsed = blocks.select("page_id", "pos", F.from_json(unescape(F.col("raw")), METADATA_SCHEMA).alias("m"))
     good = parsed.where(F.col("m").isNotNull() & F.col("m.murl").isNotNull())
     return good.select("page_id", "pos", *format_object(F.col("m")))
 
@@ -105,10 +138,14 @@ def page_tabs(pages: DataFrame, base_url: str = "", html_col: str = "html") -> D
         F.concat(F.lit(base_url), h).alias("link")))
     stop = F.array_position(F.transform(tabs, lambda t: (F.length(t["name"]) > TAB_NAME_LIMIT) | (t["name"] == TAB_STOP_NAME)), True)
     kept = F.when(stop > 0, F.slice(tabs, 1, stop - 1)).otherwise(tabs)
-    exploded = pages.select("page_id", F.posexplode(F.when(F.size(kept) > 0, kept)).alias("pos", "tab"))
-    # a later tab with the same name replaces the link of an earlier one
-    return (exploded.groupBy("page_id", F.col("tab.name").alias("name"))
-            .agg(F.min("pos").alias("pos"), F.max_by(F.col("tab.link"), F.col("pos")).alias("link")))
+    # a later tab with the same name replaces the link of an earlier one, at the earlier one's place
+    numbered = pages.select("page_id", F.transform(kept, lambda t, i: F.struct(
+        i.alias("pos"), t["name"].alias("name"), t["link"].alias("link"))).alias("tabs"))
+    first = F.filter("tabs", lambda t, i: F.array_position(F.transform("tabs", lambda u: u["name"]), t["name"]) == i + 1)
+    return (numbered.where(F.size("tabs") > 0)
+            .select("page_id", F.explode(first).alias("t"), F.col("tabs"))
+            .select("page_id", F.col("t.name").alias("name"), F.col("t.pos").alias("pos"),
+                    F.element_at(F.filter("tabs", lambda u: u["name"] == F.col("t.name")), -1)["link"].alias("link")))
 
 
 def url_parts(pages: DataFrame) -> DataFrame:
@@ -117,23 +154,17 @@ def url_parts(pages: DataFrame) -> DataFrame:
                         url_extension(F.col("url")).alias("extension"))
 
 
-MAX_WORDS = 10_000
-
-
 def search_terms(keywords: DataFrame, prefixes: list[str], suffixes: list[str], template_head: str, template_tail: str = "") -> DataFrame:
     """Every prefix x suffix around every keyword, with its search URL.
 
-    The word lists are the caller's small, size-checked lists; they are
-    expanded per keyword row with ``explode`` (no join), so the work is
-    linear in the keywords.
+    The caller's word lists are expanded per keyword row with ``explode`` (no
+    join): the work is linear in the keywords. A keyword's own blanks stay.
     """
-    if len(prefixes) * len(suffixes) > MAX_WORDS:
-        raise ValueError(f"prefix x suffix list too large ({len(prefixes) * len(suffixes)} > {MAX_WORDS})")
     pre = F.explode(F.array(*[F.lit(p) for p in (prefixes or [""])]))
     suf = F.explode(F.array(*[F.lit(s) for s in (suffixes or [""])]))
-    term = F.trim(F.concat_ws(" ", F.col("prefix"), F.col("keyword"), F.col("suffix")))
+    words = F.filter(F.array("prefix", "keyword", "suffix"), lambda w: w.isNotNull() & (w != ""))
     return (keywords.select("keyword", pre.alias("prefix")).select("keyword", "prefix", suf.alias("suffix"))
-            .select("keyword", "prefix", "suffix", F.regexp_replace(term, " +", " ").alias("term"))
+            .select("keyword", "prefix", "suffix", F.array_join(words, " ").alias("term"))
             .withColumn("search_url", search_url(F.col("term"), template_head, template_tail)))
 
 

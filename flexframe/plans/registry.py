@@ -861,12 +861,13 @@ def status_totals_query(spark, sf_dir):
 
 
 @register("link_dedupe", """
-    SELECT DISTINCT substr(url, 1, 5) AS keyword, link FROM (
+    SELECT DISTINCT regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)', 1) AS keyword, link FROM (
       SELECT url, unnest(regexp_extract_all(html, 'href="([^"]*)"', 1)) AS link FROM pages)
 """)
 def link_dedupe(spark, sf_dir):
     p = _pages(spark, sf_dir)
-    links = p.select(F.substring("url", 1, 5).alias("keyword"), F.explode(F.regexp_extract_all("html", F.lit(r'href="([^"]*)"'), 1)).alias("link"))
+    host = F.regexp_extract("url", r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1)
+    links = p.select(host.alias("keyword"), F.explode(F.regexp_extract_all("html", F.lit(r'href="([^"]*)"'), 1)).alias("link"))
     return links.dropDuplicates(["keyword", "link"])
 
 
