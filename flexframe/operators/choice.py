@@ -14,6 +14,7 @@ several types becomes a choice struct with one field per type.
 from __future__ import annotations
 
 import json
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,13 +33,14 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
-from ..errors import ErrorStage
+from ..errors import ErrorStage, error_rows, unique_stages
 from ..functions.casts import safe_cast
 from ..frame import Frame
 from ..paths import quote, resolve, split_path, top
 from ..schema import (
     ChoiceType,
     MixedType,
+    WHOLE_DECIMAL,
     choice_paths,
     dumps,
     loads,
@@ -117,7 +119,9 @@ def _resolve_array(t: ArrayType, df: DataFrame, v: Column, parts: list[str]):
     arr = F.try_variant_get(v, _json_path(parts), "array<variant>") if parts else F.try_variant_get(v, "$", "array<variant>")
     elems = df.select(F.explode(arr).alias("__e"))
     el_type = infer_variant_type(F.col("__e"), elems)
-    return ArrayType(el_type if el_type is not None else NullType(), True)
+    if el_type is None:
+        return ArrayType(NullType(), True)
+    return ArrayType(_resolve_mixed(el_type, elems, F.col("__e"), []), True)
 
 
 def _contains_mixed(t) -> bool:
@@ -149,11 +153,11 @@ _WORDS = {
 
 
 def _is_kind(sov: Column, name: str) -> Column:
-    words = _WORDS.get(name, ())
-    cond = F.lit(False)
-    for w in words:
-        cond = cond | (sov == F.lit(w)) | sov.startswith(w + "<") | sov.startswith(w + "(")
-    return cond
+    """Whether a variant type text belongs to an alternative; whole numbers beyond long are decimals."""
+    if name == "decimal":
+        return sov.rlike(WHOLE_DECIMAL)
+    word = F.regexp_extract(sov, "^[A-Z_]+", 0).isin(*_WORDS.get(name, ()))
+    return word & ~sov.rlike(WHOLE_DECIMAL) if name == "double" else word
 
 
 def _fill(x: Column, t) -> Column:
@@ -184,33 +188,61 @@ def typed_columns(v: Column, t: StructType) -> list[Column]:
     return [_fill(F.variant_get(v, _json_path([f.name]), "variant"), f.dataType).alias(f.name) for f in t.fields]
 
 
-def read_json_frame(spark: SparkSession, paths, schema=None, ctx: str = "", multiline=False, **options) -> Frame:
-    """Drift-aware JSON read: one record per line; bad lines become error records."""
+# Options of a drift-aware read, all of the text source; a read with a schema takes any.
+LINE_OPTIONS = {"linesep", "pathglobfilter", "recursivefilelookup", "modifiedafter", "modifiedbefore",
+                "ignoremissingfiles", "ignorecorruptfiles"}
+CORRUPT = "_corrupt_record"
+
+
+def read_json_frame(spark: SparkSession, paths, schema=None, ctx: str = "", multiline=False, load=None, **options) -> Frame:
+    """Drift-aware JSON read: one record per line, or per value of a multi-line file.
+
+    An array of objects is so many records; what is neither an object nor one
+    of an array, and what doesn't parse, becomes an error record.
+    """
+    load = load or (lambda make: make(spark.read))
     if schema is not None:
         s = parse_type(schema) if isinstance(schema, str) else schema
-        df = spark.read.schema(s).json(paths, multiLine=bool(multiline))
-        return Frame(df, "")
+        wide = StructType([*s.fields, StructField(CORRUPT, StringType())])
+        df = load(lambda r: r.schema(wide).options(**options).option("columnNameOfCorruptRecord", CORRUPT)
+                  .json(paths, multiLine=bool(multiline)))
+        # the corrupt column can't be read alone, so the filter also touches the first column (always true)
+        touch = F.lit(True)
+        if s.fields:
+            touch = top(s.fields[0].name).isNull() | top(s.fields[0].name).isNotNull()
+        bad = _errors("read_json", ctx, df.where(top(CORRUPT).isNotNull() & touch), "malformed JSON record", top(CORRUPT))
+        return Frame(df.where(top(CORRUPT).isNull()).drop(CORRUPT), "", [ErrorStage("read_json", ctx, "", bad)])
+    unknown = sorted(k for k in options if k.lower() not in LINE_OPTIONS)
+    if unknown:
+        raise ValueError(f"options {unknown} need a schema; a drift-aware read takes {sorted(LINE_OPTIONS)}")
     if multiline:
-        raw = spark.read.text(paths, wholetext=True)
+        raw = load(lambda r: r.options(**options).text(paths, wholetext=True))
     else:
-        raw = spark.read.text(paths)
+        raw = load(lambda r: r.options(**options).text(paths))
     return frame_from_json_text(raw, "value", ctx)
 
 
+def _errors(op: str, ctx: str, df: DataFrame, message: str, record: Column) -> DataFrame:
+    return df.select(F.lit(op).alias("op"), F.lit(ctx).alias("transformation_ctx"), F.lit("").alias("info"),
+                     F.lit(message).alias("message"), record.alias("record"))
+
+
 def frame_from_json_text(raw: DataFrame, column: str, ctx: str = "", op: str = "read_json") -> Frame:
+    """The records of a text column; blank texts hold none."""
+    v = F.col("__v")
     parsed = raw.where(F.trim(top(column)) != "").select(top(column).alias("__raw"), F.try_parse_json(top(column)).alias("__v"))
-    bad = parsed.where(F.col("__v").isNull()).select(
-        F.lit(op).alias("op"), F.lit(ctx).alias("transformation_ctx"), F.lit("").alias("info"),
-        F.lit("malformed JSON record").alias("message"), F.col("__raw").alias("record"))
-    good = parsed.where(F.col("__v").isNotNull())
-    objects = good.where(F.schema_of_variant(F.col("__v")).startswith("OBJECT"))
-    t = infer_variant_type(F.col("__v"), objects)
-    if t is None:
-        t = StructType([])
-    t = _resolve_mixed(t, objects, F.col("__v"), [])
-    df = objects.select(*typed_columns(F.col("__v"), t)) if t.fields else objects.select()
-    frame = Frame(df, "", [ErrorStage(op, ctx, "", bad)], choice_paths(t))
-    return frame
+    malformed = _errors(op, ctx, parsed.where(v.isNull()), "malformed JSON record", F.col("__raw"))
+    # an array stands for its elements; an empty one leaves a null, so that no input is lost
+    is_array = F.schema_of_variant(v).startswith("ARRAY")
+    items = F.when(is_array, F.try_variant_get(v, "$", "array<variant>")).otherwise(F.array(v))
+    records = parsed.where(v.isNotNull()).select("__raw", F.explode_outer(items).alias("__v"))
+    is_object = F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
+    other = _errors(op, ctx, records.where(~is_object), "not a JSON object", F.coalesce(F.to_json(v), F.col("__raw")))
+    objects = records.where(is_object).select("__v")
+    t = infer_variant_type(v, objects)
+    t = StructType([]) if t is None else _resolve_mixed(t, objects, v, [])
+    df = objects.select(*typed_columns(v, t)) if t.fields else objects.select()
+    return Frame(df, "", [ErrorStage(op, ctx, "", malformed.unionAll(other))], choice_paths(t))
 
 
 # ---------------------------------------------------------------------------
@@ -263,6 +295,30 @@ def _cast(expr: Column, dtype: StructType, target: DataType) -> Column:
     return F.coalesce(*parts) if parts else F.lit(None).cast(target)
 
 
+def _anywhere(df: DataFrame, parts: list[str], holds) -> Column:
+    """Whether ``holds(col, dtype)`` is true at any node that ``parts`` names (arrays hold several)."""
+
+    def walk(expr, dtype, rest):
+        if isinstance(dtype, ArrayType):
+            return F.coalesce(F.exists(expr, lambda e: F.coalesce(walk(e, dtype.elementType, rest), F.lit(False))), F.lit(False))
+        if not rest:
+            return F.coalesce(holds(expr, dtype), F.lit(False))
+        return walk(expr.getField(rest[0]), dtype[rest[0]].dataType, rest[1:])
+
+    return walk(top(parts[0]), df.schema[parts[0]].dataType, parts[1:])
+
+
+def _specs_for_all(frame: Frame, choice: str, database, table_name) -> list[tuple[str, str]]:
+    """The same action for every choice path, or casts to the types of a catalog table."""
+    if choice.lower() != "match_catalog":
+        return [(p, choice) for p in frame.choices]
+    if not table_name:
+        raise ValueError("MATCH_CATALOG needs database and table_name")
+    target = frame.spark.table(f"{database}.{table_name}" if database else table_name).schema
+    found = [(p, resolve(target, split_path(p), case_sensitive=False)) for p in frame.choices]
+    return [(p, "cast:" + r[1].simpleString()) for p, r in found if r is not None]
+
+
 def _node(parts: list[str]) -> Column:
     expr = top(parts[0])
     for p in parts[1:]:
@@ -271,56 +327,44 @@ def _node(parts: list[str]) -> Column:
 
 
 def resolve_choice(frame: Frame, specs=None, choice="", database=None, table_name=None, ctx="", info="", stage=0, total=0) -> Frame:
-    """Resolve choice paths: ``make_struct``, ``project:<type>``, ``cast:<type>``, ``MATCH_CATALOG``."""
-    if specs is None and not choice:
-        raise ValueError("Parameter specs and option are both missing, add one.")
-    if specs is not None and choice:
-        raise ValueError("Parameter specs and option are both specified, choose one.")
-    if isinstance(specs, tuple):
-        specs = [specs]
+    """Resolve choice paths: ``make_struct``, ``project:<type>``, ``cast:<type>``, ``MATCH_CATALOG``.
+
+    ``specs`` names paths with their actions, or ``choice`` is one action for
+    all choices. A path that isn't there is passed over; one that is no choice
+    raises, since there is nothing to resolve. A value that doesn't cast makes
+    the row an error record, also inside arrays.
+    """
+    if bool(choice) == (specs is not None):
+        raise ValueError("give either specs or one choice for all paths")
     if specs is None:
-        if choice.lower() == "match_catalog":
-            if not table_name:
-                raise ValueError("MATCH_CATALOG needs database and table_name")
-            full = f"{database}.{table_name}" if database else table_name
-            target_schema = frame.spark.table(full).schema
-            specs = []
-            for p in frame.choices:
-                r = resolve(target_schema, split_path(p), case_sensitive=False)
-                if r is not None:
-                    specs.append((p, "cast:" + r[1].simpleString()))
-        else:
-            specs = [(p, choice) for p in frame.choices]
+        specs = _specs_for_all(frame, choice, database, table_name)
+    elif isinstance(specs, tuple):
+        specs = [specs]
     schema = frame.df.schema
     choices = dict(frame.choices)
     steps = []
     checks = []
     for path, action in specs:
-        r = resolve(schema, split_path(path))
-        if r is None:
-            continue
-        parts, dtype, depth = r
-        act = action.strip()
-        low = act.lower()
-        key = path if path in choices else next((p for p in choices if split_path(p) == parts), path)
-        if low == "make_struct":
-            choices.pop(key, None)
+        found = resolve(schema, split_path(path))
+        if found is None:
             continue
-        if not isinstance(dtype, StructType):
-            continue
-        if low.startswith("project:"):
-            tname = type_name(parse_type(act.split(":", 1)[1]))
-            steps.append((parts, lambda e, d, t=tname: _project(e, d, t)))
-        elif low.startswith("cast:"):
-            target = parse_type(act.split(":", 1)[1])
+        parts, dtype, _ = found
+        key = next((p for p in choices if p == path or split_path(p) == parts), None)
+        if key is None or not isinstance(dtype, StructType):
+            raise ValueError(f"{path} is not a choice: {dtype.simpleString()}")
+        verb, _, wanted = action.strip().partition(":")
+        verb = verb.lower()
+        if verb == "project" and wanted:
+            name = type_name(parse_type(wanted))
+            steps.append((parts, lambda e, d, t=name: _project(e, d, t)))
+        elif verb == "cast" and wanted:
+            target = parse_type(wanted)
             steps.append((parts, lambda e, d, t=target: _cast(e, d, t)))
-            if depth == 0:
-                node = _node(parts)
-                checks.append(F.when(node.isNotNull() & _cast(node, dtype, target).isNull(),
-                                     F.lit(f"cannot cast choice {path} to {target.simpleString()}")))
-        else:
-            raise ValueError(f"Invalid resolve action {action}. Action must be one of make_struct, project:<type>, cast:<type>")
-        choices.pop(key, None)
+            lost = _anywhere(frame.df, parts, lambda e, d, t=target: e.isNotNull() & _cast(e, d, t).isNull())
+            checks.append(F.when(lost, F.lit(f"cannot cast choice {path} to {target.simpleString()}")))
+        elif verb != "make_struct":
+            raise ValueError(f"unknown action {action!r} for {path}: make_struct, project:<type> or cast:<type>")
+        del choices[key]
 
     def replay(d: DataFrame) -> DataFrame:
         for parts, fn in steps:
@@ -328,8 +372,6 @@ def resolve_choice(frame: Frame, specs=None, choice="", database=None, table_nam
         return d
 
     if checks:
-        from ..errors import error_rows
-
         staged = frame.df.withColumn("__ff_err", F.nullif(F.concat_ws("; ", *checks), F.lit("")))
         bad = error_rows(staged, F.col("__ff_err"), "resolve_choice", ctx, info, exclude=("__ff_err",))
         good = replay(staged.where(F.col("__ff_err").isNull()).drop("__ff_err"))
@@ -337,26 +379,23 @@ def resolve_choice(frame: Frame, specs=None, choice="", database=None, table_nam
     return frame._next(replay(frame.df), ErrorStage("resolve_choice", ctx, info, None, stage, total), choices)
 
 
+#: Spec of each per-path option; the target type, if the action takes one, follows.
+_OPTION_SPECS = {"keepasstruct": "make_struct", "project": "project:", "cast": "cast:"}
+
+
 def to_df(frame: Frame, options) -> DataFrame:
     """The frame's DataFrame after per-path choice options; other choices stay structs."""
     specs = []
     for o in options:
-        action = o.action.lower()
-        if action == "keepasstruct":
-            specs.append((o.path, "make_struct"))
-            continue
-        if o.target is None:
-            raise ValueError(f"Missing target type for resolve action {o.action}.")
-        t = parse_type(o.target)
-        if action == "project":
-            specs.append((o.path, f"project:{type_name(t)}"))
-        elif action == "cast":
-            specs.append((o.path, f"cast:{t.simpleString()}"))
-        else:
-            raise ValueError(f"Invalid resolve action {o.action}. Action must be one of KeepAsStruct, Project and Cast.")
-    if not specs:
-        return frame.df
-    return resolve_choice(frame, specs=specs).df
+        spec = _OPTION_SPECS.get(o.action.lower())
+        if spec is None:
+            raise ValueError(f"unknown option {o.action!r} for {o.path}: one of {', '.join(_OPTION_SPECS)}")
+        if spec.endswith(":"):
+            if o.target is None:
+                raise ValueError(f"option {o.action!r} for {o.path} names no target type")
+            spec += parse_type(o.target).simpleString()
+        specs.append((o.path, spec))
+    return resolve_choice(frame, specs=specs).df if specs else frame.df
 
 
 # ---------------------------------------------------------------------------
@@ -405,7 +444,26 @@ def conform(expr: Column, src, dst) -> Column:
     if isinstance(dst, MapType):
         return F.transform_values(expr, lambda k, e: conform(e, src.valueType, dst.valueType))
     target = to_spark(dst)
-    return expr if src == target else expr.cast(target)
+    return expr if src == target else expr.try_cast(target)
+
+
+def misfit(expr: Column, src, dst) -> Column | None:
+    """Whether ``conform`` loses a value: a cast to the other side's type that doesn't fit (None: it can't)."""
+    if isinstance(src, NullType) or isinstance(src, MapType):
+        return None
+    if isinstance(dst, ChoiceType):
+        pairs = ([(expr.getField(n), src.alternatives[n], alt) for n, alt in dst.alternatives.items() if n in src.alternatives]
+                 if isinstance(src, ChoiceType) else [(expr, src, alt) for n, alt in dst.alternatives.items() if n == type_name(src)])
+    elif isinstance(dst, StructType):
+        have = {f.name: f.dataType for f in src.fields}
+        pairs = [(expr.getField(f.name), have[f.name], f.dataType) for f in dst.fields if f.name in have]
+    elif isinstance(dst, ArrayType):
+        probe = misfit(expr, src.elementType, dst.elementType)
+        return None if probe is None else F.exists(expr, lambda e: F.coalesce(misfit(e, src.elementType, dst.elementType), F.lit(False)))
+    else:
+        return None if src == to_spark(dst) else expr.isNotNull() & expr.try_cast(to_spark(dst)).isNull()
+    found = [F.coalesce(m, F.lit(False)) for m in (misfit(*p) for p in pairs) if m is not None]
+    return reduce(lambda a, b: a | b, found) if found else None
 
 
 def merge_frames(f1: Frame, f2: Frame) -> Frame:
@@ -416,14 +474,18 @@ def merge_frames(f1: Frame, f2: Frame) -> Frame:
     cols1 = {f.name: f.dataType for f in t1.fields}
     cols2 = {f.name: f.dataType for f in t2.fields}
 
+    stages = []
+
     def side(df, have):
-        out = []
-        for f in merged.fields:
-            if f.name in have:
-                out.append(conform(top(f.name), have[f.name], f.dataType).alias(f.name))
-            else:
-                out.append(F.lit(None).cast(to_spark(f.dataType)).alias(f.name))
-        return df.select(*out)
+        lost = {f.name: misfit(top(f.name), have[f.name], f.dataType) for f in merged.fields if f.name in have}
+        checks = [F.when(m, F.lit(f"{n} does not fit the merged type")) for n, m in lost.items() if m is not None]
+        if checks:
+            tagged = df.withColumn("__ff_err", F.nullif(F.concat_ws("; ", *checks), F.lit("")))
+            stages.append(ErrorStage("merge", "", "", error_rows(tagged, F.col("__ff_err"), "merge", "", "", exclude=("__ff_err",))))
+            df = tagged.where(F.col("__ff_err").isNull())
+        return df.select(*[
+            (conform(top(f.name), have[f.name], f.dataType) if f.name in have else F.lit(None).cast(to_spark(f.dataType))).alias(f.name)
+            for f in merged.fields])
 
     df = side(f1.df, cols1).unionByName(side(f2.df, cols2))
-    return Frame(df, f1.name, f1.errors + f2.errors, choice_paths(merged))
+    return Frame(df, f1.name, unique_stages(f1.errors + f2.errors) + stages, choice_paths(merged))

@@ -11,6 +11,7 @@ paths are choices, since column metadata does not survive computed columns.
 from __future__ import annotations
 
 import json
+import re
 
 from pyspark.sql.types import (
     ArrayType,
@@ -104,6 +105,9 @@ _NAMES = {
     VariantType: "variant",
 }
 
+#: Variant types of whole numbers that don't fit a long.
+WHOLE_DECIMAL = r"^DECIMAL\((19|[23][0-9]),0\)$"
+
 _FROM_NAME = {
     "binary": BinaryType(),
     "boolean": BooleanType(),
@@ -128,6 +132,8 @@ def type_name(t) -> str:
         return "choice"
     if isinstance(t, MixedType):
         return "mixed"
+    if isinstance(t, (EnumType, SetType)):
+        return "enum" if isinstance(t, EnumType) else "set"
     for cls, name in _NAMES.items():
         if type(t) is cls:
             return name
@@ -148,43 +154,70 @@ def parse_type(spec) -> DataType:
 
 def merge_types(a, b):
     """Merge two observed types; never widens numbers, conflicting kinds become a choice."""
-    if a is None or isinstance(a, NullType):
-        return b
-    if b is None or isinstance(b, NullType):
-        return a
-    if isinstance(a, ChoiceType) or isinstance(b, ChoiceType):
-        out = ChoiceType()
-        for t in (a.alternatives.values() if isinstance(a, ChoiceType) else [a]):
-            out.alternatives[type_name(t)] = t
-        for t in (b.alternatives.values() if isinstance(b, ChoiceType) else [b]):
-            name = type_name(t)
-            if name in out.alternatives:
-                out.alternatives[name] = merge_types(out.alternatives[name], t)
-            else:
-                out.alternatives[name] = t
-        return out
-    if isinstance(a, MixedType) or isinstance(b, MixedType):
-        return MixedType()
-    if type_name(a) != type_name(b):
-        return ChoiceType([a, b])
-    if isinstance(a, StructType):
-        fields = []
-        b_by_name = {f.name: f for f in b.fields}
-        for f in a.fields:
-            if f.name in b_by_name:
-                fields.append(StructField(f.name, merge_types(f.dataType, b_by_name[f.name].dataType), True))
-            else:
-                fields.append(StructField(f.name, f.dataType, True))
-        a_names = {f.name for f in a.fields}
-        for f in b.fields:
-            if f.name not in a_names:
-                fields.append(StructField(f.name, f.dataType, True))
-        return _struct(fields)
-    if isinstance(a, ArrayType):
-        return _array(merge_types(a.elementType, b.elementType))
-    if isinstance(a, MapType):
-        return _map(merge_types(a.valueType, b.valueType))
-    return a
+    kinds = {}  # by kind, in the order met: what a and b allow, each merged with its like
+    for t in (a, b):
+        for one in _alternatives(t):
+            kind = type_name(one)
+            kinds[kind] = _joined(kinds[kind], one) if kind in kinds else one
+    if not kinds:
+        return b if a is None else a
+    plain = not any(isinstance(t, ChoiceType) for t in (a, b))
+    if "mixed" in kinds and plain:
+        return MixedType()  # what stands beside it is seen by the pass over the elements
+    if len(kinds) == 1 and plain:
+        return next(iter(kinds.values()))
+    out = ChoiceType()
+    out.alternatives.update(kinds)
+    return out
+
+
+def _alternatives(t) -> list:
+    """The types a value may have: none for the null type, several for a choice."""
+    if t is None or isinstance(t, NullType):
+        return []
+    return list(t.alternatives.values()) if isinstance(t, ChoiceType) else [t]
+
+
+#: How two types of one kind become one; kinds that aren't here keep the first.
+_JOIN = {
+    "struct": lambda a, b: _struct([StructField(n, t, True) for n, t in _merged_fields(a, b).items()]),
+    "array": lambda a, b: _array(merge_types(a.elementType, b.elementType)),
+    "map": lambda a, b: _map(merge_types(a.valueType, b.valueType)),
+    "enum": lambda a, b: EnumType([*a.options, *(x for x in b.options if x not in a.options)]),
+    "set": lambda a, b: SetType(merge_types(a.item, b.item)),
+}
+
+
+def _joined(a, b):
+    join = _JOIN.get(type_name(a))
+    return join(a, b) if join else a
+
+
+def _merged_fields(a: StructType, b: StructType) -> dict:
+    """Fields in the order first seen."""
+    out = {f.name: f.dataType for f in a.fields}
+    out.update({f.name: merge_types(out.get(f.name), f.dataType) for f in b.fields})
+    return out
+
+
+class EnumType:
+    """A text that is one of some options; merging two joins the options. Stored as a string."""
+
+    def __init__(self, options: list[str]):
+        self.options = list(options)
+
+    def __eq__(self, other):
+        return isinstance(other, EnumType) and self.options == other.options
+
+
+class SetType:
+    """Distinct items of one type. Stored as an array."""
+
+    def __init__(self, item):
+        self.item = item
+
+    def __eq__(self, other):
+        return isinstance(other, SetType) and self.item == other.item
 
 
 def _has_special(t) -> bool:
@@ -219,8 +252,10 @@ def to_spark(t) -> DataType:
     """Physical Spark type: a choice becomes a struct of its alternatives."""
     if isinstance(t, ChoiceType):
         return StructType([StructField(n, to_spark(v), True) for n, v in t.alternatives.items()])
-    if isinstance(t, MixedType):
+    if isinstance(t, (MixedType, EnumType)):
         return StringType()
+    if isinstance(t, SetType):
+        return ArrayType(to_spark(t.item), True)
     if isinstance(t, StructType):
         return StructType([StructField(f.name, to_spark(f.dataType), True) for f in t.fields])
     if isinstance(t, ArrayType):
@@ -384,9 +419,11 @@ def read_variant_type(text: str):
             pos += 1
             return _array(el)
         if w == "DECIMAL":
+            shape = ""
             if pos < len(text) and text[pos] == "(":
-                pos = text.index(")", pos) + 1
-            return DoubleType()
+                end = text.index(")", pos) + 1
+                shape, pos = text[pos:end], end
+            return DecimalType(38, 0) if re.match(WHOLE_DECIMAL, w + shape) else DoubleType()
         return {
             "BIGINT": LongType(), "INT": LongType(), "SMALLINT": LongType(), "TINYINT": LongType(),
             "DOUBLE": DoubleType(), "FLOAT": DoubleType(), "STRING": StringType(),
