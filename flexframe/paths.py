@@ -273,6 +273,9 @@ def rename_path(df: DataFrame, old: str, new: str) -> DataFrame:
     new_parts = split_path(new)
     if old_parts == new_parts:
         return df
+    taken = resolve(df.schema, new_parts)
+    if taken is not None and taken[0] != old_parts:
+        raise ValueError(f"cannot rename {old} to {new}: that field is there already")
     if old_parts[:-1] == new_parts[:-1]:
         if len(old_parts) == 1:
             return df.withColumnRenamed(old_parts[0], new_parts[0])
