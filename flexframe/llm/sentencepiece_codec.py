@@ -83,12 +83,15 @@ class Codec:
         self.unknown = next(i for i, p in enumerate(spec.pieces) if p.type == kind.UNKNOWN)
         self.longest = max(map(len, self.pieces))
         self.unknown_score = min(s for _, s in self.pieces.values()) - UNKNOWN_PENALTY
+        # neighbouring characters that some piece holds; between any others there is always a boundary
+        self.pairs = {p[i:i + 2] for p in self.pieces for i in range(len(p) - 1)}
         # whether a mark after another character is always a boundary
         self.words_part = not any(re.search(f"[^{MARK}]{MARK}", p) for p in self.pieces)
         # pieces that are text by themselves; bytes beyond ASCII are not
         self.alone = [chr(self.bytes_of[i]) if i in self.bytes_of else "" if i in self.silent else p.replace(MARK, " ")
                       for i, p in enumerate(self.text_of)]
         self.high = np.array([i for i, b in self.bytes_of.items() if b >= 0x80], dtype=np.int64)
+        self.parts = Memo(self._whole, REMEMBERED // 4, WORD_CHARS)
         self.words = Memo(lambda word: self._stretch(MARK + word), REMEMBERED, WORD_CHARS)
         self.neighbours: dict[int, bool] = {}
         if self.merges:  # a piece that its own merges don't make is never met
@@ -230,6 +233,14 @@ class Codec:
         return out.tobytes()
 
     def _stretch(self, text: str) -> bytes:
+        """A word, cut where no piece goes across (at punctuation and line ends, mostly)."""
+        pairs = self.pairs
+        cuts = [i for i in range(1, len(text)) if text[i - 1:i + 1] not in pairs]
+        if not cuts:
+            return self._whole(text)
+        return b"".join(self.parts[text[a:b]] for a, b in zip([0, *cuts], [*cuts, len(text)]))
+
+    def _whole(self, text: str) -> bytes:
         return self._word(text) if self.merges and len(text) <= WORD_CHARS else self._encoded(text)
 
     def encode(self, text: str) -> bytes:
