@@ -206,12 +206,11 @@ def read_json_frame(spark: SparkSession, paths, schema=None, ctx: str = "", mult
         wide = StructType([*s.fields, StructField(CORRUPT, StringType())])
         df = load(lambda r: r.schema(wide).options(**options).option("columnNameOfCorruptRecord", CORRUPT)
                   .json(paths, multiLine=bool(multiline)))
-        # the corrupt column can't be read alone, so the filter also touches the first column (always true)
-        touch = F.lit(True)
-        if s.fields:
-            touch = top(s.fields[0].name).isNull() | top(s.fields[0].name).isNotNull()
+        # a record is checked against the columns that are read, so the filter touches them all (always true)
+        maps = [f.name for f in s.fields if "map<" not in f.dataType.simpleString()]
+        touch = F.hash(*map(top, maps)) >= -(1 << 31) if maps else F.lit(True)
         bad = _errors("read_json", ctx, df.where(top(CORRUPT).isNotNull() & touch), "malformed JSON record", top(CORRUPT))
-        return Frame(df.where(top(CORRUPT).isNull()).drop(CORRUPT), "", [ErrorStage("read_json", ctx, "", bad)])
+        return Frame(df.where(top(CORRUPT).isNull() & touch).drop(CORRUPT), "", [ErrorStage("read_json", ctx, "", bad)])
     unknown = sorted(k for k in options if k.lower() not in LINE_OPTIONS)
     if unknown:
         raise ValueError(f"options {unknown} need a schema; a drift-aware read takes {sorted(LINE_OPTIONS)}")
@@ -350,7 +349,10 @@ def resolve_choice(frame: Frame, specs=None, choice="", database=None, table_nam
             continue
         parts, dtype, _ = found
         key = next((p for p in choices if p == path or split_path(p) == parts), None)
-        if key is None or not isinstance(dtype, StructType):
+        value = dtype
+        while isinstance(value, ArrayType):
+            value = value.elementType
+        if key is None or not isinstance(value, StructType):
             raise ValueError(f"{path} is not a choice: {dtype.simpleString()}")
         verb, _, wanted = action.strip().partition(":")
         verb = verb.lower()

@@ -170,7 +170,8 @@ def map_rows(frame: Frame, f: Callable, schema=None, ctx="", info="", stage=0, t
 
         out = _parse_datatype_string(out)
     names = out.names
-    wide = StructType(list(out.fields) + [StructField(_ERR, StringType()), StructField(_REC, StringType())])
+    # an error record leaves every output field null
+    wide = StructType([StructField(f.name, f.dataType, True) for f in out.fields] + [StructField(_ERR, StringType()), StructField(_REC, StringType())])
     arrow_out = _arrow_schema(wide)
 
     def run(batches):

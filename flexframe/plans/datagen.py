@@ -45,17 +45,25 @@ def _parse_ts(value) -> Column:
     return F.to_timestamp(F.lit(str(value)))
 
 
-def column_expr(spec: dict, seed: int) -> Column:
+def keyed_uniform(keys: list[Column], seed: int) -> Column:
+    """A number in [0, 1) that depends on the keys and the seed alone: 52 bits of an MD5."""
+    text = F.concat_ws("/", F.lit(str(seed)), *[k.cast("string") for k in keys])
+    return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double") / float(1 << 52)
+
+
+def column_expr(spec: dict, seed: int, row: Column | None = None, uniform: Column | None = None) -> Column:
+    """One column of a spec; ``row`` numbers the rows, ``uniform`` is the random draw (default: ``rand``)."""
+    row = F.col("__ff_row") if row is None else row
     kind = spec.get("column_type")
     data_type = spec.get("data_type")
     if kind == "Sequential":
-        return _cast(F.lit(spec.get("start", 0)) + F.lit(spec.get("step", 1)) * F.col("__ff_row"), data_type)
+        return _cast(F.lit(spec.get("start", 0)) + F.lit(spec.get("step", 1)) * row, data_type)
     if kind == "Fixed":
         return _cast(F.lit(spec.get("value")), data_type)
     if kind == "Expression":
         return _cast(F.expr(spec["expression"]), data_type)
     if kind == "Random":
-        r = F.rand(seed)
+        r = F.rand(seed) if uniform is None else uniform
         if data_type == "Date":
             lo, hi = _parse_ts(spec["min"]), _parse_ts(spec["max"])
             span = F.unix_micros(hi) - F.unix_micros(lo)
@@ -83,6 +91,20 @@ def generate_table(spark: SparkSession, table: dict, rows: int | None = None, nu
     return df.drop("__ff_row")
 
 
+def generate_beside(df: DataFrame, table: dict, keys: list[str], row: Column | str) -> DataFrame:
+    """The spec's columns for every row of ``df``; expressions may use its columns.
+
+    ``row`` numbers the rows of Sequential columns, and random draws follow
+    from ``keys``, so the result doesn't depend on partitioning or retries.
+    """
+    number = F.expr(row) if isinstance(row, str) else row
+    base_seed, out = int(table.get("seed", 0)), df
+    for i, col in enumerate(table["columns"]):
+        draw = keyed_uniform([F.col(k) for k in keys], base_seed + i)
+        out = out.withColumn(col["name"], column_expr(col, base_seed + i, number, draw))
+    return out.select(*keys, *[c["name"] for c in table["columns"]])
+
+
 def load_spec(spec) -> dict:
     if isinstance(spec, dict):
         return spec
@@ -98,8 +120,15 @@ def generate_and_write(spark: SparkSession, spec, out: str, mode: str = "overwri
     for table in load_spec(spec)["tables"]:
         df = generate_table(spark, table)
         w = df.write.mode(mode).format("parquet")
-        if table.get("partitions"):
-            w = w.partitionBy(*table["partitions"])
+        keys = table.get("partitions") or []
+        dates = {c["name"] for c in table["columns"] if c.get("data_type") == "Date" and c.get("unit") != "day"}
+        if dates & set(keys):
+            # a folder for each day, not for each microsecond: the day stands in a column beside the time
+            df = df.withColumns({f"{k}_day": F.substring(k, 1, 10) for k in keys if k in dates})
+            keys = [f"{k}_day" if k in dates else k for k in keys]
+            w = df.write.mode(mode).format("parquet")
+        if keys:
+            w = w.partitionBy(*keys)
         path = f"{out.rstrip('/')}/{table['name']}"
         w.save(path)
         written[table["name"]] = path

@@ -697,7 +697,6 @@ def gen_deterministic(spark, sf_dir):
     return spark.read.parquet(paths["card_dim_c"]).select("card_id", "card_code", "hshd_isba_market_code", "identifier_type", "spend")
 
 
-@register("gen_random")
 def gen_random(spark, sf_dir):
     from .datagen import generate_table
 
@@ -901,3 +900,310 @@ def gen_random_bounds(spark, sf_dir):
         ((F.min("item_qty") >= 0) & (F.max("item_qty") <= 10)).alias("qty_in_range"),
         ((F.min("date_id") >= "2017-01-01 21:16:30.924") & (F.max("date_id") < "2018-01-01 20:10:10.924")).alias("date_in_range"),
         F.coalesce(F.bool_and(F.col("item_cd").isin(0, 1, 2)), F.lit(True)).alias("cd_in_set"))
+
+
+UNIFORM = "CAST('0x' || substr(md5('{seed}/' || l_orderkey || '/' || l_linenumber), 1, 13) AS BIGINT) / 4503599627370496.0"
+
+
+@register("gen_beside_random", """
+    WITH u AS (SELECT l_orderkey, l_linenumber, l_quantity, %s AS r0, %s AS r1, %s AS r2, %s AS r4 FROM lineitem)
+    SELECT l_orderkey, l_linenumber, CAST(round(r0 * 10) AS INTEGER) AS card_id, round(r1 * 4 + 1, 2) AS item_cost,
+           CAST(list_extract(['1', '0', '2'], CAST(floor(r2 * 3) AS INTEGER) + 1) AS INTEGER) AS item_cd,
+           round(round(r1 * 4 + 1, 2) * l_quantity, 2) AS spend_amt,
+           strftime(make_timestamp(1483228800000000 + CAST(floor(r4 * 86400000000) AS BIGINT)), '%%Y-%%m-%%d') AS date_id
+    FROM u
+""" % tuple(UNIFORM.format(seed=42 + i) for i in (0, 1, 2, 4)))
+def gen_beside_random(spark, sf_dir):
+    from .datagen import generate_beside
+
+    spec = {"name": "transactions", "seed": 42, "columns": [
+        {"name": "card_id", "data_type": "Int", "column_type": "Random", "min": 0, "max": 10},
+        {"name": "item_cost", "data_type": "Float", "column_type": "Random", "min": 1, "max": 5, "decimal_places": 2},
+        {"name": "item_cd", "data_type": "Int", "column_type": "Random", "values": "1,0,2"},
+        {"name": "spend_amt", "column_type": "Expression", "expression": "round(item_cost * l_quantity, 2)"},
+        {"name": "date_id", "data_type": "Date", "column_type": "Random", "min": "2017-01-01 00:00:00", "max": "2017-01-02 00:00:00", "unit": "day"},
+    ]}
+    return generate_beside(table(spark, sf_dir, "lineitem").df, spec, ["l_orderkey", "l_linenumber"], "l_orderkey")
+
+
+@register("gen_beside_sequence", """
+    SELECT c_custkey, CAST(100 + 3 * c_custkey AS INTEGER) AS card_id, 'card_id' AS identifier_type, c_name || '/' || c_mktsegment AS label
+    FROM customer
+""")
+def gen_beside_sequence(spark, sf_dir):
+    from .datagen import generate_beside
+
+    spec = {"name": "cards", "columns": [
+        {"name": "card_id", "data_type": "Int", "column_type": "Sequential", "start": 100, "step": 3},
+        {"name": "identifier_type", "column_type": "Fixed", "value": "card_id"},
+        {"name": "label", "column_type": "Expression", "expression": "concat(c_name, '/', c_mktsegment)"},
+    ]}
+    return generate_beside(table(spark, sf_dir, "customer").df, spec, ["c_custkey"], "c_custkey")
+
+
+# ---------------------------------------------------------------------------
+# nothing is lost: good rows and error records of mixed inputs
+
+
+def _counts(frame, good="good"):
+    """(kind, n): rows and error records of a frame."""
+    one = lambda df, kind: df.select(F.lit(kind).alias("kind")).groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
+    return one(frame.toDF(), good).unionByName(one(frame.errorsAsFrame().toDF(), "error"))
+
+
+def _text_files(df: DataFrame, column, label: str) -> str:
+    """``df``'s text column as a folder of text files."""
+    path = scratch_dir(df.sparkSession, label) + "/text"
+    df.select(F.expr(column).alias("value")).write.mode("overwrite").text(path)
+    return path
+
+
+MIXED = """CASE WHEN p_partkey % 5 = 0 THEN concat('[', p_partkey, ',{"k":', p_partkey, '}]')
+                WHEN p_partkey % 5 = 1 THEN '{bad'
+                WHEN p_partkey % 5 = 2 THEN CAST(p_partkey AS STRING)
+                WHEN p_partkey % 5 = 3 THEN concat('[{"k":', p_partkey, '},{"k":1}]')
+                ELSE concat('{"k":', p_partkey, '}') END"""
+
+
+@register("json_mixed_records", """
+    SELECT 'good' AS kind, CAST(sum(CASE p_partkey % 5 WHEN 0 THEN 1 WHEN 3 THEN 2 WHEN 4 THEN 1 ELSE 0 END) AS BIGINT) AS n FROM part
+    UNION ALL SELECT 'error', CAST(sum(CASE WHEN p_partkey % 5 IN (0, 1, 2) THEN 1 ELSE 0 END) AS BIGINT) FROM part
+""")
+def json_mixed_records(spark, sf_dir):
+    path = _text_files(table(spark, sf_dir, "part").df, MIXED, "json-mixed")
+    return _counts(from_options(spark, "file", {"paths": [path]}, format="json"))
+
+
+@register("json_array_file", "SELECT s_suppkey AS k, s_name AS n FROM supplier")
+def json_array_file(spark, sf_dir):
+    s = table(spark, sf_dir, "supplier").df.select(F.to_json(F.struct(F.col("s_suppkey").alias("k"), F.col("s_name").alias("n"))).alias("j"),
+                                                  F.col("s_nationkey"))
+    # one file for each nation: an array over several lines
+    files = s.groupBy("s_nationkey").agg(F.concat(F.lit("[\n"), F.array_join(F.collect_list("j"), ",\n"), F.lit("\n]")).alias("value"))
+    path = scratch_dir(spark, "json-array") + "/text"
+    files.write.partitionBy("s_nationkey").mode("overwrite").text(path)
+    return from_options(spark, "file", {"paths": [path]}, format="json", format_options={"multiline": True}).toDF().select("k", "n")
+
+
+@register("json_schema_errors", """
+    SELECT 'good' AS kind, count(*) FILTER (WHERE p_partkey % 3 <> 0) AS n FROM part
+    UNION ALL SELECT 'error', count(*) FILTER (WHERE p_partkey % 3 = 0) FROM part
+""")
+def json_schema_errors(spark, sf_dir):
+    text = "CASE WHEN p_partkey % 3 = 0 THEN '{bad' ELSE concat('{\"k\":', p_partkey, '}') END"
+    path = _text_files(table(spark, sf_dir, "part").df, text, "json-schema")
+    return _counts(from_options(spark, "file", {"paths": [path]}, format="json", schema="k int"))
+
+
+@register("json_nested_mixed", """
+    SELECT p_partkey AS k, CAST(p_size AS BIGINT) AS as_long, CASE WHEN p_partkey % 2 = 0 THEN 'x' END AS as_string FROM part
+""")
+def json_nested_mixed(spark, sf_dir):
+    text = "concat('{\"k\":', p_partkey, ',\"a\":[{\"b\":[', p_size, if(p_partkey % 2 = 0, ',\"x\"', ''), ']}]}')"
+    path = _text_files(table(spark, sf_dir, "part").df, text, "json-nested")
+    df = from_options(spark, "file", {"paths": [path]}, format="json").toDF()
+    inner = F.get(F.get("a", F.lit(0))["b"], F.lit(0))["long"]
+    other = F.get(F.get("a", F.lit(0))["b"], F.lit(1))["string"]
+    return df.select(F.col("k").cast("int").alias("k"), inner.alias("as_long"), other.alias("as_string"))
+
+
+@register("resolve_cast_in_array", """
+    SELECT 'good' AS kind, count(*) FILTER (WHERE p_partkey % 4 <> 0) AS n FROM part
+    UNION ALL SELECT 'error', count(*) FILTER (WHERE p_partkey % 4 = 0) FROM part
+""")
+def resolve_cast_in_array(spark, sf_dir):
+    text = "concat('{\"a\":[1,', if(p_partkey % 4 = 0, '\"zz\"', '\"7\"'), ']}')"
+    path = _text_files(table(spark, sf_dir, "part").df, text, "json-cast")
+    return _counts(from_options(spark, "file", {"paths": [path]}, format="json").resolveChoice(specs=[("a", "cast:long")]))
+
+
+@register("merge_decimals", """
+    SELECT 'good' AS kind, count(*) + (SELECT count(*) FROM orders WHERE o_totalprice < 100000) AS n FROM supplier
+    UNION ALL SELECT 'error', count(*) FILTER (WHERE o_totalprice >= 100000) FROM orders
+""")
+def merge_decimals(spark, sf_dir):
+    left = table(spark, sf_dir, "supplier").df.select(F.col("s_suppkey").cast("decimal(7,2)").alias("x"))
+    right = table(spark, sf_dir, "orders").df.select(F.col("o_totalprice").cast("decimal(12,2)").alias("x"))
+    return _counts(Frame(left, "l").merge(Frame(right, "r")))
+
+
+@register("csv_errors", """
+    SELECT 'good' AS kind, count(*) FILTER (WHERE p_partkey % 7 <> 0) AS n FROM part
+    UNION ALL SELECT 'error', count(*) FILTER (WHERE p_partkey % 7 = 0) FROM part
+""")
+def csv_errors(spark, sf_dir):
+    text = "concat(p_partkey, ',', p_size, if(p_partkey % 7 = 0, ',5,6', ''))"
+    path = _text_files(table(spark, sf_dir, "part").df, text, "csv-errors")
+    return _counts(from_options(spark, "file", {"paths": [path]}, format="csv", schema="k int, n int"))
+
+
+@register("unbox_csv_lines", """
+    SELECT 'good' AS kind, count(*) FILTER (WHERE p_partkey % 2 = 1) AS n FROM part
+    UNION ALL SELECT 'error', count(*) FILTER (WHERE p_partkey % 2 = 0) FROM part
+""")
+def unbox_csv_lines(spark, sf_dir):
+    line = F.concat_ws(",", F.col("p_partkey").cast("string"), F.col("p_size").cast("string"))
+    boxed = F.when(F.col("p_partkey") % 2 == 0, F.concat(F.lit("a,b\n"), line, F.lit("\n"), line)).otherwise(F.concat(F.lit("a,b\n"), line))
+    f = Frame(table(spark, sf_dir, "part").df.select("p_partkey", boxed.alias("box")), "boxed")
+    return _counts(f.unbox("box", "csv", withHeader=True))
+
+
+@register("map_infer", """
+    SELECT c_custkey AS k, CASE WHEN c_custkey % 2 = 0 THEN c_name END AS as_string, CASE WHEN c_custkey % 2 = 1 THEN CAST(c_nationkey AS BIGINT) END AS as_long
+    FROM customer
+""")
+def map_infer(spark, sf_dir):
+    f = table(spark, sf_dir, "customer").select_fields(["c_custkey", "c_name", "c_nationkey"])
+    out = f.map(lambda r: {"k": r["c_custkey"], "v": r["c_name"] if r["c_custkey"] % 2 == 0 else r["c_nationkey"]}, infer=True)
+    return out.toDF().select(F.col("k").cast("int").alias("k"), F.col("v.string").alias("as_string"), F.col("v.long").alias("as_long"))
+
+
+# ---------------------------------------------------------------------------
+# bookmarks, catalog, error counts, choices in mappings, keys, files
+
+
+def _enabled(name):
+    return name, {"job-bookmark-option": "job-bookmark-enable"}
+
+
+@register("bookmark_partitioned", """
+    SELECT event_id, event_type, 2 AS run FROM events WHERE event_type = 'error'
+    UNION ALL SELECT event_id, event_type, 1 FROM events WHERE event_type <> 'error'
+""")
+def bookmark_partitioned(spark, sf_dir):
+    from ..sources.bookmark import Job
+
+    e = table(spark, sf_dir, "events").df.select("event_id", "event_type")
+    landing, out = scratch_dir(spark, "landing") + "/d", scratch_dir(spark, "runs")
+    job = Job(spark, scratch_dir(spark, "ledger") + "/l")
+    for run, part in ((1, e.where("event_type <> 'error'")), (2, e.where("event_type = 'error'"))):
+        part.write.partitionBy("event_type").mode("append").parquet(landing)
+        job.init(*_enabled("partitioned"))
+        new = from_options(spark, "file", {"paths": [landing]}, format="parquet", transformation_ctx="src")
+        new.toDF().withColumn("run", F.lit(run)).write.mode("append").parquet(out)
+        job.commit()
+    return spark.read.parquet(out).select("event_id", "event_type", "run")
+
+
+@register("bookmark_rewritten_file", "SELECT s_suppkey AS k, 2 AS version FROM supplier")
+def bookmark_rewritten_file(spark, sf_dir):
+    import time
+
+    from ..sources.bookmark import Job
+
+    s = table(spark, sf_dir, "supplier").df.select(F.col("s_suppkey").alias("k"))
+    path = scratch_dir(spark, "rewritten") + "/d"
+    job = Job(spark, scratch_dir(spark, "ledger") + "/l")
+    for version in (1, 2):
+        s.withColumn("version", F.lit(version)).coalesce(1).write.mode("overwrite").parquet(path)
+        job.init(*_enabled("rewritten"))
+        seen = from_options(spark, "file", {"paths": [path]}, format="parquet", transformation_ctx="src").toDF()
+        if version == 1:
+            assert seen.where("version <> 1").isEmpty()
+            job.commit()
+            time.sleep(1.1)
+    return seen
+
+
+@register("catalog_write", "SELECT n_nationkey AS a, n_regionkey AS b FROM nation UNION ALL SELECT n_nationkey, n_regionkey FROM nation")
+def catalog_write(spark, sf_dir):
+    import uuid
+
+    from ..sources.sinks import write_to_catalog
+
+    n = table(spark, sf_dir, "nation").df
+    name = f"ff_catalog_{uuid.uuid4().hex}"
+    write_to_catalog(Frame(n.select(F.col("n_nationkey").alias("a"), F.col("n_regionkey").alias("b")), "n"), table_name=name)
+    write_to_catalog(Frame(n.select(F.col("n_regionkey").alias("b"), F.col("n_nationkey").alias("a")), "n"), table_name=name)
+    return spark.table(name)
+
+
+def _half_bad(spark, sf_dir):
+    """Parts whose label is a number for odd keys only."""
+    p = table(spark, sf_dir, "part").df
+    label = F.when(F.col("p_partkey") % 2 == 1, F.col("p_partkey").cast("string")).otherwise(F.col("p_name"))
+    return Frame(p.select("p_partkey", label.alias("label")), "part").apply_mapping([("p_partkey", "k"), ("label", "n", "int")])
+
+
+BAD_LABELS = "count(*) FILTER (WHERE p_partkey % 2 = 0)"
+
+
+@register("mapping_both_sides", f"""
+    SELECT 'good' AS kind, count(*) FILTER (WHERE p_partkey % 2 = 1) AS n FROM part
+    UNION ALL SELECT 'error', {BAD_LABELS} FROM part
+""")
+def mapping_both_sides(spark, sf_dir):
+    return _counts(_half_bad(spark, sf_dir))
+
+
+@register("errors_total", f"SELECT 'total' AS what, {BAD_LABELS} AS n FROM part")
+def errors_total(spark, sf_dir):
+    halves = _half_bad(spark, sf_dir).split_rows({"k": {">": 50}}, "high", "low")
+    joined = halves["high"].join("k", "k", halves["low"])  # two frames with one history: errors count once
+    return spark.range(1).select(F.lit("total").alias("what"), F.lit(joined.errorsCount()).cast("long").alias("n"))
+
+
+@register("errors_stage", f"SELECT 'stage' AS what, {BAD_LABELS} AS n FROM part")
+def errors_stage(spark, sf_dir):
+    return spark.range(1).select(F.lit("stage").alias("what"), F.lit(_half_bad(spark, sf_dir).stageErrorsCount()).cast("long").alias("n"))
+
+
+@register("error_threshold", f"SELECT {BAD_LABELS} >= 3 AS raised FROM part")
+def error_threshold(spark, sf_dir):
+    from ..errors import ErrorThresholdExceeded
+
+    p = table(spark, sf_dir, "part").df
+    label = F.when(F.col("p_partkey") % 2 == 1, F.col("p_partkey").cast("string")).otherwise(F.col("p_name"))
+    f = Frame(p.select(label.alias("label")), "part").apply_mapping([("label", "n", "int")], stageThreshold=3)
+    try:
+        f.assertErrorThreshold()
+        raised = False
+    except ErrorThresholdExceeded:
+        raised = True
+    return spark.range(1).select(F.lit(raised).alias("raised"))
+
+
+@register("mapping_choice", """
+    SELECT p_partkey AS k, CASE WHEN p_partkey % 2 = 0 THEN CAST(p_size AS INTEGER) END AS n FROM part
+""")
+def mapping_choice(spark, sf_dir):
+    text = "concat('{\"k\":', p_partkey, ',\"v\":', if(p_partkey % 2 = 0, CAST(p_size AS STRING), concat('\"', p_brand, '\"')), '}')"
+    path = _text_files(table(spark, sf_dir, "part").df, text, "json-choice")
+    f = from_options(spark, "file", {"paths": [path]}, format="json")
+    return f.apply_mapping([("k", "long", "k", "int"), ("v", "long", "n", "int")]).toDF()
+
+
+@register("mapping_array", """
+    SELECT l_orderkey AS k, CAST(sum(l_quantity) AS BIGINT) AS qty, count(*) AS n FROM lineitem GROUP BY l_orderkey
+""")
+def mapping_array(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem").df.groupBy("l_orderkey").agg(
+        F.collect_list(F.struct(F.col("l_linenumber").alias("no"), F.col("l_quantity").alias("qty"))).alias("lines"))
+    f = Frame(lines, "orders").apply_mapping([("l_orderkey", "k"), ("lines.no", "items.number"), ("lines.qty", "items.amount", "long")])
+    return f.toDF().select("k", F.aggregate("items", F.lit(0).cast("long"), lambda a, x: a + x["amount"]).alias("qty"),
+                           F.size("items").cast("long").alias("n"))
+
+
+@register("relationalize_key", """
+    SELECT s_suppkey AS child, CASE WHEN s_suppkey % 2 = 0 THEN NULL ELSE s_name END AS a, CASE WHEN s_suppkey % 2 = 0 THEN s_name || '|x' END AS b
+    FROM supplier
+""")
+def relationalize_key(spark, sf_dir):
+    s = table(spark, sf_dir, "supplier").df
+    even = F.col("s_suppkey") % 2 == 0
+    df = s.select(F.when(~even, F.col("s_name")).alias("a"), F.when(even, F.concat("s_name", F.lit("|x"))).alias("b"),
+                  F.array("s_suppkey").alias("xs"))
+    tables = Frame(df, "t").relationalize("r", options={"key": ["a", "b"]})
+    root, child = tables["r"].toDF(), tables["r_xs"].toDF()
+    return child.join(root, child["id"] == root["xs"]).select(F.col("`xs.val`").alias("child"), "a", "b")
+
+
+@register("search_url_quoting", """
+    SELECT p_partkey AS k, 'https://s.example/?q=' || replace(p_type, ' ', '%20') || '/%2A~' || (p_partkey % 10) AS url FROM part
+""")
+def search_url_quoting(spark, sf_dir):
+    from ..functions.urls import search_url
+
+    p = table(spark, sf_dir, "part").df
+    term = F.concat("p_type", F.lit("/*~"), (F.col("p_partkey") % 10).cast("string"))
+    return p.select(F.col("p_partkey").alias("k"), search_url(term, "https://s.example/?q=").alias("url"))

@@ -81,15 +81,13 @@ def _read_csv(load, paths: list[str], options: dict, schema, ctx: str) -> tuple[
     rest = {k: v for k, v in options.items() if k.lower() not in ("mode", "columnnameofcorruptrecord", "inferschema")}
     df = load(lambda r: r.schema(wide).options(**rest).option("mode", "PERMISSIVE")
               .option("columnNameOfCorruptRecord", CORRUPT).csv(paths))
-    # the corrupt column can't be read alone, so the filter also touches the first column (always true)
-    touch = F.lit(True)
-    if found.fields:
-        first = F.col("`" + found.fields[0].name + "`")
-        touch = first.isNull() | first.isNotNull()
+    # a line is only checked against the columns that are read, so the filter touches all (always true)
+    cols = [F.col("`" + f.name + "`") for f in found.fields]
+    touch = F.hash(*cols) >= -(1 << 31) if cols else F.lit(True)
     bad = df.where(F.col(CORRUPT).isNotNull() & touch).select(
         F.lit("read_csv").alias("op"), F.lit(ctx).alias("transformation_ctx"),
         F.lit("").alias("info"), F.lit("malformed csv line").alias("message"), F.col(CORRUPT).alias("record"))
-    return df.where(F.col(CORRUPT).isNull()).drop(CORRUPT), ErrorStage("read_csv", ctx, "", bad)
+    return df.where(F.col(CORRUPT).isNull() & touch).drop(CORRUPT), ErrorStage("read_csv", ctx, "", bad)
 
 
 def from_options(
