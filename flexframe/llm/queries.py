@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import packing, quality, secret_scan, sentencepiece_codec, sharding, simhash, suffix_dedup, token_counts, topk, toxicity
+from . import oracles, packing, quality, secret_scan, sentencepiece_codec, sharding, simhash, suffix_dedup, token_counts, topk, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -36,7 +37,7 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op3_quality_rules")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.apply(table(spark, sf_dir, "documents"))
+    return quality.apply(table(spark, sf_dir, "documents")).withColumn("failed_rules", F.array_join("failed_rules", ","))
 
 
 @register("op4_sharding")
@@ -73,3 +74,10 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op10_simhash")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.cluster(spark, table(spark, sf_dir, "documents"))
+
+
+ORACLES.update({
+    "op3_quality_rules": oracles.quality_rules(),
+    "op6_exact_topk": oracles.topk(every=100, k=10),
+    "op8_secret_scan": oracles.secrets(),
+})
