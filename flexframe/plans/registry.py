@@ -1207,3 +1207,27 @@ def search_url_quoting(spark, sf_dir):
     p = table(spark, sf_dir, "part").df
     term = F.concat("p_type", F.lit("/*~"), (F.col("p_partkey") % 10).cast("string"))
     return p.select(F.col("p_partkey").alias("k"), search_url(term, "https://s.example/?q=").alias("url"))
+
+
+@register("spigot_sample", "SELECT s_suppkey, s_name FROM supplier")
+def spigot_sample(spark, sf_dir):
+    path = scratch_dir(spark, "spigot") + "/sample"
+    table(spark, sf_dir, "supplier").select_fields(["s_suppkey", "s_name"]).spigot(path, {"prob": 1.0})
+    return spark.read.schema("s_suppkey int, s_name string").json(path)
+
+
+@register("stream_incremental", ORACLES["bookmark_incremental"])
+def stream_incremental(spark, sf_dir):
+    from ..streaming.incremental import run_incremental
+
+    events = table(spark, sf_dir, "events").df.select("event_id", "user_id", "event_type")
+    half = events.agg(F.max("event_id")).collect()[0][0] / 2
+    landing, out, state = (scratch_dir(spark, x) + "/d" for x in ("landing", "streamed", "state"))
+
+    def keep(run):
+        return lambda frame, _batch: frame.toDF().withColumn("run", F.lit(run)).write.mode("append").parquet(out)
+
+    for run, part in ((1, events.where(F.col("event_id") <= half)), (2, events.where(F.col("event_id") > half))):
+        part.write.mode("append").parquet(landing)
+        run_incremental(spark, landing, "parquet", events.schema, "events", keep(run), checkpoint_root=state)
+    return spark.read.parquet(out)
