@@ -57,8 +57,8 @@ RULES = (
     Rule("mean_word_length", "word_chars", "n_words", least=2000, most=15000),
     Rule("symbols_per_word", "n_symbols", "n_words", most=100),
     Rule("stop_words", "n_stop_words", "n_words", least=20),
-    Rule("words_with_letters", "n_alpha_words", "n_words", least=700),
-    Rule("duplicate_lines", "n_dup_lines", "n_lines", most=300),
+    Rule("words_with_letters", "n_alpha_words", "n_words", least=600),
+    Rule("duplicate_lines", "n_dup_lines", "n_lines", most=500),
     Rule("bullet_lines", "n_bullet_lines", "n_lines", most=900),
     Rule("ellipsis_lines", "n_ellipsis_lines", "n_lines", most=300),
 )
