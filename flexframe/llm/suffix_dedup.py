@@ -51,9 +51,9 @@ LENGTH = 100
 GRAM = 32
 BLOCK = 8
 #: Text that a task hashes at once; longer texts are hashed in overlapping strips.
-STRIP = 1 << 21
+STRIP = 1 << 20
 #: Rows that a task combines at once before they are shuffled.
-COMBINE = 1 << 20
+COMBINE = 1 << 19
 
 #: Kinds of rows: a range, the mark of a name with several ranges, a range under such a name, a repeat.
 ONE, SEVERAL, AMONG, REPEAT = 0, 1, 2, 3

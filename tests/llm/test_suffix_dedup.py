@@ -51,7 +51,7 @@ def made():
     return rows
 
 
-@pytest.mark.parametrize("strip,combine", [(1 << 21, 1 << 20), (1500, 200)])
+@pytest.mark.parametrize("strip,combine", [(1 << 20, 1 << 19), (1500, 200)])
 def test_against_brute_force(spark, docs, strip, combine):
     rows = made() + [(1000 + i, t) for i, t in docs[:60]]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
