@@ -22,6 +22,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -99,7 +100,7 @@ def _distinct(keys: np.ndarray) -> np.ndarray:
     return keys[np.flatnonzero(np.diff(keys, prepend=-1))]
 
 
-def _chunks(texts: list[bytes], size: int = 1 << 20) -> Iterator[tuple[int, list[bytes]]]:
+def _chunks(texts: list[bytes], size: int = 1 << 19) -> Iterator[tuple[int, list[bytes]]]:
     """(number of the first text, texts) in lists of about ``size`` bytes."""
     at, total = 0, 0
     for k, text in enumerate(texts):
@@ -185,12 +186,26 @@ def fit(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, id_col
     texts = (id_text(documents, id_col, text_col).join(F.broadcast(first), "doc_id")
              .where(F.octet_length("text") <= SAMPLE_BYTES))
     order = W.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id", "text")
-    sample = texts.withColumn("r", F.row_number().over(order)).where(F.col("r") <= rows).select("text", "label").collect()
-    y = np.array([r.label for r in sample], dtype=np.int64)
-    if not 0 < y.sum() < len(y):
-        share = float(y.mean()) if len(y) else 0.0
-        return Model(np.zeros(1 << BITS, np.float32), -50.0 if share == 0 else 50.0)
-    return train([r.text.encode("utf-8", "surrogatepass") for r in sample], y)
+    sample = texts.withColumn("r", F.row_number().over(order)).where(F.col("r") <= rows).select("text", "label")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = sorted((label, text.encode("utf-8", "surrogatepass")) for b in batches for text, label in zip(b["text"], b["label"]))
+        y = np.array([label for label, _ in known], dtype=np.int64)
+        if 0 < y.sum() < len(y):
+            model = train([text for _, text in known], y)
+        else:
+            model = Model(np.zeros(1 << BITS, np.float32), 50.0 if y.sum() else -50.0)
+        places = np.flatnonzero(model.weights)
+        yield pd.DataFrame({"bias": [model.bias], "places": [places.astype("<i4").tobytes()],
+                            "weights": [model.weights[places].astype("<f4").tobytes()]})
+
+    # the bounded sample meets in one task; the driver gets the few weights that aren't zero
+    found = sample.repartition(1).mapInPandas(run, "bias double, places binary, weights binary").first()
+    weights = np.zeros(1 << BITS, np.float32)
+    if found is None:
+        return Model(weights, -50.0)
+    weights[np.frombuffer(found.places, "<i4")] = np.frombuffer(found.weights, "<f4")
+    return Model(weights, found.bias)
 
 
 def score(spark: SparkSession, df: DataFrame, model: Model, threshold: float = THRESHOLD, id_col: str = "doc_id",
