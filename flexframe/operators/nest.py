@@ -135,6 +135,42 @@ def _node(parts):
     return e
 
 
+def _every(expr: Column, dtype, rest: list[str]) -> Column:
+    """All nodes that a path names, arrays on the way laid out in one."""
+    if isinstance(dtype, ArrayType):
+        return F.flatten(F.transform(expr, lambda e: _every(e, dtype.elementType, rest)))
+    if not rest:
+        return F.array(expr)
+    return _every(expr.getField(rest[0]), dtype[rest[0]].dataType, rest[1:])
+
+
+def _unbox_in_arrays(frame: Frame, path: str, parts: list[str], fmt: str, options: dict, stage: ErrorStage) -> Frame:
+    """``unbox`` of JSON texts below arrays: all of them have one type; a row with a bad one is an error record."""
+    from ..schema import choice_paths, parse_type
+    from .choice import _anywhere, _fill, _resolve_mixed, _rewrite, infer_variant_type
+
+    if fmt != "json":
+        raise NotImplementedError(f"unbox of {fmt} inside an array is not supported")
+    found: dict[str, list[str]] = {}
+    if options.get("withSchema"):
+        given = options["withSchema"]
+        schema = StructType.fromJson(json.loads(given)) if str(given).strip().startswith("{") else parse_type(given)
+        value = lambda e: F.from_json(e, schema)
+    else:
+        texts = frame.df.select(F.explode(_every(top(parts[0]), frame.df.schema[parts[0]].dataType, parts[1:])).alias("__t"))
+        parsed = texts.select(F.try_parse_json("__t").alias("__v")).where(F.col("__v").isNotNull())
+        t = infer_variant_type(F.col("__v"), parsed)
+        t = StringType() if t is None else _resolve_mixed(t, parsed, F.col("__v"), [])
+        value = lambda e: _fill(F.try_parse_json(e), t)
+        found = {(f"{path}.{p}" if p else path): n for p, n in choice_paths(t).items()}
+    bad = _anywhere(frame.df, parts, lambda e, _: e.isNotNull() & F.try_parse_json(e).isNull())
+    tagged = frame.df.withColumn("__ff_err", F.when(bad, F.lit(f"cannot unbox {path} as json")))
+    errors = error_rows(tagged, F.col("__ff_err"), stage.op, stage.ctx, stage.info, exclude=("__ff_err",))
+    good = _rewrite(tagged.where(F.col("__ff_err").isNull()).drop("__ff_err"), parts, lambda e, _: value(e))
+    done = ErrorStage(stage.op, stage.ctx, stage.info, errors, stage.stage_threshold, stage.total_threshold)
+    return frame._next(good, done, {**frame.choices, **found})
+
+
 def unbox(frame: Frame, path: str, format: str, options: dict, ctx="", info="", stage=0, total=0) -> Frame:
     """Parse a string field in place (json or csv); unparsable values become error records."""
     from .choice import _fill, _rewrite, infer_variant_type, _resolve_mixed
@@ -145,7 +181,7 @@ def unbox(frame: Frame, path: str, format: str, options: dict, ctx="", info="",
         raise KeyError(f"unbox: path {path!r} not found")
     parts, dtype, depth = r
     if depth:
-        raise NotImplementedError("unbox of a field inside an array is not supported")
+        return _unbox_in_arrays(frame, path, parts, format.lower(), options, ErrorStage("unbox", ctx, info, None, stage, total))
     node = _node(parts)
     fmt = format.lower()
     with_schema = options.get("withSchema")

@@ -114,6 +114,17 @@ def test_boxed_csv_keeps_every_line_or_tells(spark):
     assert [(r.k, r.box.a, r.box.b) for r in f.toDF().collect()] == [(1, "3", "4")] and f.errorsCount() == 2
 
 
+def test_unbox_inside_arrays(spark):
+    df = spark.sql("""SELECT 1 AS k, array(named_struct('j', '{"a":1}'), named_struct('j', '{"a":"x"}'), named_struct('j', null)) AS xs
+                      UNION ALL SELECT 2, array(named_struct('j', '{bad')) UNION ALL SELECT 3, null""")
+    f = Frame(df, "f").unbox("xs.j", "json")
+    rows = {r.k: r.asDict(True) for r in f.toDF().collect()}
+    assert set(rows) == {1, 3} and f.errorsCount() == 1
+    assert [x["j"] and x["j"]["a"] for x in rows[1]["xs"]] == [{"long": 1, "string": None}, {"long": None, "string": "x"}, None]
+    typed = Frame(df.where("k = 1"), "f").unbox("xs.j", "json", withSchema="a string")
+    assert [x.j and x.j.a for x in typed.toDF().first().xs] == ["1", "x", None]
+
+
 def test_map_fields_outside_the_schema(spark):
     f = Frame(spark.range(2), "f").map(lambda r: {"id": r["id"], "extra": 1})
     assert f.count() == 0 and f.errorsCount() == 2
