@@ -21,6 +21,7 @@ staged rows: narrow, no shuffle.
 from __future__ import annotations
 
 import json
+import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -171,6 +172,30 @@ def _unbox_in_arrays(frame: Frame, path: str, parts: list[str], fmt: str, option
     return frame._next(good, done, {**frame.choices, **found})
 
 
+def _named_by_header(df, text: Column, lines: Column, sep: str, csv_opts: dict):
+    """``df`` with ``__ff_v`` (names, values, bad), and the struct of all headers' columns; None without a header.
+
+    Each row's values go by the row's own header line. The driver gets the
+    distinct names and widths, not the headers.
+    """
+    header = F.transform(F.split(F.get(lines, F.lit(0)), re.escape(sep)), lambda n: F.regexp_replace(n, r"^\s+|\s+$", ""))
+    each = df.where(text.isNotNull()).select(F.size(header).alias("__w"), F.posexplode(header).alias("__i", "__n"))
+    found = each.groupBy("__n").agg(F.min("__i").alias("i"), F.collect_set("__w").alias("w")).orderBy("i", "__n").collect()
+    if not found:
+        return None
+
+    def parsed(width):
+        fields = ", ".join(f"_c{i} string" for i in range(width))
+        return F.get(F.transform(F.array(F.from_csv(text, f"{fields}, _corrupt_record string", csv_opts)), lambda p: F.struct(
+            header.alias("names"), F.array(*[p[f"_c{i}"] for i in range(width)]).alias("values"), p["_corrupt_record"].alias("bad"))), F.lit(0))
+
+    widths = sorted({w for r in found for w in r["w"]})
+    v = F.coalesce(*[F.when(F.size(header) == w, parsed(w)) for w in widths])
+    at = F.col("__ff_v")
+    value = F.struct(*[F.get(at["values"], (F.array_position(at["names"], r["__n"]) - 1).cast("int")).alias(r["__n"]) for r in found])
+    return df.withColumn("__ff_v", v), value
+
+
 def unbox(frame: Frame, path: str, format: str, options: dict, ctx="", info="", stage=0, total=0) -> Frame:
     """Parse a string field in place (json or csv); unparsable values become error records."""
     from .choice import _fill, _rewrite, infer_variant_type, _resolve_mixed
@@ -218,20 +243,25 @@ def unbox(frame: Frame, path: str, format: str, options: dict, ctx="", info="",
             # the header line, then one data line; more of them do not fit one record
             lines = F.split(F.rtrim(node, F.lit("\r\n")), "\r?\n")
             text = F.when(F.size(lines) == 2, F.get(lines, F.lit(1)))
-        if schema is None:
-            if options.get("withHeader"):
-                first = frame.df.where(node.isNotNull()).select(F.substring_index(node, "\n", 1).alias("h")).head(1)
-                names = first[0]["h"].split(sep) if first else []
-            else:
-                import re
-
-                n = frame.df.select(F.max(F.size(F.split(text, re.escape(sep)))).alias("n")).collect()[0]["n"] or 0
-                names = [f"_c{i}" for i in range(n)]
-            schema = StructType([StructField(nm.strip(), StringType()) for nm in names])
-        wide = StructType(list(schema.fields) + [StructField("_corrupt_record", StringType())])
-        parsed = F.from_csv(text, wide.simpleString(), csv_opts)
-        failed = node.isNotNull() & (text.isNull() | parsed.getField("_corrupt_record").isNotNull())
-        value = parsed.dropFields("_corrupt_record")
+        named = _named_by_header(frame.df, text, lines, sep, csv_opts) if schema is None and options.get("withHeader") else None
+        if named is not None:
+            source, value = named
+            v = F.col("__ff_v")
+            # a name twice in one header names nothing
+            double = F.size(F.array_distinct(v["names"])) < F.size(v["names"])
+            failed = node.isNotNull() & (text.isNull() | v.isNull() | v["bad"].isNotNull() | double)
+            value = F.when(node.isNotNull(), value)
+        else:
+            if schema is None:
+                names = []
+                if not options.get("withHeader"):
+                    n = frame.df.select(F.max(F.size(F.split(text, re.escape(sep)))).alias("n")).collect()[0]["n"] or 0
+                    names = [f"_c{i}" for i in range(n)]
+                schema = StructType([StructField(nm.strip(), StringType()) for nm in names])
+            wide = StructType(list(schema.fields) + [StructField("_corrupt_record", StringType())])
+            parsed = F.from_csv(text, wide.simpleString(), csv_opts)
+            failed = node.isNotNull() & (text.isNull() | parsed.getField("_corrupt_record").isNotNull())
+            value = parsed.dropFields("_corrupt_record")
         new_choices = {}
     elif fmt == "avro":
         raise NotImplementedError("unbox avro needs the spark-avro package, which is not installed")

@@ -104,3 +104,13 @@ def test_array_functions(spark):
     assert df.select(replace_array_element("xs", "Z", 1).alias("r")).collect()[0].r == ["a", "Z", "c"]
     s = df.select(named_struct({"k"}).alias("s")).collect()[0].s
     assert s.k == 1
+
+
+def test_unbox_csv_rows_with_different_headers(spark):
+    boxes = ["a,b\n1,2", "b,a\n2,1", "a,c,b\n1,3,2", None, "a,b\n1,2,3", "a,a\n1,1", 'b\n"x,y"']
+    df = spark.createDataFrame(list(enumerate(boxes)), "k int, box string")
+    for order in (df, df.orderBy(F.desc("k"))):
+        f = Frame(order, "f").unbox("box", "csv", withHeader=True)
+        got = {r.k: r.box and (r.box.a, r.box.b, r.box.c) for r in f.toDF().collect()}
+        assert got == {0: ("1", "2", None), 1: ("1", "2", None), 2: ("1", "2", "3"), 3: None, 6: (None, "x,y", None)}
+        assert f.errorsCount() == 2
