@@ -4,7 +4,9 @@ Candidate strings are long runs of one character class. A window slides over
 each; the counts of the characters inside it change by one step in and one
 step out, and with them the sum of ``c * log2(c)``. The largest window entropy
 is held against the threshold of the class. An allow-list then drops
-candidates that are known to be harmless.
+candidates that are known to be harmless. A run that isn't a secret as a whole
+is looked at in parts: words, UUIDs, digests and placeholders are cut out of it,
+the stretches between them are held against the threshold of their class.
 
 All arithmetic on entropies is on integers (``c * log2(c)`` scaled by 2^20 and
 rounded), so that the result doesn't depend on the order of additions.
@@ -132,17 +134,79 @@ def window_entropy(value: Column, cls: CharClass, window: int = WINDOW) -> Colum
     return bind(F.transform(letters, lambda c: F.instr(F.lit(cls.alphabet), c) - 1), over)
 
 
-def _secret(value: Column, window: int) -> Column:
+#: Rules that speak of a whole candidate; the others find a harmless part, anywhere in it.
+WHOLE = ALLOW[:3]
+_EDGE = "/=_-"
+#: Harmless parts of a run, each between separators or the ends, but for the placeholders.
+HARMLESS = "|".join((
+    rf"(?<![{CLASSES[-1].run}])sha(?:256-(?:[0-9a-f]{{64}}|[A-Za-z0-9+/_-]{{43}}=?)|384-(?:[0-9a-f]{{96}}|[A-Za-z0-9+/_-]{{64}})"
+    r"|512-(?:[0-9a-f]{128}|[A-Za-z0-9+/_-]{86}={0,2}))",
+    rf"(?<![^{_EDGE}])(?i:[0-9a-f]{{8}}-[0-9a-f]{{4}}-[0-9a-f]{{4}}-[0-9a-f]{{4}}-[0-9a-f]{{12}})(?![^{_EDGE}])",
+    # words and numbers shorter than a candidate
+    rf"(?<![^{_EDGE}])(?![A-Za-z0-9+]{{20}})(?:[A-Z]?[a-z]++(?:[A-Z][a-z]++)*+[0-9]{{0,4}}|[A-Z]++|[0-9]++)(?![^{_EDGE}])",
+    r"(?i:example|sample|dummy|placeholder|x{4,}+|0123456789|abcdefgh)",
+))
+#: Tiles of a run: a harmless part, or (group 1) the stretch up to the next one. Possessive: no recursion on long runs.
+STRETCH = rf"(?:{HARMLESS})|((?:(?!{HARMLESS})[{CLASSES[-1].run}])++)"
+
+
+def _tiles(value: Column, pattern: str, least: int) -> Column:
+    """(start, end, part) of the tiles of ``value`` that are group 1 of ``pattern`` and not too short; tiles leave no gap."""
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,part:string>>").alias("found"))
+
+    def step(state, x):
+        end = state["at"] + F.char_length(x["every"])
+        tile = F.struct(state["at"].alias("start"), end.alias("end"), x["part"].alias("part"))
+        return F.struct(end.alias("at"), F.when(
+            F.char_length(x["part"]) >= least, F.concat(state["found"], F.array(tile))).otherwise(state["found"]).alias("found"))
+
+    tiles = F.arrays_zip(F.regexp_extract_all(value, F.lit(pattern), F.lit(0)).alias("every"),
+                         F.regexp_extract_all(value, F.lit(pattern), F.lit(1)).alias("part"))
+    return F.aggregate(tiles.cast("array<struct<every:string,part:string>>"), start, step, lambda state: state["found"])
+
+
+def _matches(value: Column, rules: tuple[str, ...]) -> Column:
+    allowed = F.lit(False)
+    for rule in rules:
+        allowed = allowed | value.rlike(rule)
+    return allowed
+
+
+def _secret(value: Column, window: int, rules: tuple[str, ...] = ALLOW) -> Column:
     """Whether a candidate's best window reaches the entropy of its class and no allow-list rule holds."""
     verdict = F.lit(False)
     for cls in reversed(CLASSES):
         most = round((math.log2(window) - cls.bits) * window * SCALE)
         own = value.rlike(f"^[{cls.run}]{{{cls.least},}}$")
         verdict = F.when(own, window_entropy(value, cls, window) <= most).otherwise(verdict)
-    allowed = F.lit(False)
-    for rule in ALLOW:
-        allowed = allowed | value.rlike(rule)
-    return F.when(allowed, False).otherwise(verdict)
+    return F.when(_matches(value, rules), False).otherwise(verdict)
+
+
+def _with_parts(df: DataFrame, window: int) -> DataFrame:
+    """``_s_entropy``: (start, end) of the secrets among the runs, each a whole run or a part of it.
+
+    One column a step: nested lambdas would be resolved level by level. A span
+    goes on to the next one if that is less than a candidate away and in the
+    same run: one key with a word in it is masked without gaps.
+    """
+    least = CLASSES[-1].least
+    df = df.withColumn("_runs", F.transform("_s_run", lambda s, i: F.struct(
+        s["start"].alias("start"), s["end"].alias("end"), F.get("_m_run", i).alias("part"), _secret(F.get("_m_run", i), window).alias("secret"))))
+    # stretches of the runs that are no secret as a whole, places within the text
+    df = df.withColumn("_parts", F.flatten(F.transform(
+        F.filter("_runs", lambda r: ~r["secret"] & ~_matches(r["part"], WHOLE)),
+        lambda r: F.transform(_tiles(r["part"], STRETCH, least), lambda t: F.struct(
+            (r["start"] + t["start"]).alias("start"), (r["start"] + t["end"]).alias("end"),
+            t["part"].alias("part"), r["start"].alias("run"), _secret(t["part"], window, WHOLE).alias("secret"))))))
+    wide = F.transform(F.filter("_parts", lambda p: p["secret"]), lambda p: F.struct(
+        p["start"].alias("start"), p["end"].alias("end"), p["run"].alias("run")))
+    df = df.withColumn("_parts", F.array_sort(wide))
+    span = lambda a, b: F.struct(a.alias("start"), b.alias("end"))
+    near = lambda p, after: (after["run"] == p["run"]) & (after["start"] - p["end"] < least)
+    parts = F.transform("_parts", lambda p, i: span(p["start"], F.when(
+        near(p, F.get(F.col("_parts"), i + 1)), F.get(F.col("_parts"), i + 1)["start"]).otherwise(p["end"])))
+    whole = F.transform(F.filter("_runs", lambda r: r["secret"]), lambda r: span(r["start"], r["end"]))
+    return df.withColumn("_s_entropy", F.concat(whole, parts))
 
 
 #: Maximal runs of the widest class; the narrower ones are told apart within.
@@ -181,8 +245,7 @@ def _found(df: DataFrame, text: str = "text", window: int = WINDOW) -> DataFrame
         ranked("_s_access", 1),
         ranked("_s_hex", 2),
     )
-    added = ranked("_s_run", 3, lambda i: _secret(F.get("_m_run", i), window))
-    return out.withColumn("_base", F.array_sort(base)).withColumn("_added", added)
+    return _with_parts(out, window).withColumn("_base", F.array_sort(base)).withColumn("_added", ranked("_s_entropy", 3))
 
 
 def _listed(spans: Column) -> Column:

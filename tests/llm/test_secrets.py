@@ -107,3 +107,38 @@ def test_window_entropy_is_the_least_sum(spark, value):
     got = spark.range(1).select(secret_scan.window_entropy(F.lit(value), cls)).first()[0]
     sums = [sum(secret_scan._clogc(c) for c in Counter(value[i:i + 20]).values()) for i in range(len(value) - 19)]
     assert got == min(sums)
+
+
+KEY, UPPER = "Zk3Jq9Xw2Lr8Tn5Vb7Yc1Md4", "3FA94C07E1B2D85A60C9F17E"
+
+
+CLEANED = [
+    ("/services/T0Q4F7Z2P/B09XK31LM/" + KEY, "/services[SECRET]"),
+    ("export/key/" + KEY + " end", "export/key[SECRET] end"),
+    ("a/b/" + KEY + "/path/to", "a/b[SECRET]path/to"),
+    (KEY + "xxxx" + KEY[::-1], "[SECRET][SECRET]"),
+    ("see/path/" + UPPER, "see/path[SECRET]"),
+    # still harmless
+    ("/usr/local/lib2/python3/site-packages/someModule", None),
+    ("/items/550e8400-e29b-41d4-a716-446655440000/view", None),
+    ("sha512-" + "Zk3Jq9Xw2Lr8Tn5Vb7Yc1Md4/ab/" * 3 + "Q7==", None),
+    ("/orders/20240501123456789012/list", None),
+    ("/a1" + "x" * 50000, None),
+]
+
+
+def test_harmless_parts_do_not_hide_secrets(spark):
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(CLEANED)], "doc_id long, text string")
+    got = {r.doc_id: r.text for r in secret_scan.redact(df).collect()}
+    assert [got[i] for i in range(len(CLEANED))] == [c or t for t, c in CLEANED]
+
+
+def test_long_base64_is_masked(spark):
+    import random
+
+    rng = random.Random(7)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    rows = [(i, "".join(rng.choices(letters, k=4000))) for i in range(40)]
+    assert sum(any(re.search(r, t) for r in secret_scan.ALLOW) for _, t in rows) > 5
+    for r in secret_scan.redact(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        assert len(r.text.replace("[SECRET]", "")) < 60
