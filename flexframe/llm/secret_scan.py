@@ -6,7 +6,8 @@ step out, and with them the sum of ``c * log2(c)``. The largest window entropy
 is held against the threshold of the class. An allow-list then drops
 candidates that are known to be harmless. A run that isn't a secret as a whole
 is looked at in parts: words, UUIDs, digests and placeholders are cut out of it,
-the stretches between them are held against the threshold of their class.
+the stretches between them are held against the widest class, and the runs of
+the narrower class inside against their own.
 
 All arithmetic on entropies is on integers (``c * log2(c)`` scaled by 2^20 and
 rounded), so that the result doesn't depend on the order of additions.
@@ -150,6 +151,12 @@ HARMLESS = "|".join((
 STRETCH = rf"(?:{HARMLESS})|((?:(?!{HARMLESS})[{CLASSES[-1].run}])++)"
 
 
+def _inside(cls: CharClass) -> str:
+    """Tiles of a stretch: (group 1) a maximal run of ``cls``, or what lies between."""
+    run = rf"(?<![{cls.run}])[{cls.run}]{{{cls.least}"
+    return rf"({run},}}+)|(?:(?!{run}}}).)++"
+
+
 def _tiles(value: Column, pattern: str, least: int) -> Column:
     """(start, end, part) of the tiles of ``value`` that are group 1 of ``pattern`` and not too short; tiles leave no gap."""
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,part:string>>").alias("found"))
@@ -198,9 +205,13 @@ def _with_parts(df: DataFrame, window: int) -> DataFrame:
         lambda r: F.transform(_tiles(r["part"], STRETCH, least), lambda t: F.struct(
             (r["start"] + t["start"]).alias("start"), (r["start"] + t["end"]).alias("end"),
             t["part"].alias("part"), r["start"].alias("run"), _secret(t["part"], window, WHOLE).alias("secret"))))))
+    # in the others, runs of the narrower class
+    narrow = [F.flatten(F.transform(F.filter("_parts", lambda p: ~p["secret"]), lambda p: F.transform(
+        F.filter(_tiles(p["part"], _inside(c), c.least), lambda t: _secret(t["part"], window, WHOLE)), lambda t: F.struct(
+            (p["start"] + t["start"]).alias("start"), (p["start"] + t["end"]).alias("end"), p["run"].alias("run"))))) for c in CLASSES[:-1]]
     wide = F.transform(F.filter("_parts", lambda p: p["secret"]), lambda p: F.struct(
         p["start"].alias("start"), p["end"].alias("end"), p["run"].alias("run")))
-    df = df.withColumn("_parts", F.array_sort(wide))
+    df = df.withColumn("_parts", F.array_sort(F.concat(wide, *narrow)))
     span = lambda a, b: F.struct(a.alias("start"), b.alias("end"))
     near = lambda p, after: (after["run"] == p["run"]) & (after["start"] - p["end"] < least)
     parts = F.transform("_parts", lambda p, i: span(p["start"], F.when(

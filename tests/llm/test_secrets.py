@@ -117,6 +117,10 @@ CLEANED = [
     ("export/key/" + KEY + " end", "export/key[SECRET] end"),
     ("a/b/" + KEY + "/path/to", "a/b[SECRET]path/to"),
     (KEY + "xxxx" + KEY[::-1], "[SECRET][SECRET]"),
+    (KEY + " /ab/cd " + "path/" + "A1B2C3D4A1B2C3D4A1B2C3D4" + "/word/" + KEY, "[SECRET] /ab/cd path/[SECRET][SECRET]"),
+    # too low for 3.5 bits, high enough for hexadecimal digits
+    ("ID=A1B2C3D4A1B2C3D4A1B2C3D4", "ID=[SECRET]"),
+    ("k=" + "a1b2c3d4" * 2 + "a1b2", "k=[SECRET]"),
     ("see/path/" + UPPER, "see/path[SECRET]"),
     # still harmless
     ("/usr/local/lib2/python3/site-packages/someModule", None),
