@@ -63,16 +63,16 @@ def _signed(value: int) -> int:
 
 
 def fingerprints(df: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id`` and ``fp`` (the 64 bits as a long), one row per row of ``df``."""
-    base = id_text(df, id_col, text_col)
+    """``doc_id``, ``fp`` (the 64 bits as a long) and a hash of the text, one row per row of ``df``."""
+    base = id_text(df, id_col, text_col).withColumn("text_hash", F.xxhash64("text"))
     kind = base.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = [_signed(fingerprint(t.as_py(), shingle)) for t in b.column(1)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps, pa.int64())], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps, pa.int64()), b.column(2)], names=["doc_id", "fp", "text_hash"])
 
-    return base.mapInArrow(run, f"doc_id {kind}, fp long")
+    return base.mapInArrow(run, f"doc_id {kind}, fp long, text_hash long")
 
 
 def _segments(n: int) -> list[tuple[int, int]]:
@@ -195,6 +195,11 @@ def components(spark: SparkSession, vertices: DataFrame, edges: DataFrame) -> Da
 def cluster(spark: SparkSession, df: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS,
             id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, ``fingerprint`` (16 hex digits) and ``component_id`` (least id reachable), a row per row."""
+    return _clustered(spark, df, shingle, radius, id_col, text_col).drop("text_hash")
+
+
+def _clustered(spark: SparkSession, df: DataFrame, shingle: int, radius: int, id_col: str, text_col: str) -> DataFrame:
+    """``cluster`` with the hash of each row's text."""
     docs = staged(spark, fingerprints(df, shingle, id_col, text_col), "simhash-fp")
     distinct = staged(spark, docs.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "simhash-distinct")
     roots = staged(spark, components(spark, distinct.select("fp"), links(distinct.select("fp"), radius)), "simhash-comp")
@@ -202,7 +207,7 @@ def cluster(spark: SparkSession, df: DataFrame, shingle: int = SHINGLE, radius:
     least = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
     by_fp = named.join(least, "root").select("fp", "component_id")
     return docs.join(by_fp, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "text_hash")
 
 
 def keep_one(spark: SparkSession, df: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS,
@@ -210,8 +215,11 @@ def keep_one(spark: SparkSession, df: DataFrame, shingle: int = SHINGLE, radius:
     """``df`` without the rows whose id isn't the least of their component; columns as they were.
 
     Rows that share the least id (repeats) all stay; rows with a null id stay,
-    since no id names them.
+    since no id names them. Where an id carries several texts, each row goes by
+    the component of its own text.
     """
-    groups = cluster(spark, df, shingle, radius, id_col, text_col)
-    gone = groups.where("doc_id != component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return df.join(gone, df[id_col] == gone["_gone"], "left_anti")
+    groups = _clustered(spark, df, shingle, radius, id_col, text_col)
+    gone = groups.where("doc_id != component_id").select(
+        F.col("doc_id").alias("_gone"), F.col("text_hash").alias("_gone_hash")).distinct()
+    same = F.xxhash64(F.coalesce(df[text_col], F.lit(""))) == gone["_gone_hash"]
+    return df.join(gone, (df[id_col] == gone["_gone"]) & same, "left_anti")

@@ -93,3 +93,11 @@ def test_keep_one_and_edges(spark, edges, empty):
         if d is None or d == c:
             want[d] += n
     assert ids == want
+
+
+def test_keep_one_with_an_id_of_two_texts(spark):
+    copy = "the quick brown fox jumps over the lazy dog near the river bank"
+    other = "entirely different words about spark clusters and memory limits in production"
+    df = spark.createDataFrame([(1, copy), (2, copy), (2, other), (3, other), (3, None)], "doc_id long, text string")
+    kept = sorted((r.doc_id, r.text or "") for r in simhash.keep_one(spark, df).collect())
+    assert kept == [(1, copy), (2, other), (3, "")]
