@@ -40,6 +40,30 @@ def staged(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Keys that hold more than one row in so many are joined by broadcast.
+HEAVY = 1000
+
+
+def lookup(df: DataFrame, table: DataFrame, on: list[str], heavy: int = HEAVY) -> DataFrame:
+    """``df`` left-joined with ``table``, which has at most one row per key ``on``; no hot key reaches one task.
+
+    Keys that hold more than 1/``heavy`` of the rows of ``df`` can't number more
+    than ``heavy``, so their rows of ``table`` are broadcast; the other keys are
+    joined as Spark plans it. Rows with a null in the key find nothing. Both
+    inputs are read more than once: give staged tables.
+    """
+    whole = F.lit(True)
+    for c in on:
+        whole &= F.col(c).isNotNull()
+    keyed = df.where(whole)
+    least = keyed.count() / heavy
+    hot = keyed.groupBy(*on).count().where(F.col("count") > least).select(*on)
+    added = [F.lit(None).cast(f.dataType).alias(f.name) for f in table.schema.fields if f.name not in on]
+    common = keyed.join(F.broadcast(hot), on, "left_semi").join(F.broadcast(table.join(hot, on, "left_semi")), on, "left")
+    rest = keyed.join(F.broadcast(hot), on, "left_anti").join(table, on, "left")
+    return common.unionByName(rest).unionByName(df.where(~whole).select("*", *added))
+
+
 class Memo(dict):
     """Values by key, made when they are first asked for; holds two generations of ``most`` entries.
 

@@ -113,3 +113,15 @@ def secrets(window: int = secret_scan.WINDOW) -> str:
            coalesce(n_entropy, 0) AS n_entropy, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
     FROM d LEFT JOIN g USING (rid)
     """
+
+
+def warc(least: int = 1000) -> str:
+    return f"""
+    WITH p AS (
+      SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest,
+             row_number() OVER (PARTITION BY coalesce(html, '') ORDER BY page_id DESC NULLS LAST) AS place,
+             max(page_id) OVER (PARTITION BY coalesce(html, '')) AS top FROM pages)
+    SELECT page_id, payload_bytes, payload_digest,
+           CASE WHEN payload_bytes >= {least} AND place > 1 THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN payload_bytes >= {least} AND place > 1 THEN top END AS refers_to FROM p
+    """

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import oracles, packing, quality, secret_scan, sentencepiece_codec, sharding, simhash, suffix_dedup, token_counts, topk, toxicity
+from . import oracles, packing, quality, secret_scan, sentencepiece_codec, sharding, simhash, suffix_dedup, token_counts, topk, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -76,8 +76,14 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.cluster(spark, table(spark, sf_dir, "documents"))
 
 
+@register("op11_warc")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(spark, table(spark, sf_dir, "pages"), least=1000).drop("target_uri")
+
+
 ORACLES.update({
     "op3_quality_rules": oracles.quality_rules(),
     "op6_exact_topk": oracles.topk(every=100, k=10),
     "op8_secret_scan": oracles.secrets(),
+    "op11_warc": oracles.warc(least=1000),
 })
