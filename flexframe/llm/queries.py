@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import oracles, packing, quality, secret_scan, sentencepiece_codec, sharding, simhash, suffix_dedup, token_counts, topk, toxicity, warc
+from . import oracles, packing, quality, secret_scan, sentencepiece_codec, sharding, simhash, suffix_dedup, token_counts, topk, toxicity, warc, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -81,6 +81,12 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(spark, table(spark, sf_dir, "pages"), least=1000).drop("target_uri")
 
 
+@register("op13_whitening")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # a deviation beyond a long (from some ten million vectors on) is null here; the operator has it as decimal(38,0)
+    return whitening.whiten(spark, table(spark, sf_dir, "embeddings"), components=8).withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))
+
+
 ORACLES.update({
     "op3_quality_rules": oracles.quality_rules(),
     "op6_exact_topk": oracles.topk(every=100, k=10),
