@@ -125,3 +125,33 @@ def warc(least: int = 1000) -> str:
            CASE WHEN payload_bytes >= {least} AND place > 1 THEN 'revisit' ELSE 'response' END AS record_type,
            CASE WHEN payload_bytes >= {least} AND place > 1 THEN top END AS refers_to FROM p
     """
+
+
+def collocations(least: int = 100, longest: int = 5, top: int = 2000, inside: int = 100) -> str:
+    return rf"""
+    WITH d AS (
+      SELECT row_number() OVER () AS rid, coalesce(lang, 'und') AS lang,
+             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+    p AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+          FROM (SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM d)),
+    t AS (SELECT lang, CAST(sum(len(w)) AS HUGEINT) AS n FROM p GROUP BY lang),
+    g AS (SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase
+          FROM (SELECT lang, w, i, unnest(range(1, least({longest}, len(w) - i + 1) + 1)) AS m
+                FROM (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM p))),
+    f AS (SELECT lang, phrase, m, count(*) AS f FROM g GROUP BY lang, phrase, m HAVING count(*) >= {least}),
+    c AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE m >= 2),
+    s AS (SELECT DISTINCT b.lang, array_to_string(b.w[i:i + size - 1], ' ') AS phrase, b.f
+          FROM (SELECT *, unnest(range(1, m - size + 2)) AS i FROM (SELECT *, unnest(range(2, m)) AS size FROM c)) AS b),
+    q AS (SELECT lang, phrase, max(f) AS longer FROM s GROUP BY lang, phrase),
+    kept AS (SELECT c.* FROM c LEFT JOIN q ON c.lang = q.lang AND c.phrase = q.phrase
+             WHERE q.longer IS NULL OR 100 * q.longer < {inside} * c.f),
+    k AS (SELECT lang, phrase, f AS a, k, array_to_string(w[1:k], ' ') AS lhs, array_to_string(w[k + 1:m], ' ') AS rhs
+          FROM (SELECT *, unnest(range(1, m)) AS k FROM kept)),
+    x AS (SELECT k.lang, k.phrase, k.a, k.k, fl.f AS l, fr.f AS r, t.n,
+                 (CAST(1000 AS HUGEINT) * k.a * t.n) // (CAST(fl.f AS HUGEINT) * fr.f) AS score
+          FROM k JOIN f AS fl ON fl.lang = k.lang AND fl.phrase = k.lhs
+                 JOIN f AS fr ON fr.lang = k.lang AND fr.phrase = k.rhs JOIN t ON t.lang = k.lang),
+    y AS (SELECT * FROM x QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+    z AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS INTEGER) AS rank FROM y)
+    SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM z WHERE rank <= {top}
+    """

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import oracles, packing, quality, secret_scan, sentencepiece_codec, sharding, simhash, suffix_dedup, token_counts, topk, toxicity, warc, whitening
+from . import collocations, oracles, packing, quality, secret_scan, sentencepiece_codec, sharding, simhash, suffix_dedup, token_counts, topk, toxicity, warc, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -81,6 +81,11 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(spark, table(spark, sf_dir, "pages"), least=1000).drop("target_uri")
 
 
+@register("op12_collocations")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(spark, table(spark, sf_dir, "documents"), least=100, longest=5, top=2000)
+
+
 @register("op13_whitening")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     # a deviation beyond a long (from some ten million vectors on) is null here; the operator has it as decimal(38,0)
@@ -92,4 +97,5 @@ ORACLES.update({
     "op6_exact_topk": oracles.topk(every=100, k=10),
     "op8_secret_scan": oracles.secrets(),
     "op11_warc": oracles.warc(least=1000),
+    "op12_collocations": oracles.collocations(),
 })
