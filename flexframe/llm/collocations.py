@@ -4,9 +4,10 @@ A suffix is the run of up to ``longest`` words from a position to the end of
 its piece. The words of a phrase begin as many suffixes as the phrase occurs,
 so counts are leaf totals below the nodes of a suffix tree cut at that depth.
 
-1. **Prefixes.** Word counts by language are taken over all texts. A prefix
-   that begins more than ``budget`` suffixes is split by its next word (a
-   second count over all texts, of longer prefixes of such words alone).
+1. **Prefixes.** Prefixes of one word, then of two frequent words, are counted
+   over all texts, by language. A word that begins more than ``budget``
+   suffixes is split by its next word; where a pair still begins too many,
+   longer prefixes of such pairs are counted in one more pass.
 2. **Groups.** What remains begins ``budget`` suffixes or fewer: large prefixes
    are packed into groups first-fit by size, the many small ones are dealt to
    further groups by hash. The split and the large prefixes are few by
@@ -19,10 +20,10 @@ so counts are leaf totals below the nodes of a suffix tree cut at that depth.
 4. **Scores.** Joins of the reported nodes; keys that many candidates share
    (frequent words) go through ``common.lookup``.
 
-Suffixes are cut before words that occur fewer than ``least`` times, which no
-candidate holds. Tasks know those words by a bit table of fixed size; a word
-that shares a bit with a frequent one isn't cut, which costs time and changes
-nothing.
+Suffixes are cut where a word, or a pair of neighbours, occurs fewer than
+``least`` times: no candidate goes across. Tasks know the frequent ones by bit
+tables of fixed size; what shares a bit with a frequent one isn't cut, which
+costs time and changes nothing.
 
 Words are bytes between tab and blank after lower-casing A-Z; in the tree they
 are joined by tabs, and control characters are escaped so that a tab sorts
@@ -59,7 +60,7 @@ LARGE = 4
 #: Bits of the table of frequent words (8 MB).
 BITS = 1 << 26
 #: Entries that a task counts before it hands them over.
-HELD = 300_000
+HELD = 600_000
 
 _DELIMITERS, _BLANKS = b".,;:!?\n\x0b\x0c\r", b" \t"
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -93,29 +94,38 @@ def decoded(phrase: Column) -> Column:
     return phrase
 
 
-def _counts(rows: DataFrame, add: Callable[[Counter, str, str], None], extra: Callable | None = None) -> DataFrame:
-    """(key, n) of what ``add`` counts per (lang, text), combined within tasks but not across them."""
+def _counts(rows: DataFrame, add: Callable[[Counter, str, str], None], extra: Callable[[bytes], int] | None = None) -> DataFrame:
+    """(key, n) of what ``add`` counts per (lang, text), combined within tasks but not across them.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter = Counter()
+    ``add`` counts words or their joined runs; the key has the language before them.
+    """
 
-        def told() -> pa.RecordBatch:
-            keys = list(held)
-            columns = [pa.array(keys, pa.binary()), pa.array(list(held.values()), pa.int64())]
-            names = ["key", "n"]
-            if extra is not None:
-                columns.append(pa.array([extra(k) for k in keys], pa.int32()))
-                names.append("g")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, Counter] = {}
+        size = 0
+
+        def told() -> Iterator[pa.RecordBatch]:
+            for lang, own in held.items():
+                before = prefix(lang)
+                keys = [before + k for k in own]
+                columns = [pa.array(keys, pa.binary()), pa.array(list(own.values()), pa.int64())]
+                if extra is not None:
+                    columns.append(pa.array([extra(k) for k in keys], pa.int32()))
+                yield pa.RecordBatch.from_arrays(columns, names=["key", "n", "g"][:len(columns)])
             held.clear()
-            return pa.RecordBatch.from_arrays(columns, names=names)
 
         for b in batches:
             for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                add(held, lang, text)
-                if len(held) > HELD:
-                    yield told()
-        if held:
-            yield told()
+                own = held.get(lang)
+                if own is None:
+                    own = held[lang] = Counter()
+                size -= len(own)
+                add(own, lang, text)
+                size += len(own)
+                if size > HELD:
+                    yield from told()
+                    size = 0
+        yield from told()
 
     return rows.mapInArrow(run, "key binary, n long" + (", g int" if extra is not None else ""))
 
@@ -123,10 +133,8 @@ def _counts(rows: DataFrame, add: Callable[[Counter, str, str], None], extra: Ca
 def _count_words(held: Counter, lang: str, text: str) -> None:
     words = encoded(text).translate(WORDS).split()
     if words:
-        before = prefix(lang)
-        held[before] += len(words)  # the language's own total
-        for w, n in Counter(words).items():
-            held[before + w] += n
+        held[b""] += len(words)  # the language's own total
+        held.update(words)
 
 
 def _is_frequent(table: np.ndarray, key: bytes) -> bool:
@@ -144,17 +152,28 @@ def bit_table(words: DataFrame) -> np.ndarray:
     return table
 
 
-def _runs(table: np.ndarray) -> Callable[[str, str], Iterator[list[bytes]]]:
-    """Runs of two or more neighbouring frequent words of a piece."""
+def _memos(table: np.ndarray) -> Callable[[str], Memo]:
+    """By language, whether words (or joined words) are in a bit table, remembered in bounded tables."""
     memos: dict[str, Memo] = {}
 
-    def of(lang: str, text: str) -> Iterator[list[bytes]]:
+    def of(lang: str) -> Memo:
         memo = memos.get(lang)
         if memo is None:
-            if len(memos) >= 64:
+            if len(memos) >= 16:
                 memos.clear()
             before = prefix(lang)
             memo = memos[lang] = Memo(lambda w: _is_frequent(table, before + w), 200_000, 64)
+        return memo
+
+    return of
+
+
+def _runs(table: np.ndarray) -> Callable[[str, str], Iterator[list[bytes]]]:
+    """Runs of two or more neighbouring frequent words of a piece."""
+    memos = _memos(table)
+
+    def of(lang: str, text: str) -> Iterator[list[bytes]]:
+        memo = memos(lang)
         for piece in encoded(text).translate(PIECES).split(b"\n"):
             run: list[bytes] = []
             for w in piece.split():
@@ -170,6 +189,27 @@ def _runs(table: np.ndarray) -> Callable[[str, str], Iterator[list[bytes]]]:
     return of
 
 
+def _linked_runs(words: np.ndarray, pairs: np.ndarray) -> Callable[[str, str], Iterator[list[bytes]]]:
+    """Runs of three or more words in which each neighbouring pair is frequent."""
+    runs, memos = _runs(words), _memos(pairs)
+
+    def of(lang: str, text: str) -> Iterator[list[bytes]]:
+        memo = memos(lang)
+        for run in runs(lang, text):
+            if len(run) < 3:
+                continue
+            start = 0
+            for i in range(1, len(run)):
+                if not memo[run[i - 1] + b"\t" + run[i]]:
+                    if i - start > 2:
+                        yield run[start:i]
+                    start = i
+            if len(run) - start > 2:
+                yield run[start:]
+
+    return of
+
+
 class Groups:
     """Which group a suffix belongs to: ``split`` prefixes go on to their next word."""
 
@@ -192,8 +232,22 @@ class Groups:
         self.dealt = -(-rest // budget) + 1
         self.count = self.packed + self.dealt
 
+        self.words: dict[bytes, int] = {}
+
     def __call__(self, key: bytes) -> int:
         at = key.index(b"\t")
+        word = key[:key.index(b"\t", at + 1)]
+        g = self.words.get(word)
+        if g is not None:
+            return g
+        g = self._group(key, at)
+        if word not in self.split:
+            if len(self.words) > 500_000:
+                self.words.clear()
+            self.words[word] = g
+        return g
+
+    def _group(self, key: bytes, at: int) -> int:
         while True:
             at = key.find(b"\t", at + 1)
             p = key if at < 0 else key[:at]
@@ -204,7 +258,7 @@ class Groups:
 
 
 def _subtrees(leaves: DataFrame, split: set[bytes], least: int) -> DataFrame:
-    """(key, n): nodes of two words or more with at least ``least`` leaves, from sorted leaves; not those in ``split``."""
+    """(key, n): nodes of three words or more with at least ``least`` leaves, from sorted leaves; not those in ``split``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         path: list[bytes] = []
@@ -215,7 +269,7 @@ def _subtrees(leaves: DataFrame, split: set[bytes], least: int) -> DataFrame:
         def close(depth: int) -> None:
             while len(path) > depth:
                 n = totals.pop()
-                if n >= least and len(path) > 2:
+                if n >= least and len(path) > 3:
                     key = b"\t".join(path)
                     if key not in split:
                         found.append((key, n))
@@ -255,60 +309,74 @@ def _subtrees(leaves: DataFrame, split: set[bytes], least: int) -> DataFrame:
     return leaves.mapInArrow(run, "key binary, n long")
 
 
-def phrase_counts(spark: SparkSession, df: DataFrame, least: int = LEAST, longest: int = LONGEST, budget: int = BUDGET,
-                  lang_col: str = "lang", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(totals: lang, n), (nodes: lang, phrase, m, f): phrases of 1 to ``longest`` words that occur ``least`` times or more.
-
-    ``phrase`` is in the form of the tree: words joined by tabs; see ``decoded``.
-    """
-    rows = df.select(F.coalesce(df[lang_col].cast("string"), F.lit("und")).alias("lang"), F.coalesce(df[text_col], F.lit("")).alias("text"))
-    is_total = F.endswith(F.col("key"), F.lit(b"\t"))
-    counted = staged(spark, _counts(rows, _count_words).groupBy("key").agg(F.sum("n").alias("n")).where(
-        is_total | (F.col("n") >= least)), "collocation-words")
-    totals, words = counted.where(is_total), counted.where(~is_total)
-    table = bit_table(words)
-    total = totals.agg(F.sum("n")).first()[0] or 0
+def _longer(spark: SparkSession, rows: DataFrame, pairs: DataFrame, word_table: np.ndarray, least: int, longest: int, budget: int) -> DataFrame:
+    """(key, n) of the phrases of three words or more, from the subtrees."""
+    linked = _linked_runs(word_table, bit_table(pairs))
+    # a pair's key without its second word
+    first = F.regexp_replace(F.decode("key", "UTF-8"), "\t[^\t]*$", "").cast("binary")
+    starts = pairs.groupBy(first.alias("key")).agg(F.sum("n").alias("n"))
+    total = pairs.agg(F.sum("n")).first()[0] or 0
     budget = max(budget, -(-total // MOST_GROUPS))
-
     # prefixes that begin a given share of all suffixes: at most LARGE * MOST_GROUPS of each length
     many = F.col("n") * LARGE > budget
-    large = {bytes(r.key): r.n for r in words.where(many).collect()}
-    wide = {p for p, n in large.items() if n > budget}
-    longer = None
-    if wide and longest > 2:
-        runs = _runs(table)
+    large = {bytes(r.key): r.n for r in starts.where(many).unionByName(pairs.where(many)).collect()}
+    wide = {p for p, n in large.items() if n > budget and p.count(b"\t") == 2}
+    more = None
+    if wide and longest > 3:
 
         def count_prefixes(held: Counter, lang: str, text: str) -> None:
             before = prefix(lang)
-            for run in runs(lang, text):
-                for i, w in enumerate(run):
-                    if before + w in wide:
-                        for m in range(2, min(longest, len(run) - i + 1)):
-                            held[before + b"\t".join(run[i:i + m])] += 1
-
-        longer = staged(spark, _counts(rows, count_prefixes).groupBy("key").agg(F.sum("n").alias("n")).where(many), "collocation-prefixes")
-        large.update((bytes(r.key), r.n) for r in longer.collect())
+            for run in linked(lang, text):
+                for i in range(len(run) - 2):
+                    if before + run[i] + b"\t" + run[i + 1] in wide:
+                        for m in range(3, min(longest, len(run) - i + 1)):
+                            held[b"\t".join(run[i:i + m])] += 1
+
+        more = staged(spark, _counts(rows, count_prefixes).groupBy("key").agg(F.sum("n").alias("n")).where(many), "collocation-prefixes")
+        large.update((bytes(r.key), r.n) for r in more.collect())
     groups = Groups(large, total, budget, longest)
 
-    suffix_runs = _runs(table)
-
     def count_suffixes(held: Counter, lang: str, text: str) -> None:
-        before = prefix(lang)
         join = b"\t".join
-        own = Counter()
-        for run in suffix_runs(lang, text):
-            own.update([join(run[i:i + longest]) for i in range(len(run) - 1)])
-            if len(own) > HELD:  # a long text
-                for s, n in own.items():
-                    held[before + s] += n
-                own.clear()
-        for s, n in own.items():
-            held[before + s] += n
+        for run in linked(lang, text):
+            held.update([join(run[i:i + longest]) for i in range(len(run) - 2)])
 
     leaves = _counts(rows, count_suffixes, groups).repartitionById(groups.count, F.col("g")).select("key", "n").sortWithinPartitions("key")
-    nodes = words.unionByName(_subtrees(leaves, groups.split, least))
-    if longer is not None:  # nodes that several groups share were counted as prefixes
-        nodes = nodes.unionByName(longer.where((F.col("n") > budget) & (F.col("n") >= least)))
+    nodes = _subtrees(leaves, groups.split, least)
+    if more is not None:  # nodes that several groups share were counted as prefixes
+        nodes = nodes.unionByName(more.where((F.col("n") > budget) & (F.col("n") >= least)))
+    return nodes
+
+
+def phrase_counts(spark: SparkSession, df: DataFrame, least: int = LEAST, longest: int = LONGEST, budget: int = BUDGET,
+                  lang_col: str = "lang", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """(totals: lang, n), (nodes: lang, phrase, m, f): phrases of 1 to ``longest`` words that occur ``least`` times or more.
+
+    ``phrase`` is in the form of the tree: words joined by tabs; see ``decoded``.
+    """
+    rows = df.select(F.coalesce(df[lang_col].cast("string"), F.lit("und")).alias("lang"), F.coalesce(df[text_col], F.lit("")).alias("text"))
+    is_total = F.endswith(F.col("key"), F.lit(b"\t"))
+
+    def counted(add, label: str) -> DataFrame:
+        summed = _counts(rows, add).groupBy("key").agg(F.sum("n").alias("n"))
+        return staged(spark, summed.where(is_total | (F.col("n") >= least)), f"collocation-{label}")
+
+    found = counted(_count_words, "words")
+    totals, words = found.where(is_total), found.where(~is_total)
+    nodes = words
+    if longest > 1:
+        word_table = bit_table(words)
+        runs = _runs(word_table)
+
+        def count_pairs(held: Counter, lang: str, text: str) -> None:
+            join = b"\t".join
+            for run in runs(lang, text):
+                held.update(map(join, zip(run, run[1:])))
+
+        pairs = counted(count_pairs, "pairs")
+        nodes = nodes.unionByName(pairs)
+    if longest > 2:
+        nodes = nodes.unionByName(_longer(spark, rows, pairs, word_table, least, longest, budget))
     text = F.decode("key", "UTF-8")
     parts = F.split(text, "\t")
     return (
