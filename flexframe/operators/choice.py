@@ -1,14 +1,17 @@
 """Choice columns: finding them in drifting JSON, merging frames, resolving.
 
-Ingest: lines are parsed with ``try_parse_json`` into a ``VARIANT`` (a line
-that does not parse is an error record). The type of every record is
+Ingest: texts are parsed once into a ``VARIANT`` and staged; records, error
+records and the inferred type all come from the staged table. A text that is
+not just one JSON value is cut into its values (``sources.jsontext``), and what
+is no value is an error record. The type of every record is
 ``schema_of_variant``; the distinct type strings are grouped by Spark, folded
 per partition in Python (``mapInPandas``) with the merge rule in
-``schema.merge_types``, and the per-partition results (one per partition) are
-folded on the driver. Arrays that hold mixed values are described by a second
-pass over their exploded elements. The merged type then drives one
-``select`` that turns the variant into typed columns; a field seen with
-several types becomes a choice struct with one field per type.
+``schema.merge_types``, and the per-partition results (one per partition, of
+bounded size by ``schema.bounded``) are folded on the driver. Arrays that hold
+mixed values are described by a second pass over their exploded elements. The
+merged type then drives one ``select`` that turns the variant into typed
+columns; a field seen with several types becomes a choice struct with one field
+per type.
 """
 
 from __future__ import annotations
@@ -40,41 +43,49 @@ from ..paths import quote, resolve, split_path, top
 from ..schema import (
     ChoiceType,
     MixedType,
+    MOST_FIELDS,
     WHOLE_DECIMAL,
+    bounded,
     choice_paths,
-    dumps,
+    distinct_names,
     loads,
     merge_types,
     parse_type,
     to_spark,
     type_name,
+    with_distinct_names,
 )
 
 # ---------------------------------------------------------------------------
 # inference
 
 
-def _fold_partition(iterator):
+def _folding(most: int):
     """mapInPandas body: fold the distinct type strings of one partition."""
-    import pandas as pd
 
-    from flexframe.schema import dumps as _dumps
-    from flexframe.schema import merge_types as _merge
-    from flexframe.schema import read_variant_type
+    def fold(iterator):
+        import pandas as pd
 
-    merged = None
-    first = None
-    for pdf in iterator:
-        for s, pos in sorted(zip(pdf["s"], pdf["first"]), key=lambda x: x[1]):
-            if s is None:
-                continue
-            merged = _merge(merged, read_variant_type(s))
-            first = pos if first is None else min(first, pos)
-    if merged is not None:
-        yield pd.DataFrame({"t": [_dumps(merged)], "first": [first]})
-
-
-def infer_variant_type(v: Column, df: DataFrame):
+        from flexframe.schema import bounded as _bounded
+        from flexframe.schema import dumps as _dumps
+        from flexframe.schema import merge_types as _merge
+        from flexframe.schema import read_variant_type
+
+        merged = None
+        first = None
+        for pdf in iterator:
+            for s, pos in sorted(zip(pdf["s"], pdf["first"]), key=lambda x: x[1]):
+                if s is None:
+                    continue
+                merged = _bounded(_merge(merged, read_variant_type(s)), most)
+                first = pos if first is None else min(first, pos)
+        if merged is not None:
+            yield pd.DataFrame({"t": [_dumps(merged)], "first": [first]})
+
+    return fold
+
+
+def infer_variant_type(v: Column, df: DataFrame, most: int = MOST_FIELDS):
     """Merged type of a variant column over the whole DataFrame."""
     from ..session import ship_package
 
@@ -85,10 +96,10 @@ def infer_variant_type(v: Column, df: DataFrame):
         .where(F.col("s").isNotNull())
         .groupBy("s").agg(F.min("pos").alias("first"))
     )
-    partial = shapes.mapInPandas(_fold_partition, "t string, first long").collect()
+    partial = shapes.mapInPandas(_folding(most), "t string, first long").collect()
     merged = None
     for row in sorted(partial, key=lambda r: r["first"]):
-        merged = merge_types(merged, loads(row["t"]))
+        merged = bounded(merge_types(merged, loads(row["t"])), most)
     return merged
 
 
@@ -99,29 +110,26 @@ def _json_path(parts: list[str]) -> str:
     return out
 
 
-def _resolve_mixed(t, df: DataFrame, v: Column, parts: list[str]):
-    """Replace MixedType inside arrays by the merged type of their elements."""
+def _resolve_mixed(t, df: DataFrame, v: Column, parts: list[str], most: int = MOST_FIELDS):
+    """Replace MixedType inside arrays and maps by the merged type of their elements."""
     if isinstance(t, StructType):
-        return StructType([StructField(f.name, _resolve_mixed(f.dataType, df, v, parts + [f.name]), True) for f in t.fields])
+        return StructType([StructField(f.name, _resolve_mixed(f.dataType, df, v, parts + [f.name], most), True) for f in t.fields])
     if isinstance(t, ChoiceType):
         out = ChoiceType()
         for name, alt in t.alternatives.items():
-            out.alternatives[name] = _resolve_mixed(alt, df, v, parts) if name != "array" else _resolve_array(alt, df, v, parts)
+            out.alternatives[name] = _resolve_mixed(alt, df, v, parts, most)
         return out
-    if isinstance(t, ArrayType):
-        return _resolve_array(t, df, v, parts)
+    if isinstance(t, ArrayType) and _contains_mixed(t.elementType):
+        return ArrayType(_inner_type(df, F.try_variant_get(v, _json_path(parts), "array<variant>"), most), True)
+    if isinstance(t, MapType) and _contains_mixed(t.valueType):
+        return MapType(StringType(), _inner_type(df, F.map_values(F.try_variant_get(v, _json_path(parts), "map<string,variant>")), most), True)
     return t
 
 
-def _resolve_array(t: ArrayType, df: DataFrame, v: Column, parts: list[str]):
-    if not _contains_mixed(t.elementType):
-        return t
-    arr = F.try_variant_get(v, _json_path(parts), "array<variant>") if parts else F.try_variant_get(v, "$", "array<variant>")
-    elems = df.select(F.explode(arr).alias("__e"))
-    el_type = infer_variant_type(F.col("__e"), elems)
-    if el_type is None:
-        return ArrayType(NullType(), True)
-    return ArrayType(_resolve_mixed(el_type, elems, F.col("__e"), []), True)
+def _inner_type(df: DataFrame, values: Column, most: int):
+    elems = df.select(F.explode(values).alias("__e"))
+    found = infer_variant_type(F.col("__e"), elems, most)
+    return NullType() if found is None else _resolve_mixed(found, elems, F.col("__e"), [], most)
 
 
 def _contains_mixed(t) -> bool:
@@ -129,8 +137,8 @@ def _contains_mixed(t) -> bool:
         return True
     if isinstance(t, StructType):
         return any(_contains_mixed(f.dataType) for f in t.fields)
-    if isinstance(t, ArrayType):
-        return _contains_mixed(t.elementType)
+    if isinstance(t, (ArrayType, MapType)):
+        return _contains_mixed(t.elementType if isinstance(t, ArrayType) else t.valueType)
     if isinstance(t, ChoiceType):
         return any(_contains_mixed(a) for a in t.alternatives.values())
     return False
@@ -148,6 +156,7 @@ _WORDS = {
     "date": ("DATE",),
     "timestamp": ("TIMESTAMP", "TIMESTAMP_NTZ"),
     "struct": ("OBJECT",),
+    "map": ("OBJECT",),
     "array": ("ARRAY",),
 }
 
@@ -160,45 +169,66 @@ def _is_kind(sov: Column, name: str) -> Column:
     return word & ~sov.rlike(WHOLE_DECIMAL) if name == "double" else word
 
 
-def _fill(x: Column, t) -> Column:
-    """Typed value of variant ``x`` for the merged type ``t``."""
-    sov = F.schema_of_variant(x)
+def _fill(x: Column, t, parts: tuple[str, ...] = ()) -> Column:
+    """Typed value of what variant ``x`` has at ``parts``, for the merged type ``t``.
+
+    Only a choice asks for the type of a value; elsewhere all values have the
+    one type that was found.
+    """
+    path = _json_path(list(parts))
+    node = F.variant_get(x, path, "variant") if parts else x
     if isinstance(t, ChoiceType):
-        fields = [F.when(_is_kind(sov, name), _fill(x, alt)).alias(name) for name, alt in t.alternatives.items()]
-        return F.when(x.isNotNull() & (sov != F.lit("VOID")), F.struct(*fields))
+        def chosen(b):
+            kind, value = b["kind"], b["value"]
+            fields = [F.when(_is_kind(kind, name), _fill(value, alt)).alias(name) for name, alt in t.alternatives.items()]
+            return F.when(value.isNotNull() & (kind != F.lit("VOID")), F.struct(*fields))
+
+        # an array of one, so that the node and its type are found once
+        one = F.array(F.struct(node.alias("value"), F.schema_of_variant(node).alias("kind")))
+        return F.get(F.transform(one, chosen), F.lit(0))
     if isinstance(t, StructType):
         if not t.fields:
             return F.lit(None).cast(StructType([]))
-        fields = [_fill(F.variant_get(x, _json_path([f.name]), "variant"), f.dataType).alias(f.name) for f in t.fields]
-        return F.when(_is_kind(sov, "struct"), F.struct(*fields))
+        names = distinct_names(t.names)
+        fields = [_fill(x, f.dataType, (*parts, f.name)).alias(n) for n, f in zip(names, t.fields)]
+        return F.when(node.isNotNull() & ~F.is_variant_null(node), F.struct(*fields))
     if isinstance(t, ArrayType):
-        el = t.elementType
-        arr = F.try_variant_get(x, "$", "array<variant>")
-        return F.when(_is_kind(sov, "array"), F.transform(arr, lambda e: _fill(e, el)))
+        return F.transform(F.try_variant_get(x, path, "array<variant>"), lambda e: _fill(e, t.elementType))
+    if isinstance(t, MapType):
+        return F.transform_values(F.try_variant_get(x, path, "map<string,variant>"), lambda _, e: _fill(e, t.valueType))
     if isinstance(t, NullType):
         return F.lit(None).cast(NullType())
     if isinstance(t, MixedType):
-        return F.to_json(x)
-    name = type_name(t)
-    target = to_spark(t)
-    return F.when(_is_kind(sov, name), F.try_variant_get(x, "$", target.simpleString()))
+        return F.to_json(node)
+    return F.try_variant_get(x, path, to_spark(t).simpleString())
+
+
+#: The one column of records that are maps themselves (objects with ids as names).
+ENTRIES = "entries"
 
 
-def typed_columns(v: Column, t: StructType) -> list[Column]:
-    return [_fill(F.variant_get(v, _json_path([f.name]), "variant"), f.dataType).alias(f.name) for f in t.fields]
+def typed_columns(v: Column, t) -> list[Column]:
+    if isinstance(t, MapType):
+        return [_fill(v, t).alias(ENTRIES)]
+    return [_fill(v, f.dataType, (f.name,)).alias(n) for n, f in zip(distinct_names(t.names), t.fields)]
 
 
 # Options of a drift-aware read, all of the text source; a read with a schema takes any.
 LINE_OPTIONS = {"linesep", "pathglobfilter", "recursivefilelookup", "modifiedafter", "modifiedbefore",
                 "ignoremissingfiles", "ignorecorruptfiles"}
 CORRUPT = "_corrupt_record"
+#: The file a row comes from, where the scan's own metadata is out of reach.
+FILE = "__ff_file"
 
 
-def read_json_frame(spark: SparkSession, paths, schema=None, ctx: str = "", multiline=False, load=None, **options) -> Frame:
-    """Drift-aware JSON read: one record per line, or per value of a multi-line file.
+def read_json_frame(spark: SparkSession, paths, schema=None, ctx: str = "", multiline=False, load=None, kept=None, **options) -> Frame:
+    """Drift-aware JSON read: records per line, or (``multiline``) anywhere in a file.
 
-    An array of objects is so many records; what is neither an object nor one
-    of an array, and what doesn't parse, becomes an error record.
+    A line or file may hold several values. An array of objects is so many
+    records; what is neither an object nor one of an array, and what is no
+    JSON, becomes an error record. Objects with more than ``maxFields`` names
+    at one path are maps. ``kept(type)`` may merge the type found with that of
+    earlier reads.
     """
     load = load or (lambda make: make(spark.read))
     if schema is not None:
@@ -211,14 +241,16 @@ def read_json_frame(spark: SparkSession, paths, schema=None, ctx: str = "", mult
         touch = F.hash(*map(top, maps)) >= -(1 << 31) if maps else F.lit(True)
         bad = _errors("read_json", ctx, df.where(top(CORRUPT).isNotNull() & touch), "malformed JSON record", top(CORRUPT))
         return Frame(df.where(top(CORRUPT).isNull() & touch).drop(CORRUPT), "", [ErrorStage("read_json", ctx, "", bad)])
+    most = int(options.pop("maxFields", MOST_FIELDS))
     unknown = sorted(k for k in options if k.lower() not in LINE_OPTIONS)
     if unknown:
-        raise ValueError(f"options {unknown} need a schema; a drift-aware read takes {sorted(LINE_OPTIONS)}")
+        raise ValueError(f"options {unknown} need a schema; a drift-aware read takes {sorted([*LINE_OPTIONS, 'maxFields'])}")
     if multiline:
-        raw = load(lambda r: r.options(**options).text(paths, wholetext=True))
-    else:
-        raw = load(lambda r: r.options(**options).text(paths))
-    return frame_from_json_text(raw, "value", ctx)
+        from ..sources.jsontext import values_of_files
+
+        raw = load(lambda r: values_of_files(r.options(**options).text(paths)).withColumnRenamed("file", FILE))
+        return frame_from_json_text(raw, "value", ctx, inner="inner", most=most, kept=kept)
+    return frame_from_json_text(load(lambda r: r.options(**options).text(paths)), "value", ctx, most=most, kept=kept)
 
 
 def _errors(op: str, ctx: str, df: DataFrame, message: str, record: Column) -> DataFrame:
@@ -226,22 +258,60 @@ def _errors(op: str, ctx: str, df: DataFrame, message: str, record: Column) -> D
                      F.lit(message).alias("message"), record.alias("record"))
 
 
-def frame_from_json_text(raw: DataFrame, column: str, ctx: str = "", op: str = "read_json") -> Frame:
-    """The records of a text column; blank texts hold none."""
-    v = F.col("__v")
-    parsed = raw.where(F.trim(top(column)) != "").select(top(column).alias("__raw"), F.try_parse_json(top(column)).alias("__v"))
-    malformed = _errors(op, ctx, parsed.where(v.isNull()), "malformed JSON record", F.col("__raw"))
+_BLANKS = " \t\r\n"
+
+
+def _stage(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to a fresh folder under the shared checkpoint folder, and read back."""
+    from ..session import scratch_dir
+
+    path = scratch_dir(df.sparkSession, label)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def frame_from_json_text(raw: DataFrame, column: str, ctx: str = "", op: str = "read_json", inner: str | None = None,
+                         most: int = MOST_FIELDS, kept=None) -> Frame:
+    """The records of a text column; blank texts hold none.
+
+    Every text is parsed once, into a staged table. Texts that aren't just one
+    value are cut into their values, which are parsed in turn. Texts marked by
+    ``inner`` are elements of an array already, so arrays among them are no
+    records.
+    """
+    from ..sources.jsontext import cut_texts, single
+
+    def parsed(df: DataFrame, within: Column) -> DataFrame:
+        v, text = F.col("v"), F.col("t")
+        return _stage(df.select("t", within.alias("inner"), single(text).alias("v")).select(
+            v, F.when(v.isNull(), text).alias("t"), "inner", F.substring(F.ltrim(text, F.lit(_BLANKS)), 1, 1).alias("first")), "json")
+
+    texts = raw.where(F.trim(top(column), F.lit(_BLANKS)) != "").select(top(column).alias("t"), *([inner] if inner else []))
+    whole = parsed(texts, F.col(inner) if inner else F.lit(False))
+    v = F.col("v")
+    broken = whole.where(v.isNull())
+    if not broken.isEmpty():
+        again = parsed(cut_texts(broken.select("t")).withColumnRenamed("value", "t"), F.lit(False))
+        malformed = _errors(op, ctx, again.where(v.isNull()), "malformed JSON record", F.col("t"))
+        whole = whole.where(v.isNotNull()).unionByName(again.where(v.isNotNull()))
+    else:
+        malformed = _errors(op, ctx, broken, "malformed JSON record", F.col("t"))
+    objects, lists = F.col("first") == "{", (F.col("first") == "[") & ~F.col("inner")
     # an array stands for its elements; an empty one leaves a null, so that no input is lost
-    is_array = F.schema_of_variant(v).startswith("ARRAY")
-    items = F.when(is_array, F.try_variant_get(v, "$", "array<variant>")).otherwise(F.array(v))
-    records = parsed.where(v.isNotNull()).select("__raw", F.explode_outer(items).alias("__v"))
-    is_object = F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
-    other = _errors(op, ctx, records.where(~is_object), "not a JSON object", F.coalesce(F.to_json(v), F.col("__raw")))
-    objects = records.where(is_object).select("__v")
-    t = infer_variant_type(v, objects)
-    t = StructType([]) if t is None else _resolve_mixed(t, objects, v, [])
-    df = objects.select(*typed_columns(v, t)) if t.fields else objects.select()
-    return Frame(df, "", [ErrorStage(op, ctx, "", malformed.unionAll(other))], choice_paths(t))
+    elements = whole.where(lists).select(F.explode_outer(F.try_variant_get(v, "$", "array<variant>")).alias("e"), v)
+    is_object = F.coalesce(F.schema_of_variant("e").startswith("OBJECT"), F.lit(False))
+    other = whole.where(~objects & ~lists).select(F.to_json(v).alias("r")).unionAll(
+        elements.where(~is_object).select(F.to_json(F.coalesce("e", "v")).alias("r")))
+    other = _errors(op, ctx, other, "not a JSON object", F.col("r"))
+    records = whole.where(objects).select(v).unionAll(elements.where(is_object).select(F.col("e").alias("v")))
+    t = infer_variant_type(v, records, most)
+    t = None if t is None else bounded(_resolve_mixed(t, records, v, [], most), most)
+    if kept is not None:
+        t = kept(t)
+    t = StructType([]) if t is None else t
+    df = records.select(*typed_columns(v, t)) if isinstance(t, MapType) or t.fields else records.select()
+    named = with_distinct_names(t)
+    return Frame(df, "", [ErrorStage(op, ctx, "", malformed.unionAll(other))], choice_paths(named))
 
 
 # ---------------------------------------------------------------------------

@@ -27,7 +27,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, ByteType, DataType, DoubleType, FloatType, IntegerType, LongType, ShortType, StringType, StructType
+from pyspark.sql.types import ArrayType, ByteType, DataType, DoubleType, FloatType, IntegerType, LongType, MapType, NullType, ShortType, StringType, StructType
 
 from ..errors import ErrorStage, error_rows
 from ..frame import Frame
@@ -200,24 +200,60 @@ def apply_mapping(frame: Frame, mappings, case_sensitive=False, ctx="", info="",
     return frame._next(good, ErrorStage("apply_mapping", ctx, info, bad, stage, total), new_choices)
 
 
+def aligned(value: Column, source: DataType, target: DataType) -> tuple[Column, Column | None]:
+    """A value under another type, fields by name; and whether some of it is lost (None: it can't be)."""
+    if source == target:
+        return value, None
+    if isinstance(target, StructType) and isinstance(source, StructType):
+        fields, lost = _aligned_fields(value.getField, source, target)
+        return F.when(value.isNotNull(), F.struct(*fields)), lost
+    if isinstance(target, ArrayType) and isinstance(source, ArrayType):
+        probe = aligned(F.lit(None), source.elementType, target.elementType)[1]
+        inner = lambda e: aligned(e, source.elementType, target.elementType)
+        return F.transform(value, lambda e: inner(e)[0]), None if probe is None else F.exists(value, lambda e: F.coalesce(inner(e)[1], F.lit(False)))
+    if isinstance(target, MapType) and isinstance(source, MapType) and source.keyType == target.keyType:
+        probe = aligned(F.lit(None), source.valueType, target.valueType)[1]
+        inner = lambda e: aligned(e, source.valueType, target.valueType)
+        return F.transform_values(value, lambda _, e: inner(e)[0]), None if probe is None else F.exists(
+            F.map_values(value), lambda e: F.coalesce(inner(e)[1], F.lit(False)))
+    if any(isinstance(t, (StructType, ArrayType, MapType)) for t in (source, target)):
+        # unlike kinds have no cast
+        return F.lit(None).cast(target), None if isinstance(source, NullType) else value.isNotNull()
+    cast = safe_cast(value, target, source)
+    return cast, None if _lossless(source, target) or isinstance(source, NullType) else value.isNotNull() & cast.isNull()
+
+
+def _aligned_fields(field, source: StructType, target: StructType) -> tuple[list[Column], Column | None]:
+    """Columns of ``target`` out of fields of ``source`` (names without regard to case), and whether a value is lost."""
+    have = {f.name.lower(): f for f in source.fields}
+    columns, lost = [], []
+    for f in target.fields:
+        own = have.get(f.name.lower())
+        value, gone = (F.lit(None).cast(f.dataType), None) if own is None else aligned(field(own.name), own.dataType, f.dataType)
+        columns.append(value.alias(f.name))
+        lost.append(gone)
+    lost = [F.coalesce(x, F.lit(False)) for x in lost if x is not None]
+    return columns, reduce(lambda a, b: a | b, lost) if lost else None
+
+
 def conform_to_schema(frame: Frame, schema) -> Frame:
-    """Align columns to a given schema (missing ones null) without a pass."""
+    """Align a frame to a given schema without a pass over it.
+
+    The schema selects columns, as ``select_fields`` does; columns that the
+    frame lacks are null. A row of which a value doesn't fit its type is an
+    error record.
+    """
     if isinstance(schema, str):
         try:
             schema = StructType.fromJson(__import__("json").loads(schema))
         except ValueError:
             schema = parse_type(schema)
-    have = {f.name.lower(): f for f in frame.df.schema.fields}
-    cols = []
-    for f in schema.fields:
-        src = have.get(f.name.lower())
-        if src is None:
-            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
-        elif src.dataType == f.dataType:
-            cols.append(top(src.name).alias(f.name))
-        else:
-            cols.append(safe_cast(top(src.name), f.dataType, src.dataType).alias(f.name))
-    return frame._next(frame.df.select(*cols))
+    columns, lost = _aligned_fields(top, frame.df.schema, schema)
+    if lost is None:
+        return frame._next(frame.df.select(*columns), ErrorStage("with_frame_schema", "", "", None))
+    told = frame.df.withColumn(_ERR, F.when(lost, F.lit("a value does not fit the schema")))
+    bad = error_rows(told, F.col(_ERR), "with_frame_schema", "", "", exclude=(_ERR,))
+    return frame._next(frame.df.where(~lost).select(*columns), ErrorStage("with_frame_schema", "", "", bad))
 
 
-__all__ = ["apply_mapping", "conform_to_schema", "mapping_columns", "quote"]
+__all__ = ["aligned", "apply_mapping", "conform_to_schema", "mapping_columns", "quote"]

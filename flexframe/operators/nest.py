@@ -15,22 +15,26 @@ the read-back. That write also cuts the lineage, so a lost executor only
 re-reads staged files. With ``options={"key": [...]}`` the caller's columns
 form the key (several as a JSON array of texts; it must tell rows apart) and nothing is
 staged. Maps are kept as they are, in every table. Child tables are ``posexplode`` over the
-staged rows: narrow, no shuffle.
+staged rows: narrow, no shuffle. Rows that share a key would mix their children, so a key
+that two rows share raises (one aggregate over the key; ``"unique": True`` says it was checked).
+
+Flattened names that clash (a column ``a.b`` beside a struct ``a`` with a field ``b``) get
+``_2``, ``_3``, ... as in ``schema.distinct_names``.
 """
 
 from __future__ import annotations
 
 import json
-import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, StringType, StructType
 
 from ..errors import ErrorStage, error_rows
 from ..frame import Frame, FrameSet
 from ..paths import quote, resolve, split_path, top
-from ..session import scratch_dir
+from ..schema import MOST_FIELDS, bounded, choice_paths, distinct_names, parse_type, with_distinct_names
+from ..session import scratch_dir, ship_package
 
 _ID = "__ff_id"
 
@@ -56,7 +60,7 @@ def unnest(frame: Frame, ctx="", info="", stage=0, total=0) -> Frame:
     for f in frame.df.schema.fields:
         cols.extend(_flatten(top(f.name), f.dataType, quote(f.name), key, arrays))
     df = frame.df.select(*cols)
-    df = df.toDF(*[_unquote(n) for n in _names(cols, frame.df.schema)])
+    df = df.toDF(*_flat_names(_names(cols, frame.df.schema)))
     return frame._next(df, ErrorStage("unnest", ctx, info, None, stage, total), choices={})
 
 
@@ -81,6 +85,16 @@ def _unquote(name: str) -> str:
     return ".".join(split_path(name))
 
 
+def _flat_names(names: list[str]) -> list[str]:
+    return distinct_names([_unquote(n) for n in names])
+
+
+def _check_key(base: DataFrame, key_cols: list[str]) -> None:
+    twice = base.groupBy(_ID).count().where(F.col("count") > 1).select(_ID).head()
+    if twice is not None:
+        raise ValueError(f"key {key_cols} doesn't tell rows apart: {twice[0]} is met more than once")
+
+
 def relationalize(frame: Frame, root_table_name: str, staging_path=None, options=None, ctx="", info="", stage=0, total=0) -> FrameSet:
     options = options or {}
     spark = frame.spark
@@ -90,6 +104,8 @@ def relationalize(frame: Frame, root_table_name: str, staging_path=None, options
         # one column: its text; several: their texts as JSON, nulls kept, so that different keys never meet
         values = [top(c).cast("string") for c in key_cols]
         base = frame.df.withColumn(_ID, values[0] if len(values) == 1 else F.to_json(F.array(*values)))
+        if not options.get("unique"):
+            _check_key(base, key_cols)
     else:
         path = staging_path or scratch_dir(spark, "relationalize")
         target = f"{path.rstrip('/')}/{root_table_name}-{__import__('uuid').uuid4().hex}"
@@ -103,7 +119,7 @@ def relationalize(frame: Frame, root_table_name: str, staging_path=None, options
     for f in frame.df.schema.fields:
         cols.extend(_flatten(top(f.name), f.dataType, quote(f.name), key, arrays))
     root = base.select(*cols)
-    root = root.toDF(*[_unquote(n) for n in _names(cols, frame.df.schema)])
+    root = root.toDF(*_flat_names(_names(cols, frame.df.schema)))
     tables[root_table_name] = Frame(root, root_table_name, frame.errors)
 
     def emit(source: DataFrame, parent_key: Column, name: str, arr: Column, dtype: ArrayType):
@@ -113,7 +129,7 @@ def relationalize(frame: Frame, root_table_name: str, staging_path=None, options
         el = dtype.elementType
         val_name = f"{name}.val"
         flat = _flatten(F.col("__ff_val"), el, val_name, child_key, sub_arrays)
-        names = ["id", "index"] + [_unquote(n) for n in _leaf_names(el, val_name)]
+        names = ["id", "index"] + _flat_names(_leaf_names(el, val_name))
         child = exploded.select(F.col("id"), F.col("index"), *flat).toDF(*names)
         table = f"{root_table_name}_{_unquote(name)}"
         tables[table] = Frame(child, table)
@@ -147,7 +163,7 @@ def _every(expr: Column, dtype, rest: list[str]) -> Column:
 
 def _unbox_in_arrays(frame: Frame, path: str, parts: list[str], fmt: str, options: dict, stage: ErrorStage) -> Frame:
     """``unbox`` of JSON texts below arrays: all of them have one type; a row with a bad one is an error record."""
-    from ..schema import choice_paths, parse_type
+    from ..sources.jsontext import single
     from .choice import _anywhere, _fill, _resolve_mixed, _rewrite, infer_variant_type
 
     if fmt != "json":
@@ -159,12 +175,12 @@ def _unbox_in_arrays(frame: Frame, path: str, parts: list[str], fmt: str, option
         value = lambda e: F.from_json(e, schema)
     else:
         texts = frame.df.select(F.explode(_every(top(parts[0]), frame.df.schema[parts[0]].dataType, parts[1:])).alias("__t"))
-        parsed = texts.select(F.try_parse_json("__t").alias("__v")).where(F.col("__v").isNotNull())
+        parsed = texts.select(single(F.col("__t")).alias("__v")).where(F.col("__v").isNotNull())
         t = infer_variant_type(F.col("__v"), parsed)
-        t = StringType() if t is None else _resolve_mixed(t, parsed, F.col("__v"), [])
-        value = lambda e: _fill(F.try_parse_json(e), t)
-        found = {(f"{path}.{p}" if p else path): n for p, n in choice_paths(t).items()}
-    bad = _anywhere(frame.df, parts, lambda e, _: e.isNotNull() & F.try_parse_json(e).isNull())
+        t = StringType() if t is None else bounded(_resolve_mixed(t, parsed, F.col("__v"), []))
+        value = lambda e: _fill(single(e), t)
+        found = {(f"{path}.{p}" if p else path): n for p, n in choice_paths(with_distinct_names(t)).items()}
+    bad = _anywhere(frame.df, parts, lambda e, _: e.isNotNull() & single(e).isNull())
     tagged = frame.df.withColumn("__ff_err", F.when(bad, F.lit(f"cannot unbox {path} as json")))
     errors = error_rows(tagged, F.col("__ff_err"), stage.op, stage.ctx, stage.info, exclude=("__ff_err",))
     good = _rewrite(tagged.where(F.col("__ff_err").isNull()).drop("__ff_err"), parts, lambda e, _: value(e))
@@ -172,34 +188,87 @@ def _unbox_in_arrays(frame: Frame, path: str, parts: list[str], fmt: str, option
     return frame._next(good, done, {**frame.choices, **found})
 
 
-def _named_by_header(df, text: Column, lines: Column, sep: str, csv_opts: dict):
-    """``df`` with ``__ff_v`` (names, values, bad), and the struct of all headers' columns; None without a header.
+#: Names, values and the fault of a boxed csv text.
+_CSV_PARTS = "names array<string>, values array<string>, fault string"
+
+
+def _csv_parts(sep: str, escape: str | None, header: bool):
+    """A function of a text column: the fields of its header record, if it has one, and those of its one data record.
 
-    Each row's values go by the row's own header line. The driver gets the
-    distinct names and widths, not the headers.
+    Fields and records end as RFC 4180 has it: quoted fields may hold
+    separators, line ends and doubled quotes. An empty field without quotes is
+    null.
     """
-    header = F.transform(F.split(F.get(lines, F.lit(0)), re.escape(sep)), lambda n: F.regexp_replace(n, r"^\s+|\s+$", ""))
-    each = df.where(text.isNotNull()).select(F.size(header).alias("__w"), F.posexplode(header).alias("__i", "__n"))
-    found = each.groupBy("__n").agg(F.min("__i").alias("i"), F.collect_set("__w").alias("w")).orderBy("i", "__n").collect()
-    if not found:
-        return None
 
-    def parsed(width):
-        fields = ", ".join(f"_c{i} string" for i in range(width))
-        return F.get(F.transform(F.array(F.from_csv(text, f"{fields}, _corrupt_record string", csv_opts)), lambda p: F.struct(
-            header.alias("names"), F.array(*[p[f"_c{i}"] for i in range(width)]).alias("values"), p["_corrupt_record"].alias("bad"))), F.lit(0))
+    def read(texts):
+        import csv
+        import io
+        import sys
 
-    widths = sorted({w for r in found for w in r["w"]})
-    v = F.coalesce(*[F.when(F.size(header) == w, parsed(w)) for w in widths])
-    at = F.col("__ff_v")
-    value = F.struct(*[F.get(at["values"], (F.array_position(at["names"], r["__n"]) - 1).cast("int")).alias(r["__n"]) for r in found])
-    return df.withColumn("__ff_v", v), value
+        import pandas as pd
+
+        csv.field_size_limit(sys.maxsize)
+        shape = {"delimiter": sep, "escapechar": escape or None, "strict": True, "quoting": csv.QUOTE_NOTNULL}
+        out = []
+        for text in texts:
+            names = values = fault = None
+            if text is not None:
+                try:
+                    records = [r for r in csv.reader(io.StringIO(text, newline=""), **shape) if r]
+                    want = 2 if header else 1
+                    if len(records) != want:
+                        fault = f"{len(records)} records instead of {want}"
+                    else:
+                        names, values = (["" if n is None else n.strip() for n in records[0]], records[1]) if header else (None, records[0])
+                except csv.Error as e:
+                    fault = str(e)
+            out.append((names, values, fault))
+        return pd.DataFrame(out, columns=["names", "values", "fault"], dtype=object)
+
+    return F.pandas_udf(read, _CSV_PARTS)
+
+
+def _unbox_csv(frame: Frame, node: Column, schema: StructType | None, options: dict) -> tuple[DataFrame, Column, Column]:
+    """(rows with ``__ff_v``, value, failed) of csv texts with one data record each."""
+    from .choice import _stage
+    from .mapping import aligned
+
+    ship_package(frame.spark)
+    header = bool(options.get("skipFirst") or options.get("withHeader"))
+    source = frame.df.withColumn("__ff_v", _csv_parts(options.get("separator", ","), options.get("escaper"), header)(node))
+    if "void" not in frame.df.schema.simpleString():  # parquet has no column of nulls alone
+        source = _stage(source, "unbox")
+    v = F.col("__ff_v")
+    names, values = v["names"], v["values"]
+    fault = node.isNotNull() & v["fault"].isNotNull()
+    good = source.where(node.isNotNull() & v["fault"].isNull())
+    if schema is not None:
+        fields = [(F.get(values, F.lit(i)), f) for i, f in enumerate(schema.fields)]
+        typed = [(*aligned(x, StringType(), f.dataType), f.name) for x, f in fields]
+        lost = F.size(values) != len(fields)
+        for _, gone, _ in typed:
+            lost = lost | (F.lit(False) if gone is None else F.coalesce(gone, F.lit(False)))
+        return source, F.struct(*[x.alias(n) for x, _, n in typed]), fault | F.coalesce(lost, F.lit(False))
+    if options.get("withHeader"):
+        # each row's values go by the row's own header; a name twice in one header names nothing
+        fault = fault | F.coalesce((F.size(F.array_distinct(names)) < F.size(names)) | (F.size(names) != F.size(values)), F.lit(False))
+        each = source.where(~fault & node.isNotNull()).select(F.posexplode(names).alias("i", "n"))
+        found = each.groupBy("n").agg(F.min("i").alias("i")).orderBy("i", "n").limit(MOST_FIELDS + 1).collect()
+        if len(found) > MOST_FIELDS:  # texts without a real header: a map, so that names don't pile up in the schema
+            return source, F.map_from_arrays(names, values), fault
+        at = [F.get(values, (F.array_position(names, r["n"]) - 1).cast("int")).alias(own)
+              for r, own in zip(found, distinct_names([r["n"] for r in found]))]
+    else:
+        n = good.agg(F.max(F.size(values)).alias("n")).first()["n"] or 0
+        fault = fault | F.coalesce(F.size(values) != n, F.lit(False))
+        at = [F.get(values, F.lit(i)).alias(f"_c{i}") for i in range(n)]
+    return source, F.struct(*at) if at else F.lit(None).cast("string"), fault
 
 
 def unbox(frame: Frame, path: str, format: str, options: dict, ctx="", info="", stage=0, total=0) -> Frame:
-    """Parse a string field in place (json or csv); unparsable values become error records."""
-    from .choice import _fill, _rewrite, infer_variant_type, _resolve_mixed
-    from ..schema import choice_paths, parse_type
+    """Parse a string field in place (json or csv); texts that aren't just one value or record become error records."""
+    from ..sources.jsontext import single
+    from .choice import _fill, _resolve_mixed, _rewrite, _stage, infer_variant_type
 
     r = resolve(frame.df.schema, split_path(path))
     if r is None:
@@ -214,55 +283,24 @@ def unbox(frame: Frame, path: str, format: str, options: dict, ctx="", info="",
     if with_schema:
         schema = StructType.fromJson(json.loads(with_schema)) if isinstance(with_schema, str) and with_schema.strip().startswith("{") else parse_type(with_schema)
 
-    source = frame.df
+    new_choices = {}
+    v = F.col("__ff_v")
     if fmt == "json":
-        # parse once into a column: inside CASE branches Spark would not share
-        # repeated parse expressions, and every _fill step reads the variant
-        source = frame.df.withColumn("__ff_v", F.try_parse_json(node))
-        v = F.col("__ff_v")
-        failed = node.isNotNull() & v.isNull()
+        source = frame.df.withColumn("__ff_v", single(node))
         if schema is not None:
             value = F.from_json(node, schema)
-            new_choices = {}
         else:
+            if "void" not in frame.df.schema.simpleString():  # parquet has no column of nulls alone
+                source = _stage(source, "unbox")  # parsed once for the type, the values and the errors
             parsed = source.where(v.isNotNull())
             t = infer_variant_type(v, parsed)
-            if t is None:
-                t = StringType()
-            t = _resolve_mixed(t, parsed, v, [])
+            t = StringType() if t is None else bounded(_resolve_mixed(t, parsed, v, []))
             value = _fill(v, t)
-            new_choices = {(f"{path}.{p}" if p else path): n for p, n in choice_paths(t).items()}
+            new_choices = {(f"{path}.{p}" if p else path): n for p, n in choice_paths(with_distinct_names(t)).items()}
+        failed = node.isNotNull() & v.isNull()
     elif fmt == "csv":
-        sep = options.get("separator", ",")
-        whole = F.rtrim(node, F.lit("\r\n"))
-        text = F.when(F.instr(whole, "\n") == 0, whole)
-        csv_opts = {"sep": sep, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
-        if options.get("escaper"):
-            csv_opts["escape"] = options["escaper"]
-        if options.get("skipFirst") or options.get("withHeader"):
-            # the header line, then one data line; more of them do not fit one record
-            lines = F.split(F.rtrim(node, F.lit("\r\n")), "\r?\n")
-            text = F.when(F.size(lines) == 2, F.get(lines, F.lit(1)))
-        named = _named_by_header(frame.df, text, lines, sep, csv_opts) if schema is None and options.get("withHeader") else None
-        if named is not None:
-            source, value = named
-            v = F.col("__ff_v")
-            # a name twice in one header names nothing
-            double = F.size(F.array_distinct(v["names"])) < F.size(v["names"])
-            failed = node.isNotNull() & (text.isNull() | v.isNull() | v["bad"].isNotNull() | double)
-            value = F.when(node.isNotNull(), value)
-        else:
-            if schema is None:
-                names = []
-                if not options.get("withHeader"):
-                    n = frame.df.select(F.max(F.size(F.split(text, re.escape(sep)))).alias("n")).collect()[0]["n"] or 0
-                    names = [f"_c{i}" for i in range(n)]
-                schema = StructType([StructField(nm.strip(), StringType()) for nm in names])
-            wide = StructType(list(schema.fields) + [StructField("_corrupt_record", StringType())])
-            parsed = F.from_csv(text, wide.simpleString(), csv_opts)
-            failed = node.isNotNull() & (text.isNull() | parsed.getField("_corrupt_record").isNotNull())
-            value = parsed.dropFields("_corrupt_record")
-        new_choices = {}
+        source, value, failed = _unbox_csv(frame, node, schema, options)
+        value = F.when(node.isNotNull(), value)
     elif fmt == "avro":
         raise NotImplementedError("unbox avro needs the spark-avro package, which is not installed")
     else:

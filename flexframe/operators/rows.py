@@ -47,8 +47,7 @@ def comparison_predicate(df: DataFrame, comparison_dict: dict, null_as_false: bo
     for path, comps in comparison_dict.items():
         r = resolve(df.schema, split_path(path))
         if r is None:
-            preds.append(F.lit(False))
-            continue
+            raise KeyError(f"split_rows: path {path!r} not found")
         col = get_path(r[0])
         for op, value in comps.items():
             if op not in _OPS:
@@ -259,8 +258,19 @@ def _map_inferred(frame: Frame, f: Callable, ctx, info, stage, total) -> Frame:
     return Frame(found.df, frame.name, [*frame.errors, *found.errors, ErrorStage("map", ctx, info, bad, stage, total)], found.choices)
 
 
-def map_partitions(frame: Frame, f: Callable, schema=None, ctx="", info="", stage=0, total=0) -> Frame:
-    """``f(partition_index, iterator_of_records) -> iterator_of_records``."""
+#: Keys by which a partition function hands over an error record (fixed values), and what record it tells of.
+IS_ERROR, ERROR_MESSAGE, RECORD = "isError", "errorMessage", "record"
+
+
+def map_partitions(frame: Frame, f: Callable, schema=None, ctx="", info="", stage=0, total=0, deterministic=True) -> Frame:
+    """``f(partition_index, iterator_of_records) -> iterator_of_records``.
+
+    What comes back is a record of the output schema; a record that has fields
+    outside it, or values that don't fit it, is an error record. So is one with
+    a true ``isError``: its ``errorMessage`` is the message, and its ``record``
+    (or else its other fields) the record told of. An exception ends the job,
+    since the function can't go on after it.
+    """
     ship_package(frame.spark)
     out = schema if schema is not None else frame.df.schema
     if isinstance(out, str):
@@ -268,28 +278,56 @@ def map_partitions(frame: Frame, f: Callable, schema=None, ctx="", info="", stag
 
         out = _parse_datatype_string(out)
     names = out.names
-    arrow_out = _arrow_schema(out)
+    wide = StructType([StructField(x.name, x.dataType, True) for x in out.fields] + [StructField(_ERR, StringType()), StructField(_REC, StringType())])
+    arrow_out = _arrow_schema(wide)
 
-    def run(batches):
+    def told(record, message) -> dict:
+        return {**dict.fromkeys(names), _ERR: message, _REC: _dump(record)}
+
+    def checked(result) -> dict:
+        given = dict(result)
+        if IS_ERROR not in names and given.pop(IS_ERROR, False):
+            message = given.pop(ERROR_MESSAGE, None)
+            return told(given.get(RECORD, given), "" if message is None else str(message))
+        unknown = [n for n in given if n not in names]
+        if unknown:
+            return told(given, f"fields not in the output schema: {unknown}")
+        return {**{n: given.get(n) for n in names}, _ERR: None, _REC: None}
+
+    def batch(rows):
         import pyarrow as pa
-        from pyspark import TaskContext
 
-        index = TaskContext.get().partitionId()
+        try:
+            return pa.RecordBatch.from_pylist(rows, schema=arrow_out)
+        except (pa.ArrowInvalid, pa.ArrowTypeError, TypeError, ValueError, OverflowError):
+            if len(rows) == 1:
+                record = {n: rows[0][n] for n in names}
+                return batch([told(record, "result does not fit the output schema")])
+            # halves, so that a few misfits cost a few more conversions
+            return pa.Table.from_batches([batch(rows[:len(rows) // 2]), batch(rows[len(rows) // 2:])]).combine_chunks().to_batches()[0]
+
+    def run(batches):
+        from pyspark import TaskContext
 
         def records():
-            for batch in batches:
-                for rec in batch.to_pylist():
+            for b in batches:
+                for rec in b.to_pylist():
                     yield Record(rec)
 
-        buf = []
-        for res in f(index, records()):
-            d = dict(res)
-            buf.append({n: d.get(n) for n in names})
-            if len(buf) >= 4096:
-                yield pa.RecordBatch.from_pylist(buf, schema=arrow_out)
-                buf = []
-        if buf:
-            yield pa.RecordBatch.from_pylist(buf, schema=arrow_out)
-
-    df = frame.df.mapInArrow(run, out)
-    return frame._next(df, ErrorStage("map_partitions", ctx, info, None, stage, total), choices={})
+        rows = []
+        for result in f(TaskContext.get().partitionId(), records()):
+            rows.append(checked(result))
+            if len(rows) >= 4096:
+                yield batch(rows)
+                rows = []
+        if rows:
+            yield batch(rows)
+
+    done = frame.df.mapInArrow(run, wide)
+    if not deterministic:
+        done = done.checkpoint()
+    bad = done.where(F.col(_ERR).isNotNull()).select(
+        F.lit("map_partitions").alias("op"), F.lit(ctx).alias("transformation_ctx"), F.lit(info).alias("info"),
+        F.col(_ERR).alias("message"), F.col(_REC).alias("record"))
+    good = done.where(F.col(_ERR).isNull()).drop(_ERR, _REC)
+    return frame._next(good, ErrorStage("map_partitions", ctx, info, bad, stage, total), choices={})

@@ -64,7 +64,7 @@ class Selection:
     def only(self, df: DataFrame) -> DataFrame:
         """The rows of ``df`` that come from the chosen files; ``df`` must be a file scan."""
         chosen = self.files.select(F.col("file_path").alias("__ff_path"))
-        tagged = df.withColumn("__ff_file", F.col("_metadata.file_path"))
+        tagged = df if "__ff_file" in df.columns else df.withColumn("__ff_file", F.col("_metadata.file_path"))
         return tagged.join(chosen, F.col("__ff_file") == F.col("__ff_path"), "left_semi").drop("__ff_file")
 
     def load(self, spark: SparkSession, make):
