@@ -50,7 +50,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import Memo, lookup, staged
+from .common import lookup, staged
 
 LEAST, LONGEST, TOP = 100, 5, 2000
 #: Suffixes of a group; groups grow beyond it only where there would be more than MOST_GROUPS.
@@ -59,13 +59,17 @@ BUDGET, MOST_GROUPS = 1 << 20, 1 << 16
 LARGE = 4
 #: Bits of the table of frequent words (8 MB).
 BITS = 1 << 26
-#: Entries that a task counts before it hands them over.
-HELD = 600_000
+#: Entries that a task counts before it hands them over; words it remembers, and the longest of them that are in no table.
+HELD, REMEMBERED, LONG = 2_000_000, 300_000, 64
+#: Words that a task turns into numbers at once.
+CHUNK = 200_000
 
 _DELIMITERS, _BLANKS = b".,;:!?\n\x0b\x0c\r", b" \t"
+#: What stands between pieces once a text is cut; no word holds it.
+BREAK = b"."
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
-#: One byte to one byte: pieces end at a line feed, words at a blank.
-PIECES = bytes(10 if c in _DELIMITERS else 32 if c in _BLANKS else _LOWER[c] for c in range(256))
+#: One byte to one byte: pieces end at a full stop, words at a blank.
+PIECES = bytes(BREAK[0] if c in _DELIMITERS else 32 if c in _BLANKS else _LOWER[c] for c in range(256))
 WORDS = bytes(32 if c in _DELIMITERS or c in _BLANKS else _LOWER[c] for c in range(256))
 #: Bytes that would sort at or below the tab between words, and the mark that stands before their substitutes.
 MARK = 0x0E
@@ -94,11 +98,8 @@ def decoded(phrase: Column) -> Column:
     return phrase
 
 
-def _counts(rows: DataFrame, add: Callable[[Counter, str, str], None], extra: Callable[[bytes], int] | None = None) -> DataFrame:
-    """(key, n) of what ``add`` counts per (lang, text), combined within tasks but not across them.
-
-    ``add`` counts words or their joined runs; the key has the language before them.
-    """
+def _counted_words(rows: DataFrame) -> DataFrame:
+    """(key, n) of words, and of all words under the language's bare prefix, combined within tasks but not across them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, Counter] = {}
@@ -107,107 +108,207 @@ def _counts(rows: DataFrame, add: Callable[[Counter, str, str], None], extra: Ca
         def told() -> Iterator[pa.RecordBatch]:
             for lang, own in held.items():
                 before = prefix(lang)
-                keys = [before + k for k in own]
-                columns = [pa.array(keys, pa.binary()), pa.array(list(own.values()), pa.int64())]
-                if extra is not None:
-                    columns.append(pa.array([extra(k) for k in keys], pa.int32()))
-                yield pa.RecordBatch.from_arrays(columns, names=["key", "n", "g"][:len(columns)])
+                yield pa.RecordBatch.from_arrays([pa.array([before + k for k in own], pa.binary()), pa.array(list(own.values()), pa.int64())],
+                                                 names=["key", "n"])
             held.clear()
 
         for b in batches:
             for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                words = encoded(text).translate(WORDS).split()
+                if not words:
+                    continue
                 own = held.get(lang)
                 if own is None:
                     own = held[lang] = Counter()
                 size -= len(own)
-                add(own, lang, text)
+                own[b""] += len(words)
+                own.update(words)
                 size += len(own)
-                if size > HELD:
+                if size > HELD // 4:
                     yield from told()
                     size = 0
         yield from told()
 
-    return rows.mapInArrow(run, "key binary, n long" + (", g int" if extra is not None else ""))
+    return rows.mapInArrow(run, "key binary, n long")
 
 
-def _count_words(held: Counter, lang: str, text: str) -> None:
-    words = encoded(text).translate(WORDS).split()
-    if words:
-        held[b""] += len(words)  # the language's own total
-        held.update(words)
+def _in_table(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    at = hashes & np.uint64(BITS - 1)
+    return (table[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1
 
 
-def _is_frequent(table: np.ndarray, key: bytes) -> bool:
-    at = xxhash.xxh64_intdigest(key, 42) % BITS
-    return bool((int(table[at >> 6]) >> (at & 63)) & 1)
+def _pair_hash(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """A hash of two word hashes, in which their order counts."""
+    x = first * np.uint64(0x9E3779B97F4A7C15) ^ second
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return x ^ (x >> np.uint64(29))
 
 
-def bit_table(words: DataFrame) -> np.ndarray:
-    """BITS bits, those of the keys of ``words`` set; Spark merges them, so the size is that of the table at most."""
-    at = words.select(F.xxhash64("key").bitwiseAND(F.lit(BITS - 1)).alias("at"))
-    cells = at.selectExpr("cast(shiftright(at, 6) AS int) AS cell", "shiftleft(1L, cast(at & 63 AS int)) AS bit")
-    merged = cells.groupBy("cell").agg(F.bit_or("bit").alias("bits")).toArrow()
+def bit_table(keys: DataFrame, words: int) -> np.ndarray:
+    """BITS bits, those of the keys (of one or two ``words``) set; Spark merges them, so the size is that of the table at most."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            hashes = []
+            for key in b.column(0).to_pylist():
+                lang, *own = key.split(b"\t")
+                hashes.append([xxhash.xxh64_intdigest(lang + b"\t" + w, 42) for w in own])
+            h = np.array(hashes, np.uint64).reshape(-1, words)
+            h = h[:, 0] if words == 1 else _pair_hash(h[:, 0], h[:, 1])
+            at = h & np.uint64(BITS - 1)
+            bit = np.uint64(1) << (at & np.uint64(63))
+            yield pa.RecordBatch.from_arrays([pa.array((at >> np.uint64(6)).astype(np.int32)), pa.array(bit.view(np.int64))], names=["cell", "bit"])
+
+    merged = keys.select("key").mapInArrow(run, "cell int, bit long").groupBy("cell").agg(F.bit_or("bit").alias("bits")).toArrow()
     table = np.zeros(BITS >> 6, np.uint64)
     table[merged["cell"].to_numpy()] = merged["bits"].to_numpy().view(np.uint64)
     return table
 
 
-def _memos(table: np.ndarray) -> Callable[[str], Memo]:
-    """By language, whether words (or joined words) are in a bit table, remembered in bounded tables."""
-    memos: dict[str, Memo] = {}
-
-    def of(lang: str) -> Memo:
-        memo = memos.get(lang)
-        if memo is None:
-            if len(memos) >= 16:
-                memos.clear()
-            before = prefix(lang)
-            memo = memos[lang] = Memo(lambda w: _is_frequent(table, before + w), 200_000, 64)
-        return memo
-
-    return of
-
-
-def _runs(table: np.ndarray) -> Callable[[str, str], Iterator[list[bytes]]]:
-    """Runs of two or more neighbouring frequent words of a piece."""
-    memos = _memos(table)
-
-    def of(lang: str, text: str) -> Iterator[list[bytes]]:
-        memo = memos(lang)
-        for piece in encoded(text).translate(PIECES).split(b"\n"):
-            run: list[bytes] = []
-            for w in piece.split():
-                if memo[w]:
-                    run.append(w)
-                else:
-                    if len(run) > 1:
-                        yield run
-                    run = []
-            if len(run) > 1:
-                yield run
-
-    return of
-
-
-def _linked_runs(words: np.ndarray, pairs: np.ndarray) -> Callable[[str, str], Iterator[list[bytes]]]:
-    """Runs of three or more words in which each neighbouring pair is frequent."""
-    runs, memos = _runs(words), _memos(pairs)
-
-    def of(lang: str, text: str) -> Iterator[list[bytes]]:
-        memo = memos(lang)
-        for run in runs(lang, text):
-            if len(run) < 3:
-                continue
-            start = 0
-            for i in range(1, len(run)):
-                if not memo[run[i - 1] + b"\t" + run[i]]:
-                    if i - start > 2:
-                        yield run[start:i]
-                    start = i
-            if len(run) - start > 2:
-                yield run[start:]
-
-    return of
+class _Words(dict):
+    """Numbers of a language's words within a task: 0 for what is in no table, and for breaks between pieces."""
+
+    def __init__(self, lang: str, table: np.ndarray):
+        super().__init__()
+        self.before, self.table = prefix(lang), table
+        self.clear()
+
+    def clear(self) -> None:
+        super().clear()
+        self.words, self.hashes = [b""], [0]
+        self[BREAK] = 0
+
+    def __missing__(self, word: bytes) -> int:
+        h = xxhash.xxh64_intdigest(self.before + word, 42)
+        at = h % BITS
+        if (int(self.table[at >> 6]) >> (at & 63)) & 1:
+            number = self[word] = len(self.words)
+            self.words.append(word)
+            self.hashes.append(h)
+            return number
+        if len(word) <= LONG:
+            self[word] = 0
+        return 0
+
+    def forget(self) -> None:
+        """Drops what is in no table, if much is remembered."""
+        if len(self) > REMEMBERED + len(self.words):
+            kept = {w: i for i, w in enumerate(self.words) if i}
+            super().clear()
+            self.update(kept)
+            self[BREAK] = 0
+
+
+class _Tally:
+    """Counts of fixed-length keys (rows of numbers), combined as they pile up."""
+
+    def __init__(self):
+        self.keys: list[np.ndarray] = []
+        self.counts: list[np.ndarray] = []
+        self.waiting = self.size = 0
+
+    def add(self, keys: np.ndarray) -> None:
+        if len(keys):
+            self.keys.append(keys)
+            self.counts.append(np.ones(len(keys), np.int64))
+            self.waiting += len(keys)
+            if self.waiting > max(HELD, self.size):
+                self.combine()
+
+    def combine(self) -> None:
+        if self.keys:
+            keys, counts = np.concatenate(self.keys), np.concatenate(self.counts)
+            order = np.lexsort(keys.T[::-1]) if keys.ndim > 1 else np.argsort(keys, kind="stable")
+            keys, counts = keys[order], counts[order]
+            new = np.ones(len(keys), bool)
+            new[1:] = (keys[1:] != keys[:-1]).any(axis=1) if keys.ndim > 1 else keys[1:] != keys[:-1]
+            starts = np.flatnonzero(new)
+            self.keys, self.counts = [keys[starts]], [np.add.reduceat(counts, starts)]
+            self.size, self.waiting = len(starts), 0
+
+
+def _counted_runs(rows: DataFrame, table: np.ndarray, keys_of: Callable[[np.ndarray, np.ndarray], np.ndarray],
+                  extra: Callable[[bytes], int] | None = None) -> DataFrame:
+    """(key, n) of runs of words in ``table``, combined within tasks but not across them.
+
+    ``keys_of(numbers, hashes)`` gives the runs of a chunk of texts as rows of
+    numbers, 0 after the last word; number 0 stands between runs.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, _Words] = {}
+        tallies: dict[str, _Tally] = {}
+        waiting: dict[str, list[bytes]] = {}
+
+        def count(lang: str) -> None:
+            own = known.get(lang)
+            if own is None:
+                own = known[lang] = _Words(lang, table)
+                tallies[lang] = _Tally()
+            tokens = waiting.pop(lang)
+            numbers = np.fromiter(map(own.__getitem__, tokens), np.int64, len(tokens))
+            tallies[lang].add(keys_of(numbers, np.array(own.hashes, np.uint64)))
+            own.forget()
+
+        def told() -> Iterator[pa.RecordBatch]:
+            for lang, tally in tallies.items():
+                tally.combine()
+                if tally.size:
+                    words, before, join = known[lang].words, known[lang].before, b"\t".join
+                    runs = tally.keys[0].astype(np.int64)
+                    for at in range(0, tally.size, 100_000):
+                        keys = [before + join([words[i] for i in r if i]) for r in runs[at:at + 100_000].tolist()]
+                        columns = [pa.array(keys, pa.binary()), pa.array(tally.counts[0][at:at + 100_000])]
+                        if extra is not None:
+                            columns.append(pa.array([extra(k) for k in keys], pa.int32()))
+                        yield pa.RecordBatch.from_arrays(columns, names=["key", "n", "g"][:len(columns)])
+            tallies.clear()
+            known.clear()
+
+        for b in batches:
+            for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                own = waiting.setdefault(lang, [])
+                own += encoded(text).translate(PIECES).replace(BREAK, b" . ").split()
+                own.append(BREAK)
+                if len(own) > CHUNK:
+                    count(lang)
+            if sum(t.size + t.waiting for t in tallies.values()) > 2 * HELD or sum(len(w.words) for w in known.values()) > HELD:
+                for lang in list(waiting):
+                    count(lang)
+                yield from told()
+        for lang in list(waiting):
+            count(lang)
+        yield from told()
+
+    return rows.mapInArrow(run, "key binary, n long" + (", g int" if extra is not None else ""))
+
+
+def _pairs(numbers: np.ndarray, _: np.ndarray) -> np.ndarray:
+    """Neighbours."""
+    both = (numbers[:-1] != 0) & (numbers[1:] != 0)
+    return np.stack([numbers[:-1][both], numbers[1:][both]], axis=1).astype(np.int32)
+
+
+def _linked(table: np.ndarray, least: int, longest: int) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """From each place the run of up to ``longest`` words whose neighbours are in the table of pairs, if it has ``least`` words."""
+
+    def keys(numbers: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        padded = np.concatenate([numbers, np.zeros(longest, np.int64)])
+        h = hashes[padded]
+        linked = (padded[:-1] != 0) & (padded[1:] != 0)
+        at = np.flatnonzero(linked)
+        linked[at] = _in_table(table, _pair_hash(h[at], h[at + 1]))
+        starts = np.flatnonzero(linked[:len(numbers)])
+        for step in range(1, least - 1):
+            starts = starts[linked[starts + step]]
+        out = np.zeros((len(starts), longest), np.int32)
+        going = np.ones(len(starts), bool)
+        for i in range(longest):
+            out[going, i] = padded[starts[going] + i]
+            going &= linked[np.minimum(starts + i, len(linked) - 1)]
+        return out
+
+    return keys
 
 
 class Groups:
@@ -311,7 +412,7 @@ def _subtrees(leaves: DataFrame, split: set[bytes], least: int) -> DataFrame:
 
 def _longer(spark: SparkSession, rows: DataFrame, pairs: DataFrame, word_table: np.ndarray, least: int, longest: int, budget: int) -> DataFrame:
     """(key, n) of the phrases of three words or more, from the subtrees."""
-    linked = _linked_runs(word_table, bit_table(pairs))
+    pair_table = bit_table(pairs, 2)
     # a pair's key without its second word
     first = F.regexp_replace(F.decode("key", "UTF-8"), "\t[^\t]*$", "").cast("binary")
     starts = pairs.groupBy(first.alias("key")).agg(F.sum("n").alias("n"))
@@ -323,28 +424,30 @@ def _longer(spark: SparkSession, rows: DataFrame, pairs: DataFrame, word_table:
     wide = {p for p, n in large.items() if n > budget and p.count(b"\t") == 2}
     more = None
     if wide and longest > 3:
-
-        def count_prefixes(held: Counter, lang: str, text: str) -> None:
-            before = prefix(lang)
-            for run in linked(lang, text):
-                for i in range(len(run) - 2):
-                    if before + run[i] + b"\t" + run[i + 1] in wide:
-                        for m in range(3, min(longest, len(run) - i + 1)):
-                            held[b"\t".join(run[i:i + m])] += 1
-
-        more = staged(spark, _counts(rows, count_prefixes).groupBy("key").agg(F.sum("n").alias("n")).where(many), "collocation-prefixes")
+        # prefixes of wide pairs, from suffixes that are one word short
+        wide_table = bit_table(pairs.where(F.col("n") > budget), 2)
+        linked = _linked(pair_table, 3, longest - 1)
+
+        def below_wide(numbers: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+            keys = linked(numbers, hashes)
+            keys = keys[_in_table(wide_table, _pair_hash(hashes[keys[:, 0]], hashes[keys[:, 1]]))]
+            out = [keys]
+            for m in range(3, longest - 1):  # each prefix of three words or more for itself
+                cut = keys[keys[:, m] != 0]
+                cut[:, m:] = 0
+                out.append(cut)
+            return np.concatenate(out)
+
+        more = staged(spark, _counted_runs(rows, word_table, below_wide).groupBy("key").agg(F.sum("n").alias("n")).where(many), "collocation-prefixes")
         large.update((bytes(r.key), r.n) for r in more.collect())
     groups = Groups(large, total, budget, longest)
-
-    def count_suffixes(held: Counter, lang: str, text: str) -> None:
-        join = b"\t".join
-        for run in linked(lang, text):
-            held.update([join(run[i:i + longest]) for i in range(len(run) - 2)])
-
-    leaves = _counts(rows, count_suffixes, groups).repartitionById(groups.count, F.col("g")).select("key", "n").sortWithinPartitions("key")
+    leaves = _counted_runs(rows, word_table, _linked(pair_table, 3, longest), groups).repartitionById(
+        groups.count, F.col("g")).select("key", "n").sortWithinPartitions("key")
     nodes = _subtrees(leaves, groups.split, least)
     if more is not None:  # nodes that several groups share were counted as prefixes
-        nodes = nodes.unionByName(more.where((F.col("n") > budget) & (F.col("n") >= least)))
+        below = F.regexp_extract(F.decode("key", "UTF-8"), "^[^\t]*\t[^\t]*\t[^\t]*", 0).cast("binary")
+        within = F.broadcast(pairs.where(F.col("n") > budget).select(F.col("key").alias("wide")))  # MOST_GROUPS rows at most
+        nodes = nodes.unionByName(more.where((F.col("n") > budget) & (F.col("n") >= least)).join(within, below == F.col("wide"), "left_semi"))
     return nodes
 
 
@@ -357,23 +460,15 @@ def phrase_counts(spark: SparkSession, df: DataFrame, least: int = LEAST, longes
     rows = df.select(F.coalesce(df[lang_col].cast("string"), F.lit("und")).alias("lang"), F.coalesce(df[text_col], F.lit("")).alias("text"))
     is_total = F.endswith(F.col("key"), F.lit(b"\t"))
 
-    def counted(add, label: str) -> DataFrame:
-        summed = _counts(rows, add).groupBy("key").agg(F.sum("n").alias("n"))
-        return staged(spark, summed.where(is_total | (F.col("n") >= least)), f"collocation-{label}")
+    def summed(counts: DataFrame, label: str) -> DataFrame:
+        return staged(spark, counts.groupBy("key").agg(F.sum("n").alias("n")).where(is_total | (F.col("n") >= least)), f"collocation-{label}")
 
-    found = counted(_count_words, "words")
+    found = summed(_counted_words(rows), "words")
     totals, words = found.where(is_total), found.where(~is_total)
     nodes = words
     if longest > 1:
-        word_table = bit_table(words)
-        runs = _runs(word_table)
-
-        def count_pairs(held: Counter, lang: str, text: str) -> None:
-            join = b"\t".join
-            for run in runs(lang, text):
-                held.update(map(join, zip(run, run[1:])))
-
-        pairs = counted(count_pairs, "pairs")
+        word_table = bit_table(words, 1)
+        pairs = summed(_counted_runs(rows, word_table, _pairs), "pairs")
         nodes = nodes.unionByName(pairs)
     if longest > 2:
         nodes = nodes.unionByName(_longer(spark, rows, pairs, word_table, least, longest, budget))
