@@ -128,7 +128,8 @@ def from_options(
     if fmt == "json":
         from ..operators.choice import read_json_frame
 
-        frame = read_json_frame(spark, paths, schema=schema, ctx=transformation_ctx, load=load, **format_options)
+        kept = None if job is None else lambda t: job.kept_type(transformation_ctx, t)
+        frame = read_json_frame(spark, paths, schema=schema, ctx=transformation_ctx, load=load, kept=kept, **format_options)
         frame.name = name
         if push_down_predicate:
             frame.df = frame.df.where(push_down_predicate)
@@ -158,6 +159,15 @@ def table_in(database: str | None, name_space: str | None, table_name: str | Non
     return ".".join([*filter(None, given), table_name])
 
 
+def table_folder(spark: SparkSession, full: str) -> str | None:
+    """The folder of a catalog table whose files all lie below it; None for views and for tables with partitions elsewhere."""
+    told = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {full}").collect()}
+    # partitions of a Hive table may lie anywhere; those of a data source table lie in its folder
+    if told.get("Type") not in ("MANAGED", "EXTERNAL") or str(told.get("Provider")).lower() == "hive":
+        return None
+    return told.get("Location")
+
+
 def from_catalog(
     spark: SparkSession,
     database: str | None = None,
@@ -172,12 +182,17 @@ def from_catalog(
 
     Under a bookmark job only the table's new files are read; the table must be one of files then.
     """
-    df = spark.table(table_in(database, name_space, table_name))
+    full = table_in(database, name_space, table_name)
+    df = spark.table(full)
     job = selecting_job(transformation_ctx)
     if job:
-        files = df.select(F.col("_metadata.file_path").alias("file_path"),
-                          F.col("_metadata.file_modification_time").alias("modified_at")).distinct()
-        df = job.select(transformation_ctx, files).only(df)
+        folder = table_folder(spark, full)
+        if folder is not None:
+            chosen = job.select_paths(transformation_ctx, [folder])
+        else:  # a view, or partitions in folders of their own: the rows' own metadata
+            chosen = job.select(transformation_ctx, df.select(
+                F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_modification_time").alias("modified_at")).distinct())
+        df = chosen.only(df)
     if push_down_predicate:
         df = df.where(push_down_predicate)
     df = apply_partition_hints(df, dict(additional_options or {}))
