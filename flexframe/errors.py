@@ -28,6 +28,7 @@ class ErrorStage:
     df: DataFrame | None
     stage_threshold: int = 0
     total_threshold: int = 0
+    known: int | None = None  # the number of its error records, where the step counted them
 
 
 def record_json(df: DataFrame, exclude: tuple[str, ...] = ()) -> Column:
@@ -56,9 +57,9 @@ def unique_stages(stages: list[ErrorStage]) -> list[ErrorStage]:
 
 
 def stage_counts(stages: list[ErrorStage]) -> list[int]:
-    """Error count of every stage in one job (a union and one small aggregate)."""
-    indexed = [(i, s.df) for i, s in enumerate(stages) if s.df is not None]
-    counts = [0] * len(stages)
+    """Error count of every stage: those known already, and the others in one job (a union and one small aggregate)."""
+    indexed = [(i, s.df) for i, s in enumerate(stages) if s.df is not None and s.known is None]
+    counts = [s.known or 0 for s in stages]
     if not indexed:
         return counts
     union = None

@@ -13,7 +13,7 @@ import json
 from functools import reduce
 from typing import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
@@ -101,6 +101,24 @@ def _arrow_schema(schema: StructType):
         return to_arrow_schema(schema)
 
 
+def _run_once(tagged: DataFrame, stage: int, total: int, deterministic: bool) -> tuple[DataFrame, int | None]:
+    """The tagged output of a Python function, and how many error records it holds, if that is known.
+
+    A threshold has the errors counted before anything is written, and a
+    function that isn't deterministic must not run twice: the output is then
+    staged once, and good rows, error records and their count (observed during
+    the write) all come from that one run. Else it stays a plan.
+    """
+    if deterministic and stage <= 0 and total <= 0:
+        return tagged, None
+    from ..session import scratch_dir
+
+    told = Observation()
+    path = scratch_dir(tagged.sparkSession, "python-step")
+    tagged.observe(told, F.count(F.col(_ERR)).alias("errors")).write.mode("overwrite").parquet(path)
+    return tagged.sparkSession.read.schema(tagged.schema).parquet(path), int(told.get["errors"])
+
+
 def filter_rows(frame: Frame, f, ctx="", info="", stage=0, total=0, deterministic=True) -> Frame:
     """Keep records where ``f`` holds.
 
@@ -138,15 +156,13 @@ def filter_rows(frame: Frame, f, ctx="", info="", stage=0, total=0, deterministi
                 names=list(batch.schema.names) + [_KEEP, _ERR],
             )
 
-    staged = frame.df.mapInArrow(run, out_schema)
-    if not deterministic:
-        staged = staged.checkpoint()
+    staged, known = _run_once(frame.df.mapInArrow(run, out_schema), stage, total, deterministic)
     good = staged.where(F.col(_KEEP) & F.col(_ERR).isNull()).drop(_KEEP, _ERR)
     bad = staged.where(F.col(_ERR).isNotNull()).select(
         F.lit("filter").alias("op"), F.lit(ctx).alias("transformation_ctx"), F.lit(info).alias("info"),
         F.col(_ERR).alias("message"), F.to_json(F.struct(*[F.col("`" + c + "`") for c in in_schema.names])).alias("record"),
     )
-    return frame._next(good, ErrorStage("filter", ctx, info, bad, stage, total))
+    return frame._next(good, ErrorStage("filter", ctx, info, bad, stage, total, known))
 
 
 NO_RECORD = "function returned no record"
@@ -214,15 +230,13 @@ def map_rows(frame: Frame, f: Callable, schema=None, ctx="", info="", stage=0, t
                         fixed.append(bad)
                 yield pa.RecordBatch.from_pylist(fixed, schema=arrow_out)
 
-    staged = frame.df.mapInArrow(run, wide)
-    if not deterministic:
-        staged = staged.checkpoint()
+    staged, known = _run_once(frame.df.mapInArrow(run, wide), stage, total, deterministic)
     good = staged.where(F.col(_ERR).isNull()).drop(_ERR, _REC)
     bad = staged.where(F.col(_ERR).isNotNull()).select(
         F.lit("map").alias("op"), F.lit(ctx).alias("transformation_ctx"), F.lit(info).alias("info"),
         F.col(_ERR).alias("message"), F.col(_REC).alias("record"),
     )
-    return frame._next(good, ErrorStage("map", ctx, info, bad, stage, total), choices={})
+    return frame._next(good, ErrorStage("map", ctx, info, bad, stage, total, known), choices={})
 
 
 def _map_inferred(frame: Frame, f: Callable, ctx, info, stage, total) -> Frame:
@@ -323,11 +337,9 @@ def map_partitions(frame: Frame, f: Callable, schema=None, ctx="", info="", stag
         if rows:
             yield batch(rows)
 
-    done = frame.df.mapInArrow(run, wide)
-    if not deterministic:
-        done = done.checkpoint()
+    done, known = _run_once(frame.df.mapInArrow(run, wide), stage, total, deterministic)
     bad = done.where(F.col(_ERR).isNotNull()).select(
         F.lit("map_partitions").alias("op"), F.lit(ctx).alias("transformation_ctx"), F.lit(info).alias("info"),
         F.col(_ERR).alias("message"), F.col(_REC).alias("record"))
     good = done.where(F.col(_ERR).isNull()).drop(_ERR, _REC)
-    return frame._next(good, ErrorStage("map_partitions", ctx, info, bad, stage, total), choices={})
+    return frame._next(good, ErrorStage("map_partitions", ctx, info, bad, stage, total, known), choices={})

@@ -7,6 +7,9 @@ Spec (YAML or dict)::
       rows: 1000               # or the row count of a DataFrame passed in
       seed: 11                 # optional; random columns use seed + column position
       partitions: [col]        # optional partitionBy on write
+      beside: /path            # optional: columns for every row of a parquet table, instead of ``rows``;
+      keys: [id]               #   its key columns, which random draws follow from
+      row: id                  #   optional: what numbers the rows of Sequential columns
       columns:
       - {name: id, column_type: Sequential, start: 0, step: 1, data_type: Int}
       - {name: c, column_type: Expression, expression: "concat('x', id)"}
@@ -27,6 +30,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from ..functions.rownumbers import with_row_numbers
+
 # Spec type names and the Spark type each casts to (others: string).
 CASTS = {"Int": "int", "Float": "double"}
 
@@ -91,12 +96,15 @@ def generate_table(spark: SparkSession, table: dict, rows: int | None = None, nu
     return df.drop("__ff_row")
 
 
-def generate_beside(df: DataFrame, table: dict, keys: list[str], row: Column | str) -> DataFrame:
+def generate_beside(df: DataFrame, table: dict, keys: list[str], row: Column | str | None = None) -> DataFrame:
     """The spec's columns for every row of ``df``; expressions may use its columns.
 
     ``row`` numbers the rows of Sequential columns, and random draws follow
     from ``keys``, so the result doesn't depend on partitioning or retries.
+    Without ``row`` the rows are numbered 0, 1, ... as they come (staged once).
     """
+    if row is None:
+        df, row = with_row_numbers(df, "__ff_row"), F.col("__ff_row")
     number = F.expr(row) if isinstance(row, str) else row
     base_seed, out = int(table.get("seed", 0)), df
     for i, col in enumerate(table["columns"]):
@@ -118,7 +126,10 @@ def generate_and_write(spark: SparkSession, spec, out: str, mode: str = "overwri
     """Generate every table of the spec and write each as parquet under ``out/<name>``."""
     written = {}
     for table in load_spec(spec)["tables"]:
-        df = generate_table(spark, table)
+        if table.get("beside"):
+            df = generate_beside(spark.read.parquet(table["beside"]), table, list(table["keys"]), table.get("row"))
+        else:
+            df = generate_table(spark, table)
         w = df.write.mode(mode).format("parquet")
         keys = table.get("partitions") or []
         dates = {c["name"] for c in table["columns"] if c.get("data_type") == "Date" and c.get("unit") != "day"}

@@ -10,6 +10,9 @@ aggregation.
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -23,44 +26,58 @@ TAB_PATTERN = r'(?s)class="dtviD".*?href="([^"]*)"'
 TAB_NAME_PATTERN = r",g_1:([^:&]*)"
 TAB_STOP_NAME = "background-color"
 TAB_NAME_LIMIT = 100
-# Names of HTML entities with their characters (the ampersand goes last, see ``unescape``).
-ENTITIES = [
-    ("quot", '"'), ("apos", "'"), ("lt", "<"), ("gt", ">"), ("nbsp", "\u00a0"), ("iexcl", "¡"), ("cent", "¢"), ("pound", "£"),
-    ("yen", "¥"), ("sect", "§"), ("copy", "©"), ("laquo", "«"), ("reg", "®"), ("deg", "°"), ("plusmn", "±"), ("para", "¶"),
-    ("middot", "·"), ("raquo", "»"), ("frac14", "¼"), ("frac12", "½"), ("frac34", "¾"), ("iquest", "¿"), ("Agrave", "À"),
-    ("Aacute", "Á"), ("Acirc", "Â"), ("Atilde", "Ã"), ("Auml", "Ä"), ("Aring", "Å"), ("AElig", "Æ"), ("Ccedil", "Ç"),
-    ("Egrave", "È"), ("Eacute", "É"), ("Ecirc", "Ê"), ("Euml", "Ë"), ("Igrave", "Ì"), ("Iacute", "Í"), ("Icirc", "Î"),
-    ("Iuml", "Ï"), ("Ntilde", "Ñ"), ("Ograve", "Ò"), ("Oacute", "Ó"), ("Ocirc", "Ô"), ("Otilde", "Õ"), ("Ouml", "Ö"),
-    ("times", "×"), ("Oslash", "Ø"), ("Ugrave", "Ù"), ("Uacute", "Ú"), ("Ucirc", "Û"), ("Uuml", "Ü"), ("szlig", "ß"),
-    ("agrave", "à"), ("aacute", "á"), ("acirc", "â"), ("atilde", "ã"), ("auml", "ä"), ("aring", "å"), ("aelig", "æ"),
-    ("ccedil", "ç"), ("egrave", "è"), ("eacute", "é"), ("ecirc", "ê"), ("euml", "ë"), ("igrave", "ì"), ("iacute", "í"),
-    ("icirc", "î"), ("iuml", "ï"), ("ntilde", "ñ"), ("ograve", "ò"), ("oacute", "ó"), ("ocirc", "ô"), ("otilde", "õ"),
-    ("ouml", "ö"), ("divide", "÷"), ("oslash", "ø"), ("ugrave", "ù"), ("uacute", "ú"), ("ucirc", "û"), ("uuml", "ü"),
-    ("yuml", "ÿ"), ("OElig", "Œ"), ("oelig", "œ"), ("ndash", "–"), ("mdash", "—"), ("lsquo", "‘"), ("rsquo", "’"),
-    ("sbquo", "‚"), ("ldquo", "“"), ("rdquo", "”"), ("bdquo", "„"), ("bull", "•"), ("hellip", "…"), ("euro", "€"),
-    ("trade", "™"), ("amp", "&"),
-]
-REFERENCE = r"&(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);"
+# The form of a character reference, and the code points that HTML reads as others or as nothing.
+REFERENCE = r"&(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
+OTHER_CODES = {0x00: "\ufffd", 0x0D: "\r"} | {c: bytes([c]).decode("cp1252", "ignore") or chr(c) for c in range(0x80, 0xA0)}
+NO_CODES = [(0x01, 0x08), (0x0B, 0x0B), (0x0E, 0x1F), (0x7F, 0x7F), (0xFDD0, 0xFDEF)]
 METADATA_SCHEMA = StructType([StructField(n, StringType()) for n in ("murl", "desc", "purl", "turl")])
 
 
-def unescape(c: Column) -> Column:
-    """HTML character references undone: decimal, hexadecimal and the named ones of ``ENTITIES``; others stay.
+def _named(ref: Column) -> Column:
+    """The characters of a named reference (with its semicolon, if it has one); null if there is no such name.
 
-    The text is cut at its references once, so what a reference gives is not read again.
+    The names are one literal map of maps, by their first two letters, so that
+    a lookup passes over a few hundred entries and not all of them.
     """
-    names = F.create_map(*[F.lit(x) for pair in ENTITIES for x in pair])
+    table: dict[str, dict[str, str]] = {}
+    for name, value in html5.items():
+        table.setdefault(name[:2], {})[name] = value
+    names = F.from_json(F.lit(json.dumps(table)), "map<string,map<string,string>>")
+    return F.try_element_at(F.try_element_at(names, F.substring(ref, 1, 2)), ref)
+
+
+def _code(ref: Column) -> Column:
+    """The character of a numeric reference, by the rules for code points that are none."""
+    decimal = F.regexp_extract(ref, "^#0*([0-9]*)", 1)
+    hexadecimal = F.regexp_extract(ref, "^#[xX]0*([0-9a-fA-F]*)", 1)
+    beyond = F.lit(0x110000).cast("long")
+    code = F.when(ref.rlike("^#[xX]"), F.when(F.length(hexadecimal) > 6, beyond).otherwise(F.conv(F.concat(F.lit("0"), hexadecimal), 16, 10).cast("long"))).otherwise(
+        F.when(F.length(decimal) > 7, beyond).otherwise(F.concat(F.lit("0"), decimal).cast("long")))
+
+    def char(n: Column) -> Column:
+        other = F.create_map(*[F.lit(x) for pair in OTHER_CODES.items() for x in pair])
+        none = (n.bitwiseAND(0xFFFE) == 0xFFFE) & (n < 0x110000)
+        for low, high in NO_CODES:
+            none = none | n.between(low, high)
+        bytes_of = F.unhex(F.lpad(F.hex(F.when((n >= 0x110000) | n.between(0xD800, 0xDFFF), 0xFFFD).otherwise(n)), 8, "0"))
+        return F.coalesce(F.try_element_at(other, n.cast("int")), F.when(none, F.lit("")).otherwise(F.decode(bytes_of, "UTF-32")))
 
-    def char(code: Column) -> Column:
-        # a code point through its UTF-32 bytes; what is no character becomes the replacement mark
-        ok = (code > 0) & (code <= 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
-        return F.decode(F.unhex(F.lpad(F.hex(F.when(ok, code).otherwise(0xFFFD)), 8, "0")), "UTF-32")
+    return F.get(F.transform(F.array(code), char), F.lit(0))
+
+
+def unescape(c: Column) -> Column:
+    """HTML character references undone: numeric ones, and all named ones of HTML 5, some of which need no semicolon.
+
+    Where no name fits as a whole, the longest of those without a semicolon
+    that begins the reference counts. The text is cut at its references once,
+    so what a reference gives is not read again.
+    """
+    bare = sorted((n for n in html5 if not n.endswith(";")), key=len, reverse=True)
 
     def one(ref: Column) -> Column:
-        decimal = F.substring(ref, 2, 20).try_cast("long")
-        hexadecimal = F.conv(F.substring(ref, 3, 20), 16, 10).try_cast("long")
-        return (F.when(ref.rlike("^#[xX]"), char(hexadecimal)).when(ref.startswith("#"), char(decimal))
-                .otherwise(F.coalesce(F.try_element_at(names, ref), F.concat(F.lit("&"), ref, F.lit(";")))))
+        start = F.regexp_extract(ref, "^(" + "|".join(bare) + ")", 1)
+        partly = F.when(start != "", F.concat(_named(start), F.substring(ref, F.length(start) + 1, F.length(ref))))
+        return F.when(ref.startswith("#"), _code(ref)).otherwise(F.coalesce(_named(ref), partly, F.concat(F.lit("&"), ref)))
 
     refs = F.regexp_extract_all(c, F.lit(REFERENCE), 1)
     gaps = F.split(c, REFERENCE, -1)

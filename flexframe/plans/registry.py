@@ -974,14 +974,13 @@ def json_mixed_records(spark, sf_dir):
     return _counts(from_options(spark, "file", {"paths": [path]}, format="json"))
 
 
-@register("json_array_file", "SELECT s_suppkey AS k, s_name AS n FROM supplier")
+@register("json_array_file", "SELECT c_custkey AS k, c_name AS n FROM customer")
 def json_array_file(spark, sf_dir):
-    s = table(spark, sf_dir, "supplier").df.select(F.to_json(F.struct(F.col("s_suppkey").alias("k"), F.col("s_name").alias("n"))).alias("j"),
-                                                  F.col("s_nationkey"))
-    # one file for each nation: an array over several lines
-    files = s.groupBy("s_nationkey").agg(F.concat(F.lit("[\n"), F.array_join(F.collect_list("j"), ",\n"), F.lit("\n]")).alias("value"))
-    path = scratch_dir(spark, "json-array") + "/text"
-    files.write.partitionBy("s_nationkey").mode("overwrite").text(path)
+    c = table(spark, sf_dir, "customer").df.select(F.to_json(F.struct(F.col("c_custkey").alias("k"), F.col("c_name").alias("n"))).alias("j"),
+                                                  F.expr("c_custkey div 50").alias("bucket"))
+    # arrays over several lines, of 50 records each; a file holds many of them
+    arrays = c.groupBy("bucket").agg(F.concat(F.lit("[\n"), F.array_join(F.collect_list("j"), ",\n"), F.lit("\n]")).alias("value"))
+    path = _text_files(arrays, "value", "json-array")
     return from_options(spark, "file", {"paths": [path]}, format="json", format_options={"multiline": True}).toDF().select("k", "n")
 
 
@@ -1085,17 +1084,17 @@ def bookmark_partitioned(spark, sf_dir):
     return spark.read.parquet(out).select("event_id", "event_type", "run")
 
 
-@register("bookmark_rewritten_file", "SELECT s_suppkey AS k, 2 AS version FROM supplier")
+@register("bookmark_rewritten_file", "SELECT c_custkey AS k, 2 AS version FROM customer")
 def bookmark_rewritten_file(spark, sf_dir):
     import time
 
     from ..sources.bookmark import Job
 
-    s = table(spark, sf_dir, "supplier").df.select(F.col("s_suppkey").alias("k"))
+    s = table(spark, sf_dir, "customer").df.select(F.col("c_custkey").alias("k"))
     path = scratch_dir(spark, "rewritten") + "/d"
     job = Job(spark, scratch_dir(spark, "ledger") + "/l")
     for version in (1, 2):
-        s.withColumn("version", F.lit(version)).coalesce(1).write.mode("overwrite").parquet(path)
+        s.withColumn("version", F.lit(version)).write.mode("overwrite").parquet(path)
         job.init(*_enabled("rewritten"))
         seen = from_options(spark, "file", {"paths": [path]}, format="parquet", transformation_ctx="src").toDF()
         if version == 1:
@@ -1105,16 +1104,16 @@ def bookmark_rewritten_file(spark, sf_dir):
     return seen
 
 
-@register("catalog_write", "SELECT n_nationkey AS a, n_regionkey AS b FROM nation UNION ALL SELECT n_nationkey, n_regionkey FROM nation")
+@register("catalog_write", "SELECT c_custkey AS a, c_nationkey AS b FROM customer UNION ALL SELECT c_custkey, c_nationkey FROM customer")
 def catalog_write(spark, sf_dir):
     import uuid
 
     from ..sources.sinks import write_to_catalog
 
-    n = table(spark, sf_dir, "nation").df
+    c = table(spark, sf_dir, "customer").df
     name = f"ff_catalog_{uuid.uuid4().hex}"
-    write_to_catalog(Frame(n.select(F.col("n_nationkey").alias("a"), F.col("n_regionkey").alias("b")), "n"), table_name=name)
-    write_to_catalog(Frame(n.select(F.col("n_regionkey").alias("b"), F.col("n_nationkey").alias("a")), "n"), table_name=name)
+    write_to_catalog(Frame(c.select(F.col("c_custkey").alias("a"), F.col("c_nationkey").alias("b")), "c"), table_name=name)
+    write_to_catalog(Frame(c.select(F.col("c_nationkey").alias("b"), F.col("c_custkey").alias("a")), "c"), table_name=name)
     return spark.table(name)
 
 
@@ -1231,3 +1230,6 @@ def stream_incremental(spark, sf_dir):
         part.write.mode("append").parquet(landing)
         run_incremental(spark, landing, "parquet", events.schema, "events", keep(run), checkpoint_root=state)
     return spark.read.parquet(out)
+
+
+from . import told  # noqa: E402,F401  registers its queries

@@ -95,15 +95,24 @@ def write_to_catalog(frame: Frame, database: str | None = None, table_name: str
 def spigot(frame: Frame, path: str, options: dict) -> Frame:
     """Write a sample as JSON lines and pass the frame on unchanged.
 
-    ``prob`` samples each record with that probability (seeded, so reruns
-    agree); ``topk`` keeps the first k records. Both: sample, then limit.
+    ``prob`` picks each record with that probability; ``topk`` keeps k records;
+    both: the sample's k. Records are drawn by a hash of their content and the
+    ``seed``, so a sample doesn't depend on partitions, order or retries; equal
+    records are drawn together. ``topk`` keeps the k least hashes: k rows per
+    task, no full sort.
     """
     df = frame.df
     prob = options.get("prob")
     topk = options.get("topk")
+    if prob is None and topk is None:
+        df.write.mode("overwrite").json(path)
+        return frame
+    text = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "false"})
+    draw = F.conv(F.substring(F.md5(F.concat(F.lit(f"{int(options.get('seed', 7))}/"), text)), 1, 13), 16, 10).cast("long")
+    drawn = df.withColumn("__ff_draw", draw)
     if prob is not None:
-        df = df.sample(withReplacement=False, fraction=float(prob), seed=int(options.get("seed", 7)))
+        drawn = drawn.where(F.col("__ff_draw") < F.lit(int(float(prob) * (1 << 52))))
     if topk is not None:
-        df = df.limit(int(topk))
-    df.write.mode("overwrite").json(path)
+        drawn = drawn.withColumn("__ff_text", text).orderBy("__ff_draw", "__ff_text").limit(int(topk)).drop("__ff_text")
+    drawn.drop("__ff_draw").write.mode("overwrite").json(path)
     return frame

@@ -152,6 +152,17 @@ def test_character_references(spark):
     assert [r.u for r in got] == ["\"a'b\" &lt; é€ &unknown; 😀 & &; plain", "none", None]
 
 
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(
+    ["&", "&", "#", "x", "X", ";", "amp", "copy", "notin", "not", "lt", "frac12", "CounterClockwiseContourIntegral", "fjlig", "Eacute", "micro", "lbrace",
+     "150", "65", "0", "00", "80", "9f", "ffff", "10ffff", "110000", "d800", "1", "b", "é", " ", "<", "q=1", "\n"]), max_size=9).map("".join), min_size=1, max_size=30))
+def test_character_references_equal_pythons(spark, texts):
+    import html
+
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", unescape(F.col("t")).alias("u"))
+    assert [(r.t, r.u) for r in df.collect()] == [(t, html.unescape(t)) for t in texts]
+
+
 def test_search_url_quoting(spark):
     row = spark.createDataFrame([("a/b~c*d e  f&g",)], "t string").select(search_url("t", "q=").alias("u")).first()
     assert row.u == "q=a/b~c%2Ad%20e%20%20f%26g"
