@@ -5,19 +5,12 @@ Inputs in text form are built from the given tables; the job is what follows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..frame import Frame
 from ..session import scratch_dir
 from ..sources.readers import from_options
-from .registry import _enabled, _text_files, register, table
-
-
-def told(frame: Frame, value: str, record: str = "record") -> DataFrame:
-    """(kind, value): a text for each good row, and for each error record."""
-    good = frame.toDF().select(F.lit("good").alias("kind"), F.expr(value).cast("string").alias("value"))
-    return good.unionByName(frame.errorsAsFrame().toDF().select(F.lit("error").alias("kind"), F.expr(record).cast("string").alias("value")))
+from .registry import _enabled, _text_files, register, table, told
 
 
 def _json(spark, path: str, **options) -> Frame:

@@ -945,10 +945,10 @@ def gen_beside_sequence(spark, sf_dir):
 # nothing is lost: good rows and error records of mixed inputs
 
 
-def _counts(frame, good="good"):
-    """(kind, n): rows and error records of a frame."""
-    one = lambda df, kind: df.select(F.lit(kind).alias("kind")).groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
-    return one(frame.toDF(), good).unionByName(one(frame.errorsAsFrame().toDF(), "error"))
+def told(frame: Frame, value: str, record: str = "record") -> DataFrame:
+    """(kind, value): a text for each good row, and for each error record."""
+    good = frame.toDF().select(F.lit("good").alias("kind"), F.expr(value).cast("string").alias("value"))
+    return good.unionByName(frame.errorsAsFrame().toDF().select(F.lit("error").alias("kind"), F.expr(record).cast("string").alias("value")))
 
 
 def _text_files(df: DataFrame, column, label: str) -> str:
@@ -966,12 +966,13 @@ MIXED = """CASE WHEN p_partkey % 5 = 0 THEN concat('[', p_partkey, ',{"k":', p_p
 
 
 @register("json_mixed_records", """
-    SELECT 'good' AS kind, CAST(sum(CASE p_partkey % 5 WHEN 0 THEN 1 WHEN 3 THEN 2 WHEN 4 THEN 1 ELSE 0 END) AS BIGINT) AS n FROM part
-    UNION ALL SELECT 'error', CAST(sum(CASE WHEN p_partkey % 5 IN (0, 1, 2) THEN 1 ELSE 0 END) AS BIGINT) FROM part
+    SELECT 'good' AS kind, CAST(p_partkey AS VARCHAR) AS value FROM part WHERE p_partkey % 5 IN (0, 3, 4)
+    UNION ALL SELECT 'good', '1' FROM part WHERE p_partkey % 5 = 3
+    UNION ALL SELECT 'error', CASE p_partkey % 5 WHEN 1 THEN '{bad' ELSE CAST(p_partkey AS VARCHAR) END FROM part WHERE p_partkey % 5 IN (0, 1, 2)
 """)
 def json_mixed_records(spark, sf_dir):
     path = _text_files(table(spark, sf_dir, "part").df, MIXED, "json-mixed")
-    return _counts(from_options(spark, "file", {"paths": [path]}, format="json"))
+    return told(from_options(spark, "file", {"paths": [path]}, format="json"), "k")
 
 
 @register("json_array_file", "SELECT c_custkey AS k, c_name AS n FROM customer")
@@ -985,13 +986,13 @@ def json_array_file(spark, sf_dir):
 
 
 @register("json_schema_errors", """
-    SELECT 'good' AS kind, count(*) FILTER (WHERE p_partkey % 3 <> 0) AS n FROM part
-    UNION ALL SELECT 'error', count(*) FILTER (WHERE p_partkey % 3 = 0) FROM part
+    SELECT CASE WHEN p_partkey % 3 = 0 THEN 'error' ELSE 'good' END AS kind,
+           CASE WHEN p_partkey % 3 = 0 THEN '{bad' || p_partkey ELSE CAST(p_partkey AS VARCHAR) END AS value FROM part
 """)
 def json_schema_errors(spark, sf_dir):
-    text = "CASE WHEN p_partkey % 3 = 0 THEN '{bad' ELSE concat('{\"k\":', p_partkey, '}') END"
+    text = "CASE WHEN p_partkey % 3 = 0 THEN concat('{bad', p_partkey) ELSE concat('{\"k\":', p_partkey, '}') END"
     path = _text_files(table(spark, sf_dir, "part").df, text, "json-schema")
-    return _counts(from_options(spark, "file", {"paths": [path]}, format="json", schema="k int"))
+    return told(from_options(spark, "file", {"paths": [path]}, format="json", schema="k int"), "k")
 
 
 @register("json_nested_mixed", """
@@ -1007,44 +1008,44 @@ def json_nested_mixed(spark, sf_dir):
 
 
 @register("resolve_cast_in_array", """
-    SELECT 'good' AS kind, count(*) FILTER (WHERE p_partkey % 4 <> 0) AS n FROM part
-    UNION ALL SELECT 'error', count(*) FILTER (WHERE p_partkey % 4 = 0) FROM part
+    SELECT CASE WHEN p_partkey % 4 = 0 THEN 'error' ELSE 'good' END AS kind,
+           CASE WHEN p_partkey % 4 = 0 THEN '{"a":[{"long":' || p_partkey || '},{"string":"zz"}]}' ELSE p_partkey || '+7' END AS value FROM part
 """)
 def resolve_cast_in_array(spark, sf_dir):
-    text = "concat('{\"a\":[1,', if(p_partkey % 4 = 0, '\"zz\"', '\"7\"'), ']}')"
+    text = "concat('{\"a\":[', p_partkey, ',', if(p_partkey % 4 = 0, '\"zz\"', '\"7\"'), ']}')"
     path = _text_files(table(spark, sf_dir, "part").df, text, "json-cast")
-    return _counts(from_options(spark, "file", {"paths": [path]}, format="json").resolveChoice(specs=[("a", "cast:long")]))
+    return told(from_options(spark, "file", {"paths": [path]}, format="json").resolveChoice(specs=[("a", "cast:long")]), "array_join(a, '+')")
 
 
 @register("merge_decimals", """
-    SELECT 'good' AS kind, count(*) + (SELECT count(*) FROM orders WHERE o_totalprice < 100000) AS n FROM supplier
-    UNION ALL SELECT 'error', count(*) FILTER (WHERE o_totalprice >= 100000) FROM orders
+    SELECT 'good' AS kind, CAST(CAST(s_suppkey AS DECIMAL(7,2)) AS VARCHAR) AS value FROM supplier
+    UNION ALL SELECT CASE WHEN o_totalprice < 100000 THEN 'good' ELSE 'error' END, CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS VARCHAR) FROM orders
 """)
 def merge_decimals(spark, sf_dir):
     left = table(spark, sf_dir, "supplier").df.select(F.col("s_suppkey").cast("decimal(7,2)").alias("x"))
     right = table(spark, sf_dir, "orders").df.select(F.col("o_totalprice").cast("decimal(12,2)").alias("x"))
-    return _counts(Frame(left, "l").merge(Frame(right, "r")))
+    return told(Frame(left, "l").merge(Frame(right, "r")), "x", "cast(get_json_object(record, '$.x') AS decimal(12,2))")
 
 
 @register("csv_errors", """
-    SELECT 'good' AS kind, count(*) FILTER (WHERE p_partkey % 7 <> 0) AS n FROM part
-    UNION ALL SELECT 'error', count(*) FILTER (WHERE p_partkey % 7 = 0) FROM part
+    SELECT CASE WHEN p_partkey % 7 = 0 THEN 'error' ELSE 'good' END AS kind,
+           p_partkey || ',' || p_size || CASE WHEN p_partkey % 7 = 0 THEN ',5,6' ELSE '' END AS value FROM part
 """)
 def csv_errors(spark, sf_dir):
     text = "concat(p_partkey, ',', p_size, if(p_partkey % 7 = 0, ',5,6', ''))"
     path = _text_files(table(spark, sf_dir, "part").df, text, "csv-errors")
-    return _counts(from_options(spark, "file", {"paths": [path]}, format="csv", schema="k int, n int"))
+    return told(from_options(spark, "file", {"paths": [path]}, format="csv", schema="k int, n int"), "concat(k, ',', n)")
 
 
 @register("unbox_csv_lines", """
-    SELECT 'good' AS kind, count(*) FILTER (WHERE p_partkey % 2 = 1) AS n FROM part
-    UNION ALL SELECT 'error', count(*) FILTER (WHERE p_partkey % 2 = 0) FROM part
+    SELECT CASE WHEN p_partkey % 2 = 0 THEN 'error' ELSE 'good' END AS kind,
+           CASE WHEN p_partkey % 2 = 0 THEN CAST(p_partkey AS VARCHAR) ELSE p_partkey || ':' || p_size END AS value FROM part
 """)
 def unbox_csv_lines(spark, sf_dir):
     line = F.concat_ws(",", F.col("p_partkey").cast("string"), F.col("p_size").cast("string"))
     boxed = F.when(F.col("p_partkey") % 2 == 0, F.concat(F.lit("a,b\n"), line, F.lit("\n"), line)).otherwise(F.concat(F.lit("a,b\n"), line))
     f = Frame(table(spark, sf_dir, "part").df.select("p_partkey", boxed.alias("box")), "boxed")
-    return _counts(f.unbox("box", "csv", withHeader=True))
+    return told(f.unbox("box", "csv", withHeader=True), "concat(box.a, ':', box.b)", "get_json_object(record, '$.p_partkey')")
 
 
 @register("map_infer", """
@@ -1127,12 +1128,12 @@ def _half_bad(spark, sf_dir):
 BAD_LABELS = "count(*) FILTER (WHERE p_partkey % 2 = 0)"
 
 
-@register("mapping_both_sides", f"""
-    SELECT 'good' AS kind, count(*) FILTER (WHERE p_partkey % 2 = 1) AS n FROM part
-    UNION ALL SELECT 'error', {BAD_LABELS} FROM part
+@register("mapping_both_sides", """
+    SELECT CASE WHEN p_partkey % 2 = 0 THEN 'error' ELSE 'good' END AS kind,
+           CASE WHEN p_partkey % 2 = 0 THEN p_partkey || ' ' || p_name ELSE CAST(p_partkey AS VARCHAR) END AS value FROM part
 """)
 def mapping_both_sides(spark, sf_dir):
-    return _counts(_half_bad(spark, sf_dir))
+    return told(_half_bad(spark, sf_dir), "n", "concat(get_json_object(record, '$.p_partkey'), ' ', get_json_object(record, '$.label'))")
 
 
 @register("errors_total", f"SELECT 'total' AS what, {BAD_LABELS} AS n FROM part")
@@ -1208,11 +1209,14 @@ def search_url_quoting(spark, sf_dir):
     return p.select(F.col("p_partkey").alias("k"), search_url(term, "https://s.example/?q=").alias("url"))
 
 
-@register("spigot_sample", "SELECT s_suppkey, s_name FROM supplier")
+@register("spigot_sample", """
+    SELECT c_custkey, c_mktsegment FROM customer
+    WHERE CAST('0x' || substr(md5('11/{"c_custkey":' || c_custkey || ',"c_mktsegment":"' || c_mktsegment || '"}'), 1, 13) AS BIGINT) < 0.25 * 4503599627370496
+""")
 def spigot_sample(spark, sf_dir):
     path = scratch_dir(spark, "spigot") + "/sample"
-    table(spark, sf_dir, "supplier").select_fields(["s_suppkey", "s_name"]).spigot(path, {"prob": 1.0})
-    return spark.read.schema("s_suppkey int, s_name string").json(path)
+    table(spark, sf_dir, "customer").select_fields(["c_custkey", "c_mktsegment"]).spigot(path, {"prob": 0.25, "seed": 11})
+    return spark.read.schema("c_custkey long, c_mktsegment string").json(path)
 
 
 @register("stream_incremental", ORACLES["bookmark_incremental"])
@@ -1232,4 +1236,4 @@ def stream_incremental(spark, sf_dir):
     return spark.read.parquet(out)
 
 
-from . import told  # noqa: E402,F401  registers its queries
+from . import accounts  # noqa: E402,F401  registers its queries
