@@ -22,8 +22,8 @@ so counts are leaf totals below the nodes of a suffix tree cut at that depth.
 
 Suffixes are cut where a word, or a pair of neighbours, occurs fewer than
 ``least`` times: no candidate goes across. Tasks know the frequent ones by bit
-tables of fixed size; what shares a bit with a frequent one isn't cut, which
-costs time and changes nothing.
+tables of fixed size, with two bits for each; what finds both its bits set by
+others isn't cut, which costs time and changes nothing.
 
 Words are bytes between tab and blank after lower-casing A-Z; in the tree they
 are joined by tabs, and control characters are escaped so that a tab sorts
@@ -57,8 +57,9 @@ LEAST, LONGEST, TOP = 100, 5, 2000
 BUDGET, MOST_GROUPS = 1 << 20, 1 << 16
 #: Prefixes of more than this part of a budget are packed by size.
 LARGE = 4
-#: Bits of the table of frequent words (8 MB).
+#: Bits of a table of frequent words or pairs (8 MB), and where in a hash the two places of one begin.
 BITS = 1 << 26
+PLACES = (0, 26)
 #: Entries that a task counts before it hands them over; words it remembers, and the longest of them that are in no table.
 HELD, REMEMBERED, LONG = 2_000_000, 300_000, 64
 #: Words that a task turns into numbers at once.
@@ -133,8 +134,11 @@ def _counted_words(rows: DataFrame) -> DataFrame:
 
 
 def _in_table(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    at = hashes & np.uint64(BITS - 1)
-    return (table[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+    found = np.ones(len(hashes), bool)
+    for start in PLACES:
+        at = (hashes >> np.uint64(start)) & np.uint64(BITS - 1)
+        found &= (table[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+    return found
 
 
 def _pair_hash(first: np.ndarray, second: np.ndarray) -> np.ndarray:
@@ -155,7 +159,7 @@ def bit_table(keys: DataFrame, words: int) -> np.ndarray:
                 hashes.append([xxhash.xxh64_intdigest(lang + b"\t" + w, 42) for w in own])
             h = np.array(hashes, np.uint64).reshape(-1, words)
             h = h[:, 0] if words == 1 else _pair_hash(h[:, 0], h[:, 1])
-            at = h & np.uint64(BITS - 1)
+            at = np.concatenate([(h >> np.uint64(start)) & np.uint64(BITS - 1) for start in PLACES])
             bit = np.uint64(1) << (at & np.uint64(63))
             yield pa.RecordBatch.from_arrays([pa.array((at >> np.uint64(6)).astype(np.int32)), pa.array(bit.view(np.int64))], names=["cell", "bit"])
 
@@ -180,8 +184,8 @@ class _Words(dict):
 
     def __missing__(self, word: bytes) -> int:
         h = xxhash.xxh64_intdigest(self.before + word, 42)
-        at = h % BITS
-        if (int(self.table[at >> 6]) >> (at & 63)) & 1:
+        places = [(h >> start) % BITS for start in PLACES]
+        if all((int(self.table[at >> 6]) >> (at & 63)) & 1 for at in places):
             number = self[word] = len(self.words)
             self.words.append(word)
             self.hashes.append(h)
