@@ -46,7 +46,8 @@ MARK = "▁"
 UNKNOWN_PENALTY = 10.0
 #: Words and pairs of pieces that a worker remembers, at most so many in each of two generations.
 REMEMBERED = 300_000
-WORD_CHARS = 64
+#: Longer words are searched each time, so that the tables stay small; the search is the same.
+KEY_CHARS = 64
 
 
 class Codec:
@@ -82,7 +83,8 @@ class Codec:
         self.silent = {i for i, p in enumerate(spec.pieces) if p.type == kind.CONTROL}
         self.unknown = next(i for i, p in enumerate(spec.pieces) if p.type == kind.UNKNOWN)
         self.longest = max(map(len, self.pieces))
-        self.unknown_score = min(s for _, s in self.pieces.values()) - UNKNOWN_PENALTY
+        # by id; the last, which -1 names, is that of a character without a piece
+        self.scores = [p.score for p in spec.pieces] + [min(s for _, s in self.pieces.values()) - UNKNOWN_PENALTY]
         # neighbouring characters that some piece holds; between any others there is always a boundary
         self.pairs = {p[i:i + 2] for p in self.pieces for i in range(len(p) - 1)}
         # whether a mark after another character is always a boundary
@@ -91,14 +93,18 @@ class Codec:
         self.alone = [chr(self.bytes_of[i]) if i in self.bytes_of else "" if i in self.silent else p.replace(MARK, " ")
                       for i, p in enumerate(self.text_of)]
         self.high = np.array([i for i, b in self.bytes_of.items() if b >= 0x80], dtype=np.int64)
-        self.parts = Memo(self._whole, REMEMBERED // 4, WORD_CHARS)
-        self.words = Memo(lambda word: self._stretch(MARK + word), REMEMBERED, WORD_CHARS)
+        self.parts = Memo(self._encoded, REMEMBERED // 4, KEY_CHARS)
+        self.words = Memo(lambda word: self._stretch(MARK + word), REMEMBERED, KEY_CHARS)
         self.neighbours: dict[int, bool] = {}
         if self.merges:  # a piece that its own merges don't make is never met
             self.pieces = {p: v for p, v in self.pieces.items() if self.merged(p) == [p]}
-        # the ends of pieces: the id of a piece, -2 for what is only the end of one
-        self.tails = {p[-n:]: -2 for p in self.pieces for n in range(1, len(p))}
-        self.tails.update((p, v[0]) for p, v in self.pieces.items())
+        # pieces backwards, letter by letter: (id or -1, what may stand before)
+        self.endings: dict[str, tuple[int, dict]] = {}
+        for p in sorted(self.pieces, key=len):
+            at = self.endings
+            for c in p[:0:-1]:
+                at = at.setdefault(c, (-1, {}))[1]
+            at[p[0]] = (self.pieces[p][0], at.get(p[0], (-1, {}))[1])
 
     def normalise(self, text: str) -> str:
         return MARK + text.replace(" ", MARK) if text else ""
@@ -136,37 +142,41 @@ class Codec:
                 self.neighbours[key] = known
         return known
 
-    def _step(self, text: str, end: int, first: int, score: list, start: list, piece: list, base: int) -> None:
-        """Appends the best last piece of ``text[:end]``; the lists begin at position ``base``."""
-        pieces, merges = self.pieces, self.merges
-        top, top_at, top_piece = None, end - 1, -1
-        for at in range(max(first, end - self.longest), end):  # the longest piece first
-            entry = pieces.get(text[at:end])
-            if entry is None:
-                if at != end - 1:
-                    continue
-                entry = (-1, self.unknown_score)
-            k = at - base
-            if merges:
-                before = start[k]
-                if before < 0 or self._fits(piece[k], text[before:at], entry[0], text[at:end]):
-                    top, top_at, top_piece = 0.0, at, entry[0]
-                    break
-            else:
-                new = score[k] + entry[1]
-                if top is None or new > top:
-                    top, top_at, top_piece = new, at, entry[0]
-        score.append(top)
-        start.append(top_at)
-        piece.append(top_piece)
-
     def stream(self, text: str) -> Iterator[list[int]]:
         """Ids of normalised ``text``, in the portions in which they become final."""
-        n, done, check = len(text), 0, 2 * self.longest
-        # by position from ``base`` on: score of the best path, start and id of its last piece
-        score, start, piece, base = [0.0], [-1], [-1], 0
+        n, done, check, base = len(text), 0, 2 * self.longest, 0
+        merges, endings, known, fits, scores = self.merges, self.endings, self.neighbours, self._fits, self.scores
+        none = (-1, {})
+        # by position from ``base`` on: start and id of the best path's last piece, and its score (unigram)
+        start, piece, score = [-1], [-1], [0.0]
         for end in range(1, n + 1):
-            self._step(text, end, base, score, start, piece, base)
+            at = end - 1
+            number, longer = endings.get(text[at], none)
+            ending = [(at, number)]  # pieces that end here, longer and longer
+            while longer and at > base:
+                found = longer.get(text[at - 1])
+                if found is None:
+                    break
+                at -= 1
+                number, longer = found
+                if number >= 0:
+                    ending.append((at, number))
+            if merges:
+                while True:  # the longest that fits what comes before it
+                    at, number = ending.pop()
+                    before = start[at - base]
+                    if before < 0:
+                        break
+                    last = piece[at - base]
+                    fit = known.get(last << 32 | number)
+                    if fits(last, text[before:at], number, text[at:end]) if fit is None else fit:
+                        break
+            else:
+                top, at, number = max((score[at - base] + scores[number], -at, number) for at, number in ending)
+                at = -at
+                score.append(top)
+            start.append(at)
+            piece.append(number)
             if end - done >= check:
                 ends = set(range(max(done, end - self.longest + 1), end + 1))
                 while len(ends) > 1:  # back along all paths that can go on, the furthest end first
@@ -178,7 +188,7 @@ class Codec:
                     yield self._path(text, done, boundary, start, piece, base)
                     # the boundary's own last piece stays: what follows must fit it
                     cut = boundary - base
-                    score, start, piece, base = score[cut:], start[cut:], piece[cut:], boundary
+                    start, piece, score, base = start[cut:], piece[cut:], score[cut:], boundary
                     done, check = boundary, 2 * self.longest
                 else:
                     check += self.longest
@@ -192,57 +202,14 @@ class Codec:
             end = start[end - base]
         return [i for a, b, number in reversed(steps) for i in self._ids(text[a:b], number)]
 
-    def _word(self, text: str) -> bytes:
-        """``stream`` over a short stretch of a BPE model: back pointers are made where the path asks for them.
-
-        Each position has one best last piece, the longest that fits what comes before it.
-        """
-        tails, known, fits = self.tails, self.neighbours, self._fits
-        back: dict[int, tuple[int, int]] = {0: (-1, -1)}
-
-        def last(end: int) -> tuple[int, int]:
-            at = end - 1
-            number = tails.get(text[at:end], -1)
-            ending = [(at, number if number >= 0 else -1)]  # pieces that end here, longer and longer
-            while at and number != -1:
-                at -= 1
-                number = tails.get(text[at:end], -1)
-                if number >= 0:
-                    ending.append((at, number))
-            for at, number in reversed(ending):
-                if at:
-                    start, before = back.get(at) or last(at)
-                    fit = known.get(before << 32 | number)
-                    if not (fits(before, text[start:at], number, text[at:end]) if fit is None else fit):
-                        continue
-                back[end] = at, number
-                return at, number
-            raise AssertionError("a single character always ends a path")
-
-        end, ids = len(text), []
-        while end:
-            start, number = back.get(end) or last(end)
-            ids.append(number if number >= 0 else text[start:end])
-            end = start
-        out = array("i")
-        for x in reversed(ids):
-            if isinstance(x, int):
-                out.append(x)
-            else:
-                out.extend(self._ids(x, -1))
-        return out.tobytes()
-
     def _stretch(self, text: str) -> bytes:
         """A word, cut where no piece goes across (at punctuation and line ends, mostly)."""
         pairs = self.pairs
         cuts = [i for i in range(1, len(text)) if text[i - 1:i + 1] not in pairs]
         if not cuts:
-            return self._whole(text)
+            return self._encoded(text)
         return b"".join(self.parts[text[a:b]] for a, b in zip([0, *cuts], [*cuts, len(text)]))
 
-    def _whole(self, text: str) -> bytes:
-        return self._word(text) if self.merges and len(text) <= WORD_CHARS else self._encoded(text)
-
     def encode(self, text: str) -> bytes:
         """The ids of ``text`` as native 32-bit numbers."""
         whole = self.normalise(text)
