@@ -8,7 +8,8 @@
    least as many bits as their cells differ in counts, so pairs of cells whose
    counts differ by more than the radius are skipped. Cells are cut into tiles
    of bounded size; every remaining pair of tiles is compared in full with
-   numpy (exclusive-or, bit count). A hot cell thus becomes many tile pairs.
+   numpy (exclusive-or, bit count). A hot cell thus becomes many tile pairs,
+   which are dealt out by tile and not by cell.
 3. A tile pair reports a spanning forest of its links, not all of them: the
    components are the same, and there are fewer rows than fingerprints.
 4. Components by contraction: each vertex points at its least neighbour (by a
@@ -139,14 +140,15 @@ def links(fps: DataFrame, radius: int = RADIUS, segments: int = SEGMENTS, tile:
     cut = F.pmod(F.xxhash64("fp"), F.ceil(F.col("m") / tile)).cast("int")
     tiles = (cells.join(sizes, "cell").withColumn("part", cut)
              .groupBy("cell", "part").agg(F.collect_list("fp").alias("values")))
+    tiles = staged(fps.sparkSession, tiles, "simhash-tiles")
     moves = F.array(*[F.lit(m).cast("long") for m in _moves(segments, radius)])
-    left = tiles.select(F.col("cell").alias("own"), F.col("part").alias("a_part"), F.col("values").alias("a_values"))
-    # the side that is sent to the neighbouring cells
-    right = tiles.select("*", F.explode(moves).alias("move")).select(
-        (F.col("cell") + F.col("move")).alias("own"), F.col("cell").alias("b_cell"),
-        F.col("part").alias("b_part"), F.col("values").alias("b_values"))
-    meet = left.join(right, "own").where((F.col("own") != F.col("b_cell")) | (F.col("a_part") <= F.col("b_part")))
-    pairs = meet.select("a_values", "b_values")
+    # tiles meet by number first: what a dense cell has to compare is many small rows, dealt out by tile below
+    left = tiles.select(F.col("cell").alias("a_cell"), F.col("part").alias("a_part"))
+    right = tiles.select(F.col("cell").alias("b_cell"), F.col("part").alias("b_part"), F.explode(moves).alias("move"))
+    meet = left.join(right, F.col("a_cell") == F.col("b_cell") + F.col("move")).where(
+        (F.col("a_cell") != F.col("b_cell")) | (F.col("a_part") <= F.col("b_part"))).drop("move")
+    side = lambda n: tiles.select(F.col("cell").alias(f"{n}_cell"), F.col("part").alias(f"{n}_part"), F.col("values").alias(f"{n}_values"))
+    pairs = meet.join(side("a"), ["a_cell", "a_part"]).join(side("b"), ["b_cell", "b_part"]).select("a_values", "b_values")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
