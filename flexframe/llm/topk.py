@@ -2,7 +2,7 @@
 
 Vectors are quantised to whole numbers, packed into tiles (a bounded number of
 vectors as one binary row), and each query tile meets each shard tile once, in
-blocks: query tiles are sent to a fixed number of shard groups. A tile pair is one
+blocks: shard tiles in groups and query tiles in blocks, as many as the tables ask for. A tile pair is one
 matrix product; the k best per query are selected from it, and a task merges
 the lists of its tile pairs before it reports them. The lists then merge by
 query and branch, and last by query.
@@ -14,12 +14,14 @@ fit a long raises.
 Defined results: vectors that are null or hold null or non-finite components
 take no part; so do rows with a null id; an empty vector scores 0 with other
 empty vectors; vectors of different lengths have no inner product and never
-meet; rows repeated with equal id and vector count once; ties go to the
-smaller id; other columns are ignored.
+meet; rows repeated with equal id and vector count once, and other rows with
+the query's own id are no candidates of it; ties go to the smaller id; other
+columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,8 +33,8 @@ from pyspark.sql import functions as F
 SCALE = 1024
 QUERY_TILE = 512
 SHARD_TILE = 4096
-#: Shard groups a query tile is sent to; more groups, more tasks.
-GROUPS = 24
+#: Tiles of either side that meet under one key, about; and the least number of groups of shard tiles.
+MEETING, GROUPS = 64, 24
 
 
 def quantised(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -102,10 +104,14 @@ def search(df: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id
         raise ValueError("k must be at least 1")
     shard = _packed(quantised(df, id_col, vector_col), SHARD_TILE)
     query = _packed(quantised(queries, id_col, vector_col), QUERY_TILE)
-    dealt = shard.withColumn("g", F.pmod(F.xxhash64("ids"), F.lit(groups)).cast("int"))
-    sent = query.select("dim", F.col("ids").alias("q_ids"), F.col("matrix").alias("q_matrix"),
-                        F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("g"))
-    pairs = dealt.join(sent, ["g", "dim"]).select("dim", "ids", "matrix", "q_ids", "q_matrix")
+    # a grid of keys that grows with both tables: a shard tile goes to all blocks of queries, a query tile to all groups
+    groups = max(groups, math.ceil(df.count() / (SHARD_TILE * MEETING)))
+    blocks = max(1, math.ceil(queries.count() / (QUERY_TILE * MEETING)))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    part = lambda n: F.pmod(F.xxhash64("ids"), F.lit(n)).cast("int")
+    dealt = shard.select("*", part(groups).alias("g")).select("*", every(blocks).alias("h"))
+    sent = query.select("dim", F.col("ids").alias("q_ids"), F.col("matrix").alias("q_matrix"), part(blocks).alias("h")).select("*", every(groups).alias("g"))
+    pairs = dealt.join(sent, ["g", "h", "dim"]).select("dim", "ids", "matrix", "q_ids", "q_matrix")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lists: dict[int, tuple[np.ndarray, np.ndarray]] = {}
