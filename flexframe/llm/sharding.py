@@ -107,12 +107,16 @@ def assign(df: DataFrame, shards: int = 40, id_col: str = "doc_id", text_col: st
     n = df.count()
     groups = max(1, math.ceil(n / (shards * GROUP_ROWS)))
     rows = rows.withColumn("_group", F.pmod(F.xxhash64(key, "text_crc32", "size"), F.lit(groups)).cast("int"))
+    # equal rows are counted first, so that however many there are of one, a group holds it once
+    same = ["doc_id", "size", "text_crc32", "law", "shard", "grown_shard", "_group"]
+    rows = rows.groupBy(*same).agg(F.count(F.lit(1)).alias("_copies"))
     # one row a shard and group: at most rows / GROUP_ROWS of them
-    counts = rows.groupBy("shard", "_group").agg(F.count(F.lit(1)).alias("_n"))
+    counts = rows.groupBy("shard", "_group").agg(F.sum("_copies").alias("_n"))
     before = W.partitionBy("shard").orderBy("_group").rowsBetween(W.unboundedPreceding, -1)
     starts = counts.select("shard", "_group", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    inside = W.partitionBy("shard", "_group").orderBy("doc_id", "text_crc32", "size")
-    numbered = rows.withColumn("_at", F.row_number().over(inside) - 1)
-    return numbered.join(starts, ["shard", "_group"]).select(
+    inside = W.partitionBy("shard", "_group").orderBy("doc_id", "text_crc32", "size").rowsBetween(W.unboundedPreceding, -1)
+    numbered = rows.withColumn("_at", F.coalesce(F.sum("_copies").over(inside), F.lit(0)))
+    copies = F.explode(F.sequence(F.lit(0).cast("long"), F.col("_copies") - 1)).alias("_copy")
+    return numbered.join(starts, ["shard", "_group"]).select("*", copies).select(
         "doc_id", "size", "text_crc32", "law", "shard",
-        (F.col("_start") + F.col("_at")).cast("long").alias("slot"), "grown_shard")
+        (F.col("_start") + F.col("_at") + F.col("_copy")).cast("long").alias("slot"), "grown_shard")
