@@ -56,7 +56,7 @@ def quality_rules() -> str:
              CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
              coalesce(n_repeat_words, 0) AS n_repeat_words, len(lines) AS n_lines,
              len(list_filter(words, lambda x: list_contains([{stop}], lower(x)))) AS n_stop_words,
-             len(list_filter(words, lambda x: lower(x) <> upper(x))) AS n_alpha_words,
+             len(list_filter(words, lambda x: regexp_matches(x, '\p{{L}}'))) AS n_alpha_words,
              len(list_filter(lines, lambda x: regexp_matches(x, '^[\x20\x09]*[-*•]'))) AS n_bullet_lines,
              len(list_filter(lines, lambda x: regexp_matches(x, '(\.\.\.|…)[\x20\x09\x0D]*$'))) AS n_ellipsis_lines
       FROM d LEFT JOIN c USING (rid)),

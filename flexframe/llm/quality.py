@@ -4,8 +4,9 @@ Each rule names a metric and the range it must lie in. ``apply`` adds the
 metrics of a text as Spark expressions and ``kept``: whether every rule holds.
 
 Defined results: null and empty texts have no words and fail; ratios of texts
-without words or lines are 0; repeated rows give repeated results; only id and
-text are read, so other columns can't clash.
+without words or lines are 0; texts of any length are measured whole; repeated
+rows give repeated results; an empty table gives an empty one; only id and text
+are read, so other columns can't clash.
 """
 
 from __future__ import annotations
@@ -85,7 +86,12 @@ def _repeat_words(words: Column, window: int) -> Column:
 
     exact = bind(
         F.array_sort(F.transform(places, lambda i: F.struct(F.array_join(at(i), " ").alias("w"), i.alias("i")))), covered)
-    differ = bind(F.transform(places, lambda i: F.xxhash64(at(i))), lambda h: F.size(F.array_distinct(h)) == F.size(h))
+    def all_differ(hashes):
+        # each word is hashed once, a window by the hashes of its words
+        windows = F.transform(places, lambda i: F.xxhash64(*[F.get(hashes, i + k) for k in range(window)]))
+        return bind(windows, lambda h: F.size(F.array_distinct(h)) == F.size(h))
+
+    differ = bind(F.transform(words, lambda w: F.xxhash64(w)), lambda h: (F.size(F.array_distinct(h)) == F.size(h)) | all_differ(h))
     return F.when(F.size(words) <= window, 0).when(differ, 0).otherwise(exact).cast("long")
 
 
@@ -96,7 +102,6 @@ def metrics(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "").alias("_words"),
         F.filter(F.split("text", "\n"), lambda x: F.trim(x, F.lit(BLANKS)) != "").alias("_lines"),
     )
-    stop = F.array(*[F.lit(w) for w in sorted(set(STOP_WORDS))])
     size = lambda c: F.size(c).cast("long")
     chars = F.char_length("text")
     return base.select(
@@ -107,8 +112,8 @@ def metrics(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         size("_lines").alias("n_lines"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
         _repeat_words(F.col("_words"), WINDOW).alias("n_repeat_words"),
-        size(F.filter("_words", lambda w: F.array_contains(stop, F.lower(w)))).alias("n_stop_words"),
-        size(F.filter("_words", lambda w: F.lower(w) != F.upper(w))).alias("n_alpha_words"),
+        size(F.filter("_words", lambda w: F.lower(w).isin(*sorted(set(STOP_WORDS))))).alias("n_stop_words"),
+        size(F.filter("_words", lambda w: w.rlike(r"\p{L}"))).alias("n_alpha_words"),
         size(F.filter("_lines", lambda x: x.rlike(r"^[\x20\x09]*[-*•]"))).alias("n_bullet_lines"),
         size(F.filter("_lines", lambda x: x.rlike(r"(\.\.\.|…)[\x20\x09\x0D]*$"))).alias("n_ellipsis_lines"),
     )
