@@ -18,6 +18,7 @@ labels has the largest; repeated rows repeat; other columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -35,9 +36,10 @@ BITS = 20
 #: Bounds of the training sample: rows of each class, and bytes of a text.
 SAMPLE_ROWS = 2500
 SAMPLE_BYTES = 40_000
-#: Features of the model: the n-grams whose log ratios gain the most log likelihood, among those that
-#: gain so much at least and whose ratio is at least so large.
-FEATURES, LEAST_RATIO, LEAST_GAIN = 1 << 12, 0.7, 10.0
+#: Features of the model: the n-grams whose log ratios gain the most log likelihood, among those whose ratio is at
+#: least so large and that gain so much at least. Few rows can't gain as much, so they ask for less: a share of what an
+#: n-gram gains that all rows of the smaller class hold and no others.
+FEATURES, LEAST_RATIO, LEAST_GAIN, GAIN_SHARE = 1 << 12, 0.7, 10.0, 0.25
 THRESHOLD = 0.7
 _STRIP = 1 << 21
 
@@ -136,7 +138,9 @@ def train(texts: list[bytes], labels: np.ndarray, features: int = FEATURES, smoo
     both = own + other
     with np.errstate(divide="ignore", invalid="ignore"):
         gain = np.where(own > 0, own * np.log(own / (both * share)), 0) + np.where(other > 0, other * np.log(other / (both * (1 - share))), 0)
-    gain[(gain < LEAST_GAIN) | (np.abs(ratio) < LEAST_RATIO)] = 0
+    fewest = int(min(labels.sum(), len(labels) - labels.sum()))
+    most = -fewest * math.log(min(share, 1 - share)) if 0 < share < 1 else 0.0
+    gain[(gain < min(LEAST_GAIN, GAIN_SHARE * most)) | (np.abs(ratio) < LEAST_RATIO)] = 0
     chosen = np.sort(np.argsort(-gain, kind="stable")[:features])
     chosen = chosen[gain[chosen] > 0]
     place = np.full(size, -1, np.int32)
