@@ -22,8 +22,10 @@ so counts are leaf totals below the nodes of a suffix tree cut at that depth.
 
 Suffixes are cut where a word, or a pair of neighbours, occurs fewer than
 ``least`` times: no candidate goes across. Tasks know the frequent ones by bit
-tables of fixed size, with two bits for each; what finds both its bits set by
-others isn't cut, which costs time and changes nothing.
+tables of fixed size, with two bits for each. Three neighbours are counted in
+buckets of a hash; in a bucket with fewer than ``least`` none of them is
+frequent, so they are cut too. What isn't cut though it could be, since it
+shares bits or a bucket with others, costs time and changes nothing.
 
 Words are bytes between tab and blank after lower-casing A-Z; in the tree they
 are joined by tabs, and control characters are escaped so that a tab sorts
@@ -60,8 +62,10 @@ LARGE = 4
 #: Bits of a table of frequent words or pairs (8 MB), and where in a hash the two places of one begin.
 BITS = 1 << 26
 PLACES = (0, 26)
+#: Buckets in which three neighbours are counted, and how many of them a row holds on the way to their sums.
+BUCKETS, BLOCK = 1 << 22, 1 << 14
 #: Entries that a task counts before it hands them over; words it remembers, and the longest of them that are in no table.
-HELD, REMEMBERED, LONG = 2_000_000, 300_000, 64
+HELD, REMEMBERED, LONG = 1_000_000, 300_000, 64
 #: Words that a task turns into numbers at once.
 CHUNK = 200_000
 
@@ -231,6 +235,38 @@ class _Tally:
             self.size, self.waiting = len(starts), 0
 
 
+def _numbered(batches: Iterator[pa.RecordBatch], table: np.ndarray) -> Iterator[tuple[_Words, np.ndarray, np.ndarray]]:
+    """(words known, numbers, hashes by number) of chunks of texts of one language; 0 stands between pieces and at the end.
+
+    After the generator has handed a chunk over, the words may be cleared.
+    """
+    known: dict[str, _Words] = {}
+    waiting: dict[str, list[bytes]] = {}
+
+    def chunk(lang: str) -> tuple[_Words, np.ndarray, np.ndarray]:
+        own = known.get(lang)
+        if own is None:
+            if len(known) >= 64:  # very many languages: their words are looked up anew
+                known.clear()
+            own = known[lang] = _Words(lang, table)
+        tokens = waiting.pop(lang)
+        numbers = np.fromiter(map(own.__getitem__, tokens), np.int64, len(tokens))
+        return own, numbers, np.array(own.hashes, np.uint64)
+
+    for b in batches:
+        for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            own = waiting.setdefault(lang, [])
+            own += encoded(text).translate(PIECES).replace(BREAK, b" . ").split()
+            own.append(BREAK)
+            if len(own) > CHUNK or len(waiting) > 64:
+                for each in [lang] if len(own) > CHUNK else list(waiting):
+                    found = chunk(each)
+                    yield found
+                    found[0].forget()
+    for lang in list(waiting):
+        yield chunk(lang)
+
+
 def _counted_runs(rows: DataFrame, table: np.ndarray, keys_of: Callable[[np.ndarray, np.ndarray], np.ndarray],
                   extra: Callable[[bytes], int] | None = None) -> DataFrame:
     """(key, n) of runs of words in ``table``, combined within tasks but not across them.
@@ -240,25 +276,13 @@ def _counted_runs(rows: DataFrame, table: np.ndarray, keys_of: Callable[[np.ndar
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, _Words] = {}
-        tallies: dict[str, _Tally] = {}
-        waiting: dict[str, list[bytes]] = {}
-
-        def count(lang: str) -> None:
-            own = known.get(lang)
-            if own is None:
-                own = known[lang] = _Words(lang, table)
-                tallies[lang] = _Tally()
-            tokens = waiting.pop(lang)
-            numbers = np.fromiter(map(own.__getitem__, tokens), np.int64, len(tokens))
-            tallies[lang].add(keys_of(numbers, np.array(own.hashes, np.uint64)))
-            own.forget()
+        tallies: dict[int, tuple[_Words, _Tally]] = {}  # by the words that give the numbers their meaning
 
         def told() -> Iterator[pa.RecordBatch]:
-            for lang, tally in tallies.items():
+            for known, tally in tallies.values():
                 tally.combine()
                 if tally.size:
-                    words, before, join = known[lang].words, known[lang].before, b"\t".join
+                    words, before, join = known.words, known.before, b"\t".join
                     runs = tally.keys[0].astype(np.int64)
                     for at in range(0, tally.size, 100_000):
                         keys = [before + join([words[i] for i in r if i]) for r in runs[at:at + 100_000].tolist()]
@@ -266,22 +290,14 @@ def _counted_runs(rows: DataFrame, table: np.ndarray, keys_of: Callable[[np.ndar
                         if extra is not None:
                             columns.append(pa.array([extra(k) for k in keys], pa.int32()))
                         yield pa.RecordBatch.from_arrays(columns, names=["key", "n", "g"][:len(columns)])
+                known.clear()
             tallies.clear()
-            known.clear()
 
-        for b in batches:
-            for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                own = waiting.setdefault(lang, [])
-                own += encoded(text).translate(PIECES).replace(BREAK, b" . ").split()
-                own.append(BREAK)
-                if len(own) > CHUNK:
-                    count(lang)
-            if sum(t.size + t.waiting for t in tallies.values()) > 2 * HELD or sum(len(w.words) for w in known.values()) > HELD:
-                for lang in list(waiting):
-                    count(lang)
+        for known, numbers, hashes in _numbered(batches, table):
+            tally = tallies.setdefault(id(known), (known, _Tally()))[1]
+            tally.add(keys_of(numbers, hashes))
+            if sum(t.size + t.waiting for _, t in tallies.values()) > 2 * HELD or sum(len(w.words) for w, _ in tallies.values()) > HELD:
                 yield from told()
-        for lang in list(waiting):
-            count(lang)
         yield from told()
 
     return rows.mapInArrow(run, "key binary, n long" + (", g int" if extra is not None else ""))
@@ -293,28 +309,69 @@ def _pairs(numbers: np.ndarray, _: np.ndarray) -> np.ndarray:
     return np.stack([numbers[:-1][both], numbers[1:][both]], axis=1).astype(np.int32)
 
 
-def _linked(table: np.ndarray, least: int, longest: int) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
-    """From each place the run of up to ``longest`` words whose neighbours are in the table of pairs, if it has ``least`` words."""
+def _triples(pairs: np.ndarray, numbers: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places at which three words begin whose neighbours are in the table of pairs, and the buckets of the three."""
+    h = hashes[numbers]
+    at = np.flatnonzero((numbers[:-1] != 0) & (numbers[1:] != 0))
+    linked = np.zeros(len(numbers) + 1, bool)
+    linked[at] = _in_table(pairs, _pair_hash(h[at], h[at + 1]))
+    at = np.flatnonzero(linked[:-1] & linked[1:])
+    return at, _pair_hash(_pair_hash(h[at], h[at + 1]), h[at + 2]) & np.uint64(BUCKETS - 1)
+
+
+def _linked(pairs: np.ndarray, crowded: np.ndarray, longest: int) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """From each place the run of three to ``longest`` words that goes on while three neighbours are in a crowded bucket."""
 
     def keys(numbers: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-        padded = np.concatenate([numbers, np.zeros(longest, np.int64)])
-        h = hashes[padded]
-        linked = (padded[:-1] != 0) & (padded[1:] != 0)
-        at = np.flatnonzero(linked)
-        linked[at] = _in_table(table, _pair_hash(h[at], h[at + 1]))
-        starts = np.flatnonzero(linked[:len(numbers)])
-        for step in range(1, least - 1):
-            starts = starts[linked[starts + step]]
+        starts, buckets = _triples(pairs, numbers, hashes)
+        three = np.zeros(len(numbers) + longest, bool)
+        three[starts] = crowded[buckets]
+        starts = starts[crowded[buckets]]
         out = np.zeros((len(starts), longest), np.int32)
+        for i in range(3):
+            out[:, i] = numbers[starts + i]
         going = np.ones(len(starts), bool)
-        for i in range(longest):
-            out[going, i] = padded[starts[going] + i]
-            going &= linked[np.minimum(starts + i, len(linked) - 1)]
+        for i in range(3, longest):
+            going &= three[starts + i - 2]
+            out[going, i] = numbers[starts[going] + i]
         return out
 
     return keys
 
 
+def _crowded(rows: DataFrame, words: np.ndarray, pairs: np.ndarray, least: int) -> np.ndarray:
+    """Which of the BUCKETS hold ``least`` or more occurrences of three neighbours."""
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, waiting = np.zeros(BUCKETS, np.int64), []
+        for _, numbers, hashes in _numbered(batches, words):
+            waiting.append(_triples(pairs, numbers, hashes)[1].astype(np.int64))
+            if sum(map(len, waiting)) > HELD:
+                counts += np.bincount(np.concatenate(waiting), minlength=BUCKETS)
+                waiting = []
+        if waiting:
+            counts += np.bincount(np.concatenate(waiting), minlength=BUCKETS)
+        blocks = counts.reshape(-1, BLOCK)
+        some = np.flatnonzero(blocks.any(axis=1))
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array([blocks[i].tobytes() for i in some], pa.binary())],
+                                         names=["block", "counts"])
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for b in batches:
+            for block, counts in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                sums[block] = sums.get(block, 0) + np.frombuffer(counts, np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([np.packbits(x >= least).tobytes() for x in sums.values()], pa.binary())],
+                                         names=["block", "bits"])
+
+    spark = rows.sparkSession
+    parts = rows.mapInArrow(counted, "block int, counts binary").repartition(spark.sparkContext.defaultParallelism * 2, "block")
+    table = np.zeros((BUCKETS // BLOCK, BLOCK), bool)
+    for r in parts.mapInArrow(summed, "block int, bits binary").collect():
+        table[r.block] = np.unpackbits(np.frombuffer(r.bits, np.uint8)).astype(bool)
+    return table.ravel()
+
+
 class Groups:
     """Which group a suffix belongs to: ``split`` prefixes go on to their next word."""
 
@@ -417,6 +474,7 @@ def _subtrees(leaves: DataFrame, split: set[bytes], least: int) -> DataFrame:
 def _longer(spark: SparkSession, rows: DataFrame, pairs: DataFrame, word_table: np.ndarray, least: int, longest: int, budget: int) -> DataFrame:
     """(key, n) of the phrases of three words or more, from the subtrees."""
     pair_table = bit_table(pairs, 2)
+    crowded = _crowded(rows, word_table, pair_table, least)
     # a pair's key without its second word
     first = F.regexp_replace(F.decode("key", "UTF-8"), "\t[^\t]*$", "").cast("binary")
     starts = pairs.groupBy(first.alias("key")).agg(F.sum("n").alias("n"))
@@ -430,7 +488,7 @@ def _longer(spark: SparkSession, rows: DataFrame, pairs: DataFrame, word_table:
     if wide and longest > 3:
         # prefixes of wide pairs, from suffixes that are one word short
         wide_table = bit_table(pairs.where(F.col("n") > budget), 2)
-        linked = _linked(pair_table, 3, longest - 1)
+        linked = _linked(pair_table, crowded, longest - 1)
 
         def below_wide(numbers: np.ndarray, hashes: np.ndarray) -> np.ndarray:
             keys = linked(numbers, hashes)
@@ -445,7 +503,7 @@ def _longer(spark: SparkSession, rows: DataFrame, pairs: DataFrame, word_table:
         more = staged(spark, _counted_runs(rows, word_table, below_wide).groupBy("key").agg(F.sum("n").alias("n")).where(many), "collocation-prefixes")
         large.update((bytes(r.key), r.n) for r in more.collect())
     groups = Groups(large, total, budget, longest)
-    leaves = _counted_runs(rows, word_table, _linked(pair_table, 3, longest), groups).repartitionById(
+    leaves = _counted_runs(rows, word_table, _linked(pair_table, crowded, longest), groups).repartitionById(
         groups.count, F.col("g")).select("key", "n").sortWithinPartitions("key")
     nodes = _subtrees(leaves, groups.split, least)
     if more is not None:  # nodes that several groups share were counted as prefixes
