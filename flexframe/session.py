@@ -71,10 +71,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return made
 
 
+_MADE: list[str] = []
+
+
 def scratch_dir(spark: SparkSession, label: str = "scratch") -> str:
     """A fresh, unique folder under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark)
     path = f"{base.rstrip('/')}/flexframe-{label}-{uuid.uuid4().hex}"
+    _MADE.append(path)
     if path.startswith("file:"):
         os.makedirs(path[len("file:"):], exist_ok=True)
     elif "://" not in path:
@@ -82,6 +86,19 @@ def scratch_dir(spark: SparkSession, label: str = "scratch") -> str:
     return path
 
 
+def clean_scratch(spark: SparkSession) -> int:
+    """Removes the folders that ``scratch_dir`` made in this process; how many there were.
+
+    For the end of a job: frames that aren't written yet read from them.
+    """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    gone = 0
+    while _MADE:
+        path = jvm.org.apache.hadoop.fs.Path(_MADE.pop())
+        gone += bool(path.getFileSystem(conf).delete(path, True))
+    return gone
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -94,3 +94,20 @@ def test_a_write_with_thresholds_runs_the_function_once_per_row(spark, tmp_path,
     with pytest.raises(ErrorThresholdExceeded):
         run(stageThreshold=10).write("file", {"path": str(tmp_path / "never"), "mode": "overwrite"}, "parquet")
     assert not os.path.exists(tmp_path / "never")
+
+
+def test_scratch_folders_can_be_removed():
+    import subprocess
+    import sys
+
+    code = """
+import os, sys
+sys.path.insert(0, %r)
+from flexframe.session import clean_scratch, local_session, scratch_dir
+spark = local_session(cores=1)
+a, b = scratch_dir(spark), scratch_dir(spark, "x")
+spark.range(3).write.mode("overwrite").parquet(a)
+print("GONE", clean_scratch(spark), os.path.exists(a), os.path.exists(b), clean_scratch(spark))
+""" % os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    told = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=240).stdout
+    assert "GONE 2 False False 0" in told
