@@ -97,6 +97,11 @@ def _best(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
     return at[np.lexsort((ids[at], -scores[at]))][:k]
 
 
+def grid(rows: int, queries: int, least: int = GROUPS) -> tuple[int, int]:
+    """Groups of shard tiles and blocks of query tiles, of about ``MEETING`` tiles each."""
+    return max(least, math.ceil(rows / (SHARD_TILE * MEETING))), max(1, math.ceil(queries / (QUERY_TILE * MEETING)))
+
+
 def search(df: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding",
            groups: int = GROUPS) -> DataFrame:
     """The k best of ``df`` for each row of ``queries``: query_id, rank, vec_id, score."""
@@ -105,8 +110,7 @@ def search(df: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id
     shard = _packed(quantised(df, id_col, vector_col), SHARD_TILE)
     query = _packed(quantised(queries, id_col, vector_col), QUERY_TILE)
     # a grid of keys that grows with both tables: a shard tile goes to all blocks of queries, a query tile to all groups
-    groups = max(groups, math.ceil(df.count() / (SHARD_TILE * MEETING)))
-    blocks = max(1, math.ceil(queries.count() / (QUERY_TILE * MEETING)))
+    groups, blocks = grid(df.count(), queries.count(), groups)
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     part = lambda n: F.pmod(F.xxhash64("ids"), F.lit(n)).cast("int")
     dealt = shard.select("*", part(groups).alias("g")).select("*", every(blocks).alias("h"))

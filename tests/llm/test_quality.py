@@ -47,3 +47,10 @@ def test_clash_empty_and_plan(spark, edges, empty):
     assert df.count() == len(EDGES)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Exchange" not in plan
+
+
+def test_letters_of_any_script(spark):
+    texts = ["漢字 かな 한글 " * 10, "ελληνικά русский עברית العربية हिन्दी ไทย " * 5, "123 456 --- " * 10, "x1 2y é3 " * 10]
+    rows = quality.metrics(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [r.n_alpha_words for r in rows] == [30, 30, 0, 30]
+    assert all("words_with_letters" not in r.failed_rules for r in quality.apply(spark.createDataFrame(list(enumerate(texts[:2])), "doc_id long, text string")).collect())

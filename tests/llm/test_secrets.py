@@ -41,6 +41,51 @@ def brute_added(text):
     return out
 
 
+def entropic(s, cls):
+    s = s.lower() if cls.fold else s
+    best = max(-sum(c / 20 * math.log2(c / 20) for c in Counter(s[i:i + 20]).values()) for i in range(len(s) - 19))
+    return best >= cls.bits - 1e-9
+
+
+def judged(s, rules):
+    """Whether a stretch of 20 characters or more is a secret."""
+    cls = secret_scan.CLASSES[0] if re.fullmatch("[0-9A-Fa-f]{20,}", s) else secret_scan.CLASSES[1]
+    return not any(re.search(r, s) for r in rules) and entropic(s, cls)
+
+
+def brute_parts(text):
+    """Spans of runs and of parts of runs: every place of a run is tried by itself."""
+    out = []
+    harmless = re.compile(secret_scan.HARMLESS)
+    for m in re.finditer(r"[A-Za-z0-9+/=_-]{20,}", text):
+        run = m[0]
+        if judged(run, secret_scan.ALLOW):
+            out.append((m.start(), m.end()))
+            continue
+        if any(re.search(r, run) for r in secret_scan.WHOLE):
+            continue
+        cut, at = [False] * len(run), 0
+        while at < len(run):
+            found = harmless.match(run, at)
+            if found and found.end() > at:
+                cut[at:found.end()] = [True] * (found.end() - at)
+                at = found.end()
+            else:
+                at += 1
+        parts, at = [], 0
+        for a, b in [(a, next((j for j in range(a, len(run)) if cut[j]), len(run))) for a in range(len(run)) if not cut[a] and (a == 0 or cut[a - 1])]:
+            if b - a < 20:
+                continue
+            if judged(run[a:b], secret_scan.WHOLE):
+                parts.append((a, b))
+            else:
+                parts += [(a + h.start(), a + h.end()) for h in re.finditer("[0-9A-Fa-f]{20,}", run[a:b]) if judged(h[0], secret_scan.WHOLE)]
+        for i, (a, b) in enumerate(parts):
+            near = i + 1 < len(parts) and parts[i + 1][0] - b < 20
+            out.append((m.start() + a, m.start() + (parts[i + 1][0] if near else b)))
+    return sorted(out)
+
+
 def listed(spans):
     return ",".join(f"{k}:{a}:{b}" for a, _, b, k in sorted(spans))
 
@@ -146,3 +191,21 @@ def test_long_base64_is_masked(spark):
     assert sum(any(re.search(r, t) for r in secret_scan.ALLOW) for _, t in rows) > 5
     for r in secret_scan.redact(spark.createDataFrame(rows, "doc_id long, text string")).collect():
         assert len(r.text.replace("[SECRET]", "")) < 60
+
+
+def test_parts_of_runs_against_brute_force(spark):
+    import random
+
+    draw = random.Random(9)
+    base64, digits = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", "0123456789abcdef"
+    key = lambda n: "".join(draw.choice(base64) for _ in range(n))
+    hexa = lambda n: "".join(draw.choice(digits) for _ in range(n))
+    harmless = ["usr", "Path", "example", "2024", "550e8400-e29b-41d4-a716-446655440000", "services", "XXXX", "sha256-" + hexa(64), "camelCaseName12"]
+    texts = ["/usr/" + key(24), "ID=" + hexa(32).upper(), "key_" + hexa(20), key(24) + "/x/" + key(24) + "/words/only/here/and/more/" + key(30)]
+    for _ in range(300):
+        parts = [draw.choice([lambda: draw.choice(harmless), lambda: key(draw.randint(4, 45)), lambda: hexa(draw.randint(10, 40)), lambda: "aaaa1" * 5])() for _ in range(draw.randint(1, 6))]
+        texts.append("see " + "".join(p + draw.choice("/=_-/ ") for p in parts))
+    rows = secret_scan.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    got = {r.doc_id: sorted((int(a), int(b)) for k, a, b in (x.split(":") for x in r.spans.split(",") if x) if k == "entropy") for r in rows}
+    assert got == {i: brute_parts(t) for i, t in enumerate(texts)}
+    assert sum(map(len, got.values())) > 200 and all(got[i] for i in range(4))

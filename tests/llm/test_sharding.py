@@ -54,3 +54,32 @@ def test_growth_within_a_rack_stays_in_its_subtree(spark):
 def test_edges(spark, edges, empty):
     check(sharding.assign(edges).collect(), EDGES, 40)
     assert sharding.assign(empty).count() == 0
+
+
+def test_draws_are_recomputed(spark):
+    """The descent, draw by draw, in plain Python."""
+    import hashlib
+    import math
+
+    layout = {"a": {"x": {0: 1.0, 1: 3.0}, "y": {2: 0.5}}, "b": {"z": {3: 2.0, 4: 1.0}}}
+
+    def choose(key, children):  # (path, weight, number)
+        def draw(path, weight):
+            bits = int(hashlib.md5(f"{key}/{path}".encode()).hexdigest()[:13], 16)
+            return math.log((bits + 0.5) / 2 ** 52) / weight
+        return max((draw(p, w), n) for p, w, n in children)[1]
+
+    def leaf(key):
+        regions = sorted(layout)
+        a = regions[choose(key, [(r, sum(w for x in layout[r].values() for w in x.values()), i) for i, r in enumerate(regions)])]
+        racks = sorted(layout[a])
+        b = racks[choose(key, [(f"{a}/{r}", sum(layout[a][r].values()), i) for i, r in enumerate(racks)])]
+        return choose(key, [(f"{a}/{b}/{s}", w, s) for s, w in sorted(layout[a][b].items())])
+
+    df = sharding.place(spark.range(500), layout, "shard", F.col("id").cast("string"))
+    assert {r.id: r.shard for r in df.collect()} == {i: leaf(str(i)) for i in range(500)}
+
+
+def test_a_third_of_all_rows_is_one_row(spark):
+    texts = [(7, "same")] * 3000 + [(i, f"t{i}") for i in range(6000)] + [(None, None)] * 5
+    check(sharding.assign(spark.createDataFrame(texts, "doc_id long, text string").repartition(6)).collect(), texts, 40)

@@ -101,3 +101,37 @@ def test_keep_one_with_an_id_of_two_texts(spark):
     df = spark.createDataFrame([(1, copy), (2, copy), (2, other), (3, other), (3, None)], "doc_id long, text string")
     kept = sorted((r.doc_id, r.text or "") for r in simhash.keep_one(spark, df).collect())
     assert kept == [(1, copy), (2, other), (3, "")]
+
+
+def test_a_dense_cell_is_dealt_out_by_tile(spark):
+    """Thousands of values in one cell, and values around it: the links are those of brute force, in many tasks."""
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    base = np.uint64(0x5555_5555_5555_5555)
+    values = {int(base)}
+    while len(values) < 1200:  # two bits swapped within a segment keep the counts
+        i, j = rng.integers(0, 5, 2) * 2
+        a = rng.choice(list(values)[:60])
+        values.add(int(np.uint64(a) ^ (np.uint64(1) << np.uint64(i)) ^ (np.uint64(2) << np.uint64(j)) ^ (np.uint64(3) << np.uint64(2 * int(rng.integers(6, 30))))))
+    signed = [v - (1 << 64) if v >> 63 else v for v in values]
+    fps = spark.createDataFrame([(v,) for v in signed], "fp long")
+    roots = simhash.components(spark, fps, simhash.links(fps, 2, tile=64))
+    got = {r.fp: r.root for r in roots.collect()}
+    parent = {v: v for v in values}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    every = sorted(values)
+    for i, x in enumerate(every):
+        for y in every[i + 1:]:
+            if (x ^ y).bit_count() <= 2:
+                parent[root(x)] = root(y)
+    groups, want = {}, {}
+    for v, s in zip(values, signed):
+        groups.setdefault(got[s], set()).add(v)
+        want.setdefault(root(v), set()).add(v)
+    assert sorted(map(sorted, groups.values())) == sorted(map(sorted, want.values()))

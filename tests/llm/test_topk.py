@@ -51,3 +51,16 @@ def test_many_tiles_and_ties(spark, monkeypatch):
     rows = [(int(i), [float(x) for x in rng.integers(-2, 3, 4)]) for i in range(300)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(5)
     assert sorted(map(tuple, topk.self_search(df, 7, 10).collect())) == brute(rows, 7, 10)
+
+
+def test_keys_grow_with_the_tables(spark, monkeypatch):
+    monkeypatch.setattr(topk, "QUERY_TILE", 4)
+    monkeypatch.setattr(topk, "SHARD_TILE", 5)
+    monkeypatch.setattr(topk, "MEETING", 2)
+    rng = np.random.default_rng(2)
+    rows = [(int(i), [float(x) for x in rng.integers(-2, 3, 4)]) for i in range(400)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+    found = topk.self_search(df, 5, 6)
+    assert sorted(map(tuple, found.collect())) == brute(rows, 5, 6)
+    # 400 rows in groups of 10, 80 queries in blocks of 8
+    assert topk.grid(400, 80) == (40, 10) and found.count() == 480

@@ -62,3 +62,33 @@ def test_edges(spark, tables, model, edges, empty):
     assert all(r.predicted == 0 for r in toxicity.score(spark, edges, none).collect())
     kept = toxicity.drop_toxic(spark, edges, model)
     assert kept.columns == edges.columns and kept.count() <= len(EDGES)
+
+
+def test_few_labels_teach(spark):
+    bad = [f"you {w} fool number{i} go away" for i, w in enumerate(["nasty", "vile"] * 5)]
+    good = [f"the {w} weather number{i} in may" for i, w in enumerate(["sunny", "mild"] * 5)]
+    model = toxicity.train([t.encode() for t in bad + good], np.array([1] * 10 + [0] * 10))
+    assert (model.weights != 0).sum() > 0
+    new = spark.createDataFrame([(1, "you nasty fool go"), (2, "the mild weather in"), (3, "")], "doc_id long, text string")
+    scores = {r.doc_id: r.score for r in toxicity.score(spark, new, model).collect()}
+    assert scores[1] > 0.7 > 0.3 > scores[2]
+
+
+def test_scores_against_plain_python(spark, docs):
+    """N-grams one by one: each distinct one of a text adds its weight once."""
+    rng = np.random.default_rng(1)
+    model = toxicity.Model(rng.normal(size=1 << toxicity.BITS) * 0.05, -0.2)
+
+    def code(gram):
+        h = gram[0]
+        for c in gram[1:]:
+            h = (h * 16777619 + c) % 2 ** 32
+        return ((h ^ (len(gram) * 40503) % 2 ** 32) * 2654435761 % 2 ** 32) >> (32 - toxicity.BITS)
+
+    texts = [(i, t) for i, t in docs[:25]] + [(-1, None), (-2, ""), (-3, "A"), (-4, "ab\0cd" * 3)]
+    got = {r.doc_id: r.score for r in toxicity.score(spark, spark.createDataFrame(texts, "doc_id long, text string"), model).collect()}
+    for i, t in texts:
+        body = b" " + (t or "").encode().lower() + b" "
+        codes = {code(body[k:k + n]) for n in toxicity.GRAMS for k in range(len(body) - n + 1) if 0 not in body[k:k + n]}
+        z = model.bias + sum(float(model.weights[c]) for c in codes)
+        assert abs(got[i] - 1 / (1 + np.exp(-z))) < 1e-6
