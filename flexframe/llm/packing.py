@@ -10,8 +10,9 @@ The bins of a block that stay poorly filled are dissolved and packed again
 with those of other blocks, round by round, until they fit one block.
 
 Defined results: a null or empty text is one piece with the end id alone; a
-null id is kept; repeated rows are packed each; other columns are ignored; an
-empty table gives an empty result.
+null id is kept; texts of any length are packed whole, longer ones in pieces;
+repeated rows are packed each; other columns are ignored; an empty table gives
+an empty result.
 """
 
 from __future__ import annotations

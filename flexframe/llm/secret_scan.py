@@ -13,7 +13,8 @@ All arithmetic on entropies is on integers (``c * log2(c)`` scaled by 2^20 and
 rounded), so that the result doesn't depend on the order of additions.
 
 Defined results: null text is empty; no match gives an empty span list; equal
-starts are ordered by kind; repeated rows give repeated results; columns other
+starts are ordered by kind; texts of any length are scanned whole; repeated
+rows give repeated results; an empty table gives an empty result; columns other
 than id and text are ignored by ``scan`` and kept by ``redact``.
 """
 

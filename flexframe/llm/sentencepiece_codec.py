@@ -20,7 +20,8 @@ stretch up to it are remembered in a bounded table.
 Defined results: null text is empty and has no ids; a character without a
 piece falls back to its UTF-8 bytes, or to the unknown id if the model has no
 byte pieces; a text's own space marks (U+2581) decode to spaces, as in the
-library; repeated rows repeat; other columns are ignored. Normalisation other
+library; texts of any length are encoded whole; repeated rows repeat; other
+columns are ignored; an empty table gives an empty result. Normalisation other
 than the leading mark and marks for spaces isn't done: ``Codec`` raises for
 models that ask for it.
 """
@@ -95,16 +96,18 @@ class Codec:
         self.high = np.array([i for i, b in self.bytes_of.items() if b >= 0x80], dtype=np.int64)
         self.parts = Memo(self._encoded, REMEMBERED // 4, KEY_CHARS)
         self.words = Memo(lambda word: self._stretch(MARK + word), REMEMBERED, KEY_CHARS)
-        self.neighbours: dict[int, bool] = {}
+        # by the id of a piece: whether another may follow it
+        self.follows: list[dict[int, bool]] = [{} for _ in spec.pieces]
+        self.known = 0
         if self.merges:  # a piece that its own merges don't make is never met
             self.pieces = {p: v for p, v in self.pieces.items() if self.merged(p) == [p]}
-        # pieces backwards, letter by letter: (id or -1, what may stand before)
-        self.endings: dict[str, tuple[int, dict]] = {}
+        # pieces letter by letter: (id or -1, what may come next)
+        self.beginnings: dict[str, tuple[int, dict]] = {}
         for p in sorted(self.pieces, key=len):
-            at = self.endings
-            for c in p[:0:-1]:
+            at = self.beginnings
+            for c in p[:-1]:
                 at = at.setdefault(c, (-1, {}))[1]
-            at[p[0]] = (self.pieces[p][0], at.get(p[0], (-1, {}))[1])
+            at[p[-1]] = (self.pieces[p][0], at.get(p[-1], (-1, {}))[1])
 
     def normalise(self, text: str) -> str:
         return MARK + text.replace(" ", MARK) if text else ""
@@ -132,66 +135,67 @@ class Codec:
 
     def _fits(self, before: int, a: str, after: int, b: str) -> bool:
         """Whether piece ``b`` may follow piece ``a`` in a BPE segmentation (remembered by id)."""
-        key = before << 32 | after
-        known = self.neighbours.get(key)
-        if known is None:
-            known = self.merged(a + b) == [a, b]
-            if before >= 0 and after >= 0:
-                if len(self.neighbours) >= REMEMBERED:
-                    self.neighbours.clear()
-                self.neighbours[key] = known
-        return known
+        found = self.merged(a + b) == [a, b]
+        if before >= 0 and after >= 0:
+            if self.known >= REMEMBERED:
+                for row in self.follows:
+                    row.clear()
+                self.known = 0
+            self.follows[before][after] = found
+            self.known += 1
+        return found
 
     def stream(self, text: str) -> Iterator[list[int]]:
         """Ids of normalised ``text``, in the portions in which they become final."""
-        n, done, check, base = len(text), 0, 2 * self.longest, 0
-        merges, endings, known, fits, scores = self.merges, self.endings, self.neighbours, self._fits, self.scores
-        none = (-1, {})
-        # by position from ``base`` on: start and id of the best path's last piece, and its score (unigram)
-        start, piece, score = [-1], [-1], [0.0]
-        for end in range(1, n + 1):
-            at = end - 1
-            number, longer = endings.get(text[at], none)
-            ending = [(at, number)]  # pieces that end here, longer and longer
-            while longer and at > base:
-                found = longer.get(text[at - 1])
-                if found is None:
+        n, done, check, base, longest = len(text), 0, 2 * self.longest, 0, self.longest
+        merges, beginnings, follows, fits, scores = self.merges, self.beginnings, self.follows, self._fits, self.scores
+        none, no_row = (-1, None), {}
+        # by position from ``base`` on: start (-2: not reached yet) and id of the best path's last piece, and its score (unigram)
+        start, piece, score = [-1] + [-2] * longest, [-1] * (longest + 1), [0.0] * (longest + 1)
+        for at in range(n):
+            # the path to this place is final: no piece that begins later ends here
+            k = e = at - base
+            before, last = start[k], piece[k]
+            row = follows[last] if last >= 0 else no_row
+            number, longer = beginnings.get(text[at], none)
+            while True:
+                e += 1
+                if number >= 0 or e == k + 1:  # a piece that begins here, or a character that is none
+                    if merges:
+                        if start[e] == -2:  # no longer piece fits
+                            fit = True if before < 0 else row.get(number)
+                            if fits(last, text[before:at], number, text[at:base + e]) if fit is None else fit:
+                                start[e], piece[e] = at, number
+                    else:
+                        total = score[k] + scores[number]
+                        if start[e] == -2 or total > score[e]:
+                            start[e], piece[e], score[e] = at, number, total
+                if not longer or base + e == n:
                     break
-                at -= 1
-                number, longer = found
-                if number >= 0:
-                    ending.append((at, number))
-            if merges:
-                while True:  # the longest that fits what comes before it
-                    at, number = ending.pop()
-                    before = start[at - base]
-                    if before < 0:
-                        break
-                    last = piece[at - base]
-                    fit = known.get(last << 32 | number)
-                    if fits(last, text[before:at], number, text[at:end]) if fit is None else fit:
-                        break
-            else:
-                top, at, number = max((score[at - base] + scores[number], -at, number) for at, number in ending)
-                at = -at
-                score.append(top)
-            start.append(at)
-            piece.append(number)
+                node = longer.get(text[base + e])
+                if node is None:
+                    break
+                number, longer = node
+            start.append(-2)
+            piece.append(-1)
+            if not merges:
+                score.append(0.0)
+            end = at + 1
             if end - done >= check:
-                ends = set(range(max(done, end - self.longest + 1), end + 1))
+                ends = set(range(max(done, end - longest + 1), end + 1))
                 while len(ends) > 1:  # back along all paths that can go on, the furthest end first
-                    last = max(ends)
-                    ends.discard(last)
-                    ends.add(max(done, start[last - base]))
+                    far = max(ends)
+                    ends.discard(far)
+                    ends.add(max(done, start[far - base]))
                 boundary = ends.pop()
                 if boundary > done:
                     yield self._path(text, done, boundary, start, piece, base)
                     # the boundary's own last piece stays: what follows must fit it
                     cut = boundary - base
                     start, piece, score, base = start[cut:], piece[cut:], score[cut:], boundary
-                    done, check = boundary, 2 * self.longest
+                    done, check = boundary, 2 * longest
                 else:
-                    check += self.longest
+                    check += longest
         if n > done:
             yield self._path(text, done, n, start, piece, base)
 
@@ -205,6 +209,8 @@ class Codec:
     def _stretch(self, text: str) -> bytes:
         """A word, cut where no piece goes across (at punctuation and line ends, mostly)."""
         pairs = self.pairs
+        if text[1:].isalnum():
+            return self._encoded(text)
         cuts = [i for i in range(1, len(text)) if text[i - 1:i + 1] not in pairs]
         if not cuts:
             return self._encoded(text)

@@ -14,8 +14,9 @@ put a shard into a given rack; then movement is confined to the subtrees of
 that region and rack.
 
 Defined results: a null id draws as the empty string; equal ids share a shard;
-a null text has size 16 and the CRC of the empty string; repeated rows each
-get their own slot; other columns are ignored.
+a null text has size 16 and the CRC of the empty string; texts of any length
+count whole; repeated rows each get their own slot; other columns are ignored;
+an empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -18,8 +18,9 @@
 
 Defined results: null and empty texts have fingerprint zero and link like any
 other; a null id never names a component unless all its ids are null; repeated
-rows share a component; other columns are kept by ``keep_one`` and otherwise
-ignored; an empty table gives an empty result.
+rows share a component; texts of any length are read whole, their hashes in
+strips; other columns are kept by ``keep_one`` and otherwise ignored; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations

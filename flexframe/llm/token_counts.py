@@ -5,8 +5,8 @@ the driver; the list (bounded by the vocabulary) is broadcast. On the
 executors, pre-tokens in the list count as one, and only the rest is merged.
 
 Defined results: null text is empty (0 bytes, 0 tokens); special strings inside
-texts count as their one token; repeated rows repeat; other columns are
-ignored; an empty table gives an empty result.
+texts count as their one token; texts of any length are counted whole; repeated
+rows repeat; other columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations

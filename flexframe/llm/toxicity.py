@@ -13,7 +13,8 @@ texts at once, and each feature of a text counts once.
 Defined results: null and empty texts hold no n-gram and score the intercept;
 without labelled rows of both classes every score is the share of toxic labels
 (0 without any); rows with a null label teach nothing, an id with several
-labels has the largest; repeated rows repeat; other columns are ignored.
+labels has the largest; repeated rows repeat; other columns, of the labels too,
+are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations

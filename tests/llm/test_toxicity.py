@@ -92,3 +92,10 @@ def test_scores_against_plain_python(spark, docs):
         codes = {code(body[k:k + n]) for n in toxicity.GRAMS for k in range(len(body) - n + 1) if 0 not in body[k:k + n]}
         z = model.bias + sum(float(model.weights[c]) for c in codes)
         assert abs(got[i] - 1 / (1 + np.exp(-z))) < 1e-6
+
+
+def test_clashing_columns_of_labels(tables, model):
+    documents, labels = tables
+    more = labels.selectExpr("*", "'x' AS text", "1 AS label", "2 AS score", "3 AS held_out", "'en' AS lang")
+    again = toxicity.fit(documents.selectExpr("*", "1 AS toxic", "0 AS quality", "5 AS label"), more)
+    assert again.bias == model.bias and (again.weights == model.weights).all()
