@@ -3,6 +3,21 @@
 ``STAGES`` lists (name, function); each function takes (spark, docs, sf_dir)
 and returns a DataFrame that is written as Parquet and read again as the next
 stage's ``docs``. All but the last return the columns of ``documents``.
+
+Every stage takes nulls in any column, empty and very long texts, ties,
+repeated rows, extra columns and empty tables:
+
+* toxicity: a null or empty text has the classifier's bare score; repeated rows
+  share a verdict; without labelled rows of both classes the share of toxic
+  labels is every score.
+* SimHash: a null text counts as empty and stays null; rows with a null id all
+  stay, as do repeats of a row whose id is the least of its group.
+* suffix dedup, secret scan: all rows stay, and a null text stays null;
+  ``n_chars`` follows the text.
+* packing: a null text is one piece with the end id alone; a null id is kept.
+
+Extra columns pass through all stages but the last; empty tables give empty
+results.
 """
 
 from __future__ import annotations
