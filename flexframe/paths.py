@@ -264,8 +264,21 @@ def _set_in(src: Column | None, dtype: DataType | None, parts: list[str], value:
     return src.withField(head, inner)
 
 
+def _gathered(expr: Column, dtype: DataType, rest: list[str]) -> Column:
+    """What a path names below ``expr``; through arrays, all their values."""
+    if rest and isinstance(dtype, ArrayType):
+        return F.transform(expr, lambda e: _gathered(e, dtype.elementType, rest))
+    if not rest:
+        return expr
+    return _gathered(expr.getField(rest[0]), dtype[rest[0]].dataType, rest[1:])
+
+
 def rename_path(df: DataFrame, old: str, new: str) -> DataFrame:
-    """Rename or move a node; the new name is a full path. Missing old path: no change."""
+    """Rename or move a node; the new name is a full path. Missing old path: no change.
+
+    A field that is moved out of an array becomes an array of its values, one
+    for each element (nested arrays stay nested).
+    """
     r = resolve(df.schema, split_path(old))
     if r is None:
         return df
@@ -287,11 +300,7 @@ def rename_path(df: DataFrame, old: str, new: str) -> DataFrame:
             else:
                 cols.append(top(f.name))
         return df.select(*cols)
-    if depth:
-        raise NotImplementedError("moving a field out of an array to another parent is not supported")
-    value = top(old_parts[0])
-    for p in old_parts[1:]:
-        value = value.getField(p)
+    value = _gathered(top(old_parts[0]), _field(df.schema, old_parts[0]).dataType, old_parts[1:])
     moved = drop_paths(df.withColumn("__ff_move", value), [old])
     if len(new_parts) == 1:
         return moved.withColumnRenamed("__ff_move", new_parts[0])

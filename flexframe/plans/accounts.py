@@ -121,6 +121,19 @@ def threshold_single_pass(spark, sf_dir):
     return told(written, "c_custkey", "get_json_object(record, '$.c_custkey')").withColumn("n_errors", F.lit(f.errorsCount()).cast("long"))
 
 
+@register("rename_out_of_array", """
+    SELECT l_orderkey AS k, CAST(sum(l_linenumber) AS BIGINT) AS numbers, CAST(sum(l_quantity) AS BIGINT) AS amounts FROM lineitem GROUP BY l_orderkey
+""")
+def rename_out_of_array(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem").df.groupBy("l_orderkey").agg(
+        F.collect_list(F.struct(F.col("l_linenumber").alias("no"), F.struct(F.col("l_quantity").alias("qty")).alias("of"))).alias("lines"))
+    f = Frame(lines, "orders").rename_field("lines.of.qty", "totals.amounts")
+    assert f.toDF().schema.simpleString() == "struct<l_orderkey:bigint,lines:array<struct<no:int>>,totals:struct<amounts:array<double>>>"
+    total = lambda c: F.aggregate(c, F.lit(0).cast("long"), lambda a, x: a + x.cast("long"))
+    return f.toDF().select(F.col("l_orderkey").alias("k"), total(F.transform("lines", lambda x: x["no"])).alias("numbers"),
+                           total("totals.amounts").alias("amounts"))
+
+
 # ---------------------------------------------------------------------------
 # bookmarks and streams
 
