@@ -54,7 +54,12 @@ class ByteBPE:
     def __init__(self, path: str, whole: dict[str, int]):
         self.lib = Tokenizer.from_file(path)
         self.model, self.pre = self.lib.model, self.lib.pre_tokenizer
-        added = {t.content: i for i, t in self.lib.get_added_tokens_decoder().items()}
+        special = self.lib.get_added_tokens_decoder()
+        if any(t.lstrip or t.rstrip or t.single_word for t in special.values()):
+            raise ValueError("added tokens that take blanks with them, or must stand alone, are not supported")
+        added = {t.content: i for i, t in special.items()}
+        # a text without any of their first letters holds none of them
+        self.marks = sorted({k[0] for k in added if k})
         self.added = {k: array("I", [v]).tobytes() for k, v in added.items()}
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
         self.whole = {k: array("I", [v]).tobytes() for k, v in whole.items()}
@@ -107,7 +112,7 @@ class ByteBPE:
 
     def ids(self, text: str) -> bytes:
         """The ids of ``text`` as native unsigned 32-bit numbers."""
-        if self.cut is None or "<" not in text:
+        if self.cut is None or not any(m in text for m in self.marks):
             return self._plain(text)
         return b"".join(self.added[x] if x in self.added else self._plain(x) for x in self.cut.split(text) if x)
 
