@@ -155,14 +155,17 @@ def page_tabs(pages: DataFrame, base_url: str = "", html_col: str = "html") -> D
         F.concat(F.lit(base_url), h).alias("link")))
     stop = F.array_position(F.transform(tabs, lambda t: (F.length(t["name"]) > TAB_NAME_LIMIT) | (t["name"] == TAB_STOP_NAME)), True)
     kept = F.when(stop > 0, F.slice(tabs, 1, stop - 1)).otherwise(tabs)
-    # a later tab with the same name replaces the link of an earlier one, at the earlier one's place
-    numbered = pages.select("page_id", F.transform(kept, lambda t, i: F.struct(
-        i.alias("pos"), t["name"].alias("name"), t["link"].alias("link"))).alias("tabs"))
-    first = F.filter("tabs", lambda t, i: F.array_position(F.transform("tabs", lambda u: u["name"]), t["name"]) == i + 1)
-    return (numbered.where(F.size("tabs") > 0)
-            .select("page_id", F.explode(first).alias("t"), F.col("tabs"))
-            .select("page_id", F.col("t.name").alias("name"), F.col("t.pos").alias("pos"),
-                    F.element_at(F.filter("tabs", lambda u: u["name"] == F.col("t.name")), -1)["link"].alias("link")))
+    # a later tab with the same name replaces the link of an earlier one, at the earlier one's place: in order
+    # of (name, place) each name's first and last tab stand at the ends of its run
+    ordered = F.array_sort(F.transform(kept, lambda t, i: F.struct(t["name"].alias("name"), i.alias("pos"), t["link"].alias("link"))))
+    numbered = pages.select("page_id", ordered.alias("tabs")).where(F.size("tabs") > 0)
+
+    def ends(step: int) -> Column:
+        beyond = lambda i: F.get(F.col("tabs"), i + step)["name"]
+        return F.filter("tabs", lambda t, i: ~F.coalesce(beyond(i) == t["name"], F.lit(False)))
+
+    pairs = F.zip_with(ends(-1), ends(1), lambda a, b: F.struct(a["name"].alias("name"), a["pos"].alias("pos"), b["link"].alias("link")))
+    return numbered.select("page_id", F.explode(pairs).alias("t")).select("page_id", "t.name", "t.pos", "t.link")
 
 
 def url_parts(pages: DataFrame) -> DataFrame:
