@@ -94,7 +94,7 @@ def test_entry_registers_the_pipeline():
     import __spark_entry__ as entry
 
     names = set(entry.queries())
-    assert "pipeline" in names and {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 11)}
+    assert "pipeline" in names and {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 14)}
     assert "corpus_pipeline" in sys.modules
 
 
