@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, MapType, NullType, StructType
+from pyspark.sql.types import ArrayType, StructType
 
 from ..errors import ErrorStage
 from ..frame import Frame, FrameSet
